@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparklog.llm import exact_dedup, simhash
+from sparklog.llm import exact_dedup, langid, mixing, simhash, toxicity
 from sparklog.llm.common import table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -16,9 +24,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_language(table(spark, sf_dir, "documents")).drop("langs")
+
+
 QUERIES = {
+    "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_language": op6_language,
 }
 
 ORACLE = {
