@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparklog.llm import exact_dedup, langid, mixing, simhash, toxicity
+from sparklog.llm import exact_dedup, fingerprint, langid, mixing, packing, simhash, toxicity
 from sparklog.llm.common import table
 
 
@@ -28,12 +28,22 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(table(spark, sf_dir, "documents")).drop("langs")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language": op6_language,
+    "op8_packing": op8_packing,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE = {
