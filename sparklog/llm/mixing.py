@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sparklog.llm.common import cut, hot_join, word_count
+from sparklog.llm.common import cut, hot_join, saved, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -98,15 +98,15 @@ def _round(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(copies=copies)[["row", "copies"]]
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, row_col: str | None = None) -> DataFrame:
     """One row for each row of docs: row, id, size, source_size, target, rate, copies, taken.
 
-    row numbers the rows in the order given. A document of no words has rate 0
+    row is row_col, or else numbers the rows. A document of no words has rate 0
     and is not taken; a null source is a source of its own; rows that repeat
     are mixed each by itself. An empty table gives no rows.
     """
     spread = F.xxhash64("id", "size", "row")
-    rows = cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col).cast("string")).alias("size")))
+    rows = cut(docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col).cast("string")).alias("size")))
     sizes = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     targets = cut(source_targets(sizes, weights, most))
     tilts = balance(sizes, targets, most)
@@ -119,3 +119,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rated = cut(rated.withColumn("block", F.pmod(spread, F.ceil(F.col("n_docs") / BLOCK_ROWS))).drop("n_docs", "tilt", "mean"))
     copies = rated.select("key", "block", "row", "size", "rate", F.lit(most).alias("most")).groupBy("key", "block").applyInPandas(_round, "row long, copies long")
     return rated.join(copies, "row").select("row", F.col("id").alias(id_col), "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix itself: each row of docs as often as it is taken, with its columns."""
+    numbered = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "to-mix")
+    copies = mix(numbered, row_col="_row").where("copies > 0").select(F.col("row").alias("_row"), "copies")
+    out = numbered.join(copies, "_row")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(docs.columns)

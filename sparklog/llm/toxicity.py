@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparklog.llm.common import saved
 
@@ -84,12 +85,13 @@ def evidence(rows: DataFrame) -> DataFrame:
     return counts.where(F.col("c1") > DISCOUNT).select("word", F.log(p("c1") / p("c0")).alias("ratio")).where(F.col("ratio") >= LEAST_RATIO)
 
 
-def _evidence_sums(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """docs(id, text) -> (id, total, n): sum of the ratios of a text's words, and its number of words."""
-    kind = docs.dtypes[0][1]
+def with_evidence(docs: DataFrame, known: DataFrame, text_col: str) -> DataFrame:
+    """docs with _total (sum of the ratios of the text's words) and _n (its number of words)."""
+    spark = docs.sparkSession
+    at = docs.columns.index(text_col)
     few = known.limit(BROADCAST_ROWS + 1).toPandas()
     if len(few) <= BROADCAST_ROWS:
-        ratios = docs.sparkSession.sparkContext.broadcast(dict(zip(few["word"].tolist(), few["ratio"].tolist())))
+        ratios = spark.sparkContext.broadcast(dict(zip(few["word"].tolist(), few["ratio"].tolist())))
 
         class Ratios(dict):
             def __missing__(self, word):
@@ -101,30 +103,24 @@ def _evidence_sums(docs: DataFrame, known: DataFrame) -> DataFrame:
         def emit(batches):
             of = Ratios()
             for b in batches:
-                found = [words(t.as_py()) for t in b.column(1)]
+                found = [words(t.as_py()) for t in b.column(at)]
                 total = [math.fsum(filter(None, map(of.__getitem__, w))) for w in found]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.float64()), pa.array(list(map(len, found)), pa.int64())], names=["id", "total", "n"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total, pa.float64()), pa.array(list(map(len, found)), pa.int64())], names=[*b.schema.names, "_total", "_n"])
 
-        return docs.mapInArrow(emit, f"id {kind}, total double, n long")
+        return docs.mapInArrow(emit, T.StructType([*docs.schema.fields, T.StructField("_total", T.DoubleType()), T.StructField("_n", T.LongType())]))
 
     def count(batches):
         for b in batches:
-            ids, rows, keys, times = [], [], [], []
-            for i, t in enumerate(b.column(1)):
-                w, c = np.unique(np.array([_key(x) for x in words(t.as_py())] or [START], np.int64), return_counts=True)
-                rows.append(np.full(len(w), i)), keys.append(w), times.append(c * (w != START))
-            ids = b.column(0).take(pa.array(np.concatenate(rows)))
-            at = np.concatenate(rows).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(at), pa.array(np.concatenate(keys)), pa.array(np.concatenate(times).astype(np.int64))], names=["id", "at", "word", "times"])
-
-    numbered = docs.select(F.struct("id", F.monotonically_increasing_id().alias("row")).alias("id"), "text")
-    found = numbered.mapInArrow(count, f"id struct<id:{kind},row:bigint>, at long, word long, times long")
-    return (
-        found.join(known, "word", "left")
-        .groupBy("id")
-        .agg(F.sum(F.coalesce("ratio", F.lit(0.0)) * F.col("times")).alias("total"), F.sum("times").alias("n"))
-        .select("id.id", "total", "n")
-    )
+            rows, keys, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
+                w, c = np.unique(np.fromiter(map(_key, words(t.as_py())), np.int64), return_counts=True)
+                rows.append(np.full(len(w), i, np.int64)), keys.append(w), times.append(c)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (rows, keys, times)], names=["_row", "word", "times"])
+
+    numbered = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = numbered.select("_row", text_col).mapInArrow(count, "_row long, word long, times long").join(known, "word", "left")
+    sums = found.groupBy("_row").agg(F.sum(F.coalesce("ratio", F.lit(0.0)) * F.col("times")).alias("_total"), F.sum("times").alias("_n"))
+    return numbered.join(sums, "_row", "left").drop("_row").fillna(0, ["_total", "_n"])
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -139,6 +135,28 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """docs with _held_out, _score and _predicted; see toxicity_scores."""
+    held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
+    if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        marks = F.broadcast(marks)
+    taught = docs.where(~held).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(marks, "id")
+    known = evidence(taught.select("toxic", "text"))
+    seen = with_evidence(taught.select("toxic", "text", F.xxhash64("id").alias("h")), known, "text").select("toxic", "_total", "_n", "h")
+    seen = seen.orderBy("h").limit(CALIBRATION_ROWS).toPandas()
+    y = seen["toxic"].to_numpy(float)
+    if 0 < y.sum() < len(y):
+        w = _fit(np.stack([np.log1p(seen["_total"]), np.log1p(seen["_n"]), np.ones(len(y))], 1), y)
+    else:
+        share = float(np.clip(y.mean(), 1e-9, 1 - 1e-9)) if len(y) else 1e-9
+        w = np.array([0.0, 0.0, math.log(share / (1 - share))])
+    z = F.log1p("_total") * float(w[0]) + F.log1p("_n") * float(w[1]) + float(w[2])
+    out = with_evidence(docs.withColumn(text_col, F.col(text_col).cast("string")), known, text_col)
+    out = out.withColumn("_held_out", held).withColumn("_score", 1 / (1 + F.exp(-z)))
+    return out.withColumn("_predicted", (F.col("_score") >= 0.5).cast("int")).drop("_total", "_n")
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """One row for each row of docs: id, held_out, score, predicted.
 
@@ -150,21 +168,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     both classes to learn from, every score is the share of ones (0 if there
     are no labels).
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    held = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
-    if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        marks = F.broadcast(marks)
-    known = evidence(rows.where(~held).join(marks, "id").select("toxic", "text"))
-    sums = saved(_evidence_sums(rows, known), "toxicity")
-    seen = sums.where(~held).join(marks, "id").select("total", "n", "toxic", F.xxhash64("id").alias("h")).orderBy("h").limit(CALIBRATION_ROWS).toPandas()
-    y = seen["toxic"].to_numpy(float)
-    if 0 < y.sum() < len(y):
-        w = _fit(np.stack([np.log1p(seen["total"]), np.log1p(seen["n"]), np.ones(len(y))], 1), y)
-    else:
-        share = float(np.clip(y.mean(), 1e-9, 1 - 1e-9)) if len(y) else 1e-9
-        w = np.array([0.0, 0.0, math.log(share / (1 - share))])
-    z = F.log1p("total") * float(w[0]) + F.log1p("n") * float(w[1]) + float(w[2])
-    score = 1 / (1 + F.exp(-z))
-    return sums.select(F.col("id").alias(id_col), held.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+    out = scored(docs.select(id_col, text_col), labels, id_col, text_col, label_col)
+    return out.select(id_col, F.col("_held_out").alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that are not predicted toxic, with their columns."""
+    return scored(docs, labels).where("_predicted = 0").select(docs.columns)
