@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparklog.llm import exact_dedup, fingerprint, langid, mixing, packing, simhash, toxicity
+from sparklog.llm import exact_dedup, fingerprint, langid, mixing, packing, simhash, suffix_dedup, toxicity
 from sparklog.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(table(spark, sf_dir, "documents")).drop("langs")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_language": op6_language,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op10_fingerprints": op10_fingerprints,
 }
