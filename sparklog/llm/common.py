@@ -57,21 +57,21 @@ def word_count(text: Column) -> Column:
     ).cast("long")
 
 
-def hot_join(rows: DataFrame, side: DataFrame, key: str, count: str, spread: str, how: str = "left", share: float = 0.002) -> DataFrame:
+def hot_join(rows: DataFrame, side: DataFrame, key: str, count: str, spread: str, how: str = "left", share: float = 0.002, also: tuple[str, ...] = ()) -> DataFrame:
     """rows joined to side, which holds one row per key and in ``count`` how many rows carry it.
 
     A key that more than ``share`` of all rows carry is dealt over several
     partitions by a hash of column ``spread``, and its row of side is repeated
     once for each. There are at most 1/share such keys whatever the size of
     the input, so the list of them that reaches the driver is bounded.
-    ``count`` is left out of the result.
+    ``count`` is left out of the result. ``also`` names further key columns.
     """
     spark = rows.sparkSession
     total = side.agg(F.sum(count)).first()[0] or 0
     hot = [r[0] for r in side.where((F.col(count) > max(total * share, 1000)) & F.col(key).isNotNull()).select(key).collect()]
     if not hot:
-        return rows.join(side.drop(count), key, how)
+        return rows.join(side.drop(count), [key, *also], how)
     ways = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.withColumn("_way", F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(spread), F.lit(ways))).otherwise(F.lit(0)))
     side = side.drop(count).withColumn("_way", F.explode(F.when(F.col(key).isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(ways - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))))
-    return rows.join(side, [key, "_way"], how).drop("_way")
+    return rows.join(side, [key, *also, "_way"], how).drop("_way")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparklog.llm import exact_dedup, fingerprint, langid, mixing, packing, simhash, suffix_dedup, toxicity
+from sparklog.llm import exact_dedup, fingerprint, langid, line_dedup, mixing, packing, simhash, suffix_dedup, toxicity
 from sparklog.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
 
