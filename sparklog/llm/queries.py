@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparklog.llm import exact_dedup, fingerprint, langid, line_dedup, mixing, packing, simhash, suffix_dedup, toxicity
+from sparklog.llm import exact_dedup, fingerprint, langid, line_dedup, mixing, packing, simhash, suffix_dedup, toxicity, warc
 from sparklog.llm.common import table
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.captures_of(table(spark, sf_dir, "pages")))
+    lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return found.withColumn("headers", F.array_join(lines, "; "))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "rate")
 
@@ -45,6 +52,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_revisits": op1_warc_revisits,
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
@@ -57,6 +65,33 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_warc_revisits": r"""
+        WITH p AS (
+            SELECT page_id AS n, md5(coalesce(html, '')) AS digest, '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag,
+                   regexp_replace(regexp_replace(trim(url), '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.\-]*://', '') AS rest
+            FROM pages),
+        q AS (
+            SELECT n, digest, tag,
+                   regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^[^@]*@', ''), ':(80|443)$', ''), '^www[0-9]*\.', '') AS host,
+                   regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+                   array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1, 's'), '&'),
+                       lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[^=]*|gclid|fbclid|sessionid|jsessionid|phpsessid)(=|$)'))), '&') AS query
+            FROM p),
+        k AS (SELECT n, digest, tag, host || CASE path WHEN '' THEN '/' ELSE path END || CASE query WHEN '' THEN '' ELSE '?' || query END AS url_key FROM q),
+        r AS (SELECT n, url_key, digest, n * 10 + 5 + (n % 50) * 15 AS ts,
+                     CASE n % 5 WHEN 0 THEN tag WHEN 3 THEN '"other"' WHEN 4 THEN tag END AS mine,
+                     CASE n % 5 WHEN 1 THEN n % 1000 END AS dated FROM k),
+        j AS (SELECT r.*, s.n AS s, s.tag, s.digest AS theirs FROM r ASOF LEFT JOIN (SELECT *, n * 10 AS ts FROM k) s ON r.url_key = s.url_key AND r.ts > s.ts),
+        v AS (SELECT *, CASE WHEN s IS NULL THEN 'no_earlier_response' WHEN mine <> tag THEN 'etag_mismatch' WHEN mine = tag THEN 'etag'
+                             WHEN dated <> s % 1000 THEN 'last_modified_mismatch' WHEN dated = s % 1000 THEN 'last_modified'
+                             WHEN n % 5 = 2 AND digest <> theirs THEN 'digest_mismatch' ELSE 'digest' END AS resolution FROM j)
+        SELECT n * 2 + 1 AS record_id, url_key, ts, s * 2 AS source_id, resolution,
+               CASE WHEN resolution IN ('etag', 'last_modified', 'digest') THEN
+                   CASE n % 5 WHEN 4 THEN 'cache-control: max-age=60; ' ELSE '' END || 'content-type: text/html; date: ' || ts || '; etag: '
+                   || CASE n % 5 WHEN 0 THEN 'W/' ELSE '' END || tag || '; last-modified: ' || (s % 1000) END AS headers,
+               CASE WHEN resolution IN ('etag', 'last_modified', 'digest') THEN theirs END AS digest
+        FROM v
+    """,
     "op5_exact_dedup": """
         WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
