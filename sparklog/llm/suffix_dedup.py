@@ -5,9 +5,9 @@ first thinned without loss: each window of 50 bytes belongs to an anchor, a
 16-byte gram chosen by content, and windows of one anchor form a context. A
 context whose text also occurs in a smaller document is removed as a whole; a
 context whose gram no other context has holds nothing repeated. Only the
-suffixes of the remaining contexts are sorted: buckets of 8-byte grams are
-refined by the bucket pointers 8, 16 and 18 bytes later, each round reusing
-the pointers that the last one assigned, until a bucket stands for 50 bytes.
+suffixes of the remaining contexts are sorted: buckets of 16-byte grams are
+refined by the bucket pointers 16 and 18 bytes later, the second round reusing
+the pointers that the first one assigned, until a bucket stands for 50 bytes.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from sparklog.llm.common import cut, hot_join, saved
 LENGTH = 50
 GRAM = 16
 WINDOW = LENGTH - GRAM + 1
+#: Bytes of text whose contexts one step compares.
+GATHER_BYTES = 8 << 20
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -40,23 +42,42 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, last window, anchor, hash of the anchor's gram) of each context.
+def contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Texts end to end -> (text, first window, windows after it, anchor after it, hash of the anchor's gram, hash of all its bytes) of each context.
 
     Every window of LENGTH bytes belongs to the leftmost of its grams with the
     least hash, its anchor; so equal windows have equal grams as anchors, at
-    one offset. A context is a run of windows with one anchor.
+    one offset. A context is a run of windows with one anchor. ends are where
+    the texts end; places count from a text's start.
     """
+    if len(data) < LENGTH:
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     h = gram_hashes(data)
-    low, at = h, np.arange(len(h), dtype=np.int32)
+    low, at = (h >> np.uint64(32)).astype(np.uint32), np.arange(len(h), dtype=np.int32)
     for span in (1, 2, 4, 8, 16, WINDOW - 32):
         a, b = low[:-span], low[span:]
-        later = b < a
-        low = np.where(later, b, a)
-        at = np.where(later, at[span:], at[:-span])
-    first = np.concatenate([[0], np.nonzero(np.diff(at))[0] + 1])
-    last = np.concatenate([first[1:] - 1, [len(at) - 1]])
-    return first, last, at[first], h[at[first]]
+        at = np.where(b < a, at[span:], at[:-span])
+        low = np.minimum(a, b)
+    starts = np.concatenate([[0], ends[:-1]])
+    inside = np.zeros(len(at) + 1, np.int64)
+    full = ends - starts >= LENGTH
+    np.add.at(inside, starts[full], 1)
+    np.add.at(inside, ends[full] - LENGTH + 1, -1)
+    inside = np.cumsum(inside[:-1]) > 0
+    new = inside.copy()
+    new[1:] &= (at[1:] != at[:-1]) | ~inside[:-1]
+    close = inside.copy()
+    close[:-1] &= (at[1:] != at[:-1]) | ~inside[1:]
+    first, last = np.nonzero(new)[0], np.nonzero(close)[0]
+    # Two windows of neighbouring texts never share an anchor, but they may stand side by side.
+    text = np.searchsorted(ends, first, side="right")
+    anchor = at[first].astype(np.int64)
+    whole = np.zeros(len(first), np.uint64)
+    for k in range(6):
+        whole = (whole ^ h[np.minimum(first + GRAM * k, last + LENGTH - GRAM)]) * MIX[k % 4]
+        whole ^= whole >> np.uint64(31)
+    whole += (last - first).astype(np.uint64)
+    return text, first - starts[text], last - first, anchor - first, h[anchor], whole
 
 
 def spans(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -69,10 +90,6 @@ def spans(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.stack([first[start], last[end]], 1).astype("<i4")
 
 
-#: Columns that travel together as one binary value.
-_PLACE = ("<i8", "<i8", "<i4", "u1", "u1")  # ord, rid, first window, windows in the run, anchor after the first window
-
-
 def _freeze(columns: list[np.ndarray]) -> bytes:
     return zstandard.ZstdCompressor(1).compress(b"".join(c.tobytes() for c in columns))
 
@@ -87,14 +104,19 @@ def _thaw(blob: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
 
 
 def _by(keys: np.ndarray):
-    """(key, positions) of each distinct key."""
+    """(key, positions in order) of each distinct key."""
     order = np.argsort(keys, kind="stable")
     cuts = np.nonzero(np.diff(keys[order]))[0] + 1
-    return [(keys[p[0]], p) for p in np.split(order, cuts) if len(p)]
+    return [(int(keys[p[0]]), p) for p in np.split(order, cuts) if len(p)]
 
 
+#: Rows between the steps: many places in one binary value, dealt out by part; a text has its own row.
 SCHEMA = "part int, kind int, ord long, rid long, data binary"
-CONTEXTS, MARKS, WANTED, WINDOWS = range(4)
+CONTEXTS, MARKS, WANTED, WINDOWS, TEXT = range(5)
+#: Columns of each kind.
+CONTEXT = ("<u4", "<u8", "<i8", "<i8", "<i4", "u1", "u1")  # gram, bytes, ord, rid, first, more, shift
+MARK = ("<i8", "<i8", "<i4", "<i4")  # ord, rid, first and last window
+WANT = ("<i8", "<i8", "<i4", "u1", "<i8")  # ord, rid, first, more, key of the gram
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -102,118 +124,128 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=["part", "kind", "ord", "rid", "data"])
 
 
-def _marked(ord_: np.ndarray, rid: np.ndarray, first: np.ndarray, last: np.ndarray, parts: int) -> list[tuple]:
-    """A row of merged spans for each document."""
-    if not len(ord_):
-        return []
-    order = np.lexsort((rid, ord_))
-    ord_, rid, first, last = ord_[order], rid[order], first[order], last[order]
-    cuts = np.concatenate([[0], np.nonzero((np.diff(ord_) != 0) | (np.diff(rid) != 0))[0] + 1, [len(ord_)]])
-    return [(int(rid[a] % parts), MARKS, int(ord_[a]), int(rid[a]), spans(first[a:b], last[a:b]).tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+def _dealt(kind: int, keys: np.ndarray, parts: int, columns: list[np.ndarray], types: tuple[str, ...]) -> pa.RecordBatch:
+    return _rows([(p, kind, None, None, _freeze([c[i].astype(t) for c, t in zip(columns, types)])) for p, i in _by(keys % parts)])
 
 
-def _dominated(g: np.ndarray, c: np.ndarray, ord_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order by g, c and ord; least ord of each place's (g, c), in that order)."""
-    order = np.lexsort((ord_, c, g))
-    g, c, ord_ = g[order], c[order], ord_[order]
-    head = np.concatenate([[True], (np.diff(g) != 0) | (np.diff(c) != 0)])
-    return order, ord_[np.nonzero(head)[0]][np.cumsum(head) - 1]
+def _least(group: np.ndarray, ord_: np.ndarray) -> np.ndarray:
+    """The least ord among the places of each place's group."""
+    if not len(group):
+        return ord_
+    order = np.argsort(group)
+    head = np.concatenate([[True], np.diff(group[order]) != 0])
+    low = np.minimum.reduceat(ord_[order], np.nonzero(head)[0])
+    out = np.empty_like(ord_)
+    out[order] = low[np.cumsum(head) - 1]
+    return out
 
 
-def _gather(parts: int, hot: np.ndarray):
-    """Texts -> contexts by partition of their gram. A context that a smaller document of the batch has too is marked here and goes no further."""
+def _gather(parts: int, hot: np.ndarray, most: int):
+    """Texts -> contexts by part of their gram. A context that a smaller document at hand has too is marked here and goes no further."""
+
+    def found(texts: list[bytes], ord_: np.ndarray, rid: np.ndarray):
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        text, first, more, shift, g, c = contexts(data, np.cumsum([len(t) for t in texts]))
+        o, r = ord_[text], rid[text]
+        if len(hot) and (is_hot := np.isin(g, hot)).any():
+            rows = [
+                (int(r[i] % parts), WINDOWS, int(o[i]), int(r[i]), xxhash.xxh3_128_digest(texts[text[i]][x : x + LENGTH]) + x.to_bytes(4, "little"))
+                for i in np.nonzero(is_hot)[0].tolist()
+                for x in range(int(first[i]), int(first[i] + more[i]) + 1)
+            ]
+            yield _rows(rows)
+            first, more, shift, g, c, o, r = (x[~is_hot] for x in (first, more, shift, g, c, o, r))
+        low = _least(c, o)
+        beaten = o > low
+        yield _dealt(MARKS, r[beaten], parts, [x[beaten] for x in (o, r, first, first + more)], MARK)
+        stay = ~beaten
+        g, c, o, r, first, more, shift = (x[stay] for x in (g, c, o, r, first, more, shift))
+        yield _dealt(CONTEXTS, (g % np.uint64(parts)).astype(np.int64), parts, [g >> np.uint64(32), c, o, r, first, more, shift], CONTEXT)
 
     def run(batches):
         for b in batches:
-            found = []
-            for o, r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                data = (t.as_py() or "").encode("utf-8", "surrogatepass")
-                if len(data) >= LENGTH:
-                    first, last, anchor, g = contexts(np.frombuffer(data, np.uint8))
-                    c = np.array([xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(first.tolist(), (last + LENGTH).tolist())], np.uint64)
-                    if len(hot) and np.isin(g, hot).any():
-                        at = np.nonzero(np.isin(g, hot))[0]
-                        starts = np.concatenate([np.arange(first[i], last[i] + 1) for i in at])
-                        w = [xxhash.xxh3_128_digest(data[x : x + LENGTH]) for x in starts.tolist()]
-                        yield _rows([(r % parts, WINDOWS, o, r, h + int(x).to_bytes(4, "little")) for x, h in zip(starts, w)])
-                        cold = ~np.isin(g, hot)
-                        first, last, anchor, g, c = first[cold], last[cold], anchor[cold], g[cold], c[cold]
-                    found.append((g, c, np.full(len(g), o), np.full(len(g), r), first, last, anchor))
-            if not found:
-                continue
-            g, c, ord_, rid, first, last, anchor = map(np.concatenate, zip(*found))
-            order, least = _dominated(g, c, ord_)
-            beaten = order[ord_[order] > least]
-            yield _rows(_marked(ord_[beaten], rid[beaten], first[beaten], last[beaten], parts))
-            alive = np.sort(order[ord_[order] == least])
-            part = (g[alive] % np.uint64(parts)).astype(np.int64)
-            for p, at in _by(part):
-                i = alive[at]
-                yield _rows([(int(p), CONTEXTS, None, None, _freeze([(g[i] >> np.uint64(32)).astype("<u4"), c[i], ord_[i].astype("<i8"), rid[i].astype("<i8"), first[i].astype("<i4"), (last - first)[i].astype("u1"), (anchor - first)[i].astype("u1")]))])
+            ord_, rid = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            texts, size, at = [], 0, 0
+            for i, t in enumerate(b.column(2)):
+                texts.append((t.as_py() or "").encode("utf-8", "surrogatepass"))
+                size += len(texts[-1])
+                if size >= most or i + 1 == len(ord_):
+                    yield from found(texts, ord_[at : i + 1], rid[at : i + 1])
+                    texts, size, at = [], 0, i + 1
 
     return run
 
 
 def _settle(parts: int):
-    """Contexts of a partition -> marks of those that occur in a smaller document, and requests for the texts of those that share a gram with another."""
+    """Contexts of a part -> marks of those that occur in a smaller document, and requests for the bytes of those that share a gram with another."""
 
     def run(batches):
         blobs, p = [], 0
         for b in batches:
-            kind = b.column(1).to_numpy()
-            if (kind != CONTEXTS).any():
-                yield b.filter(pa.array(kind != CONTEXTS))
-            for part, blob in zip(b.column(0).filter(pa.array(kind == CONTEXTS)).to_pylist(), b.column(4).filter(pa.array(kind == CONTEXTS))):
-                p = part
-                blobs.append(_thaw(blob.as_py(), ("<u4", "<u8", *_PLACE)))
+            own = b.column(1).to_numpy() == CONTEXTS
+            if not own.all():
+                yield b.filter(pa.array(~own))
+            for p, blob in zip(b.column(0).filter(pa.array(own)).to_pylist(), b.column(4).filter(pa.array(own))):
+                blobs.append(_thaw(blob.as_py(), CONTEXT))
         if not blobs:
             return
-        g, c, ord_, rid, first, more, shift = map(np.concatenate, zip(*blobs))
+        g, c, o, r, first, more, _ = map(np.concatenate, zip(*blobs))
         del blobs
-        order, least = _dominated(g, c, ord_)
-        beaten = order[ord_[order] > least]
-        yield _rows(_marked(ord_[beaten], rid[beaten], first[beaten], first[beaten] + more[beaten], parts))
-        stay = ord_[order] == least
-        order, gs, os = order[stay], g[order[stay]], ord_[order[stay]]
-        head = np.concatenate([[True], np.diff(gs) != 0]) if len(gs) else np.zeros(0, bool)
-        start = np.nonzero(head)[0]
-        if not len(start):
-            return
-        several = np.minimum.reduceat(os, start) < np.maximum.reduceat(os, start)
-        want = order[several[np.cumsum(head) - 1]]
-        want = want[np.lexsort((first[want], rid[want], ord_[want]))]
-        cuts = np.nonzero((np.diff(ord_[want]) != 0) | (np.diff(rid[want]) != 0))[0] + 1
-        out = []
-        for i in np.split(want, cuts):
-            if len(i):
-                key = (np.int64(p) << 32) | g[i].astype(np.int64)
-                data = b"".join(x.tobytes() for x in (key, first[i].astype("<i4"), more[i].astype("u1"), shift[i].astype("u1")))
-                out.append((int(rid[i[0]] % parts), WANTED, int(ord_[i[0]]), int(rid[i[0]]), data))
-        yield _rows(out)
+        low = _least(c, o)
+        beaten = o > low
+        yield _dealt(MARKS, r[beaten], parts, [o[beaten], r[beaten], first[beaten], first[beaten] + more[beaten].astype(np.int32)], MARK)
+        g, o, r, first, more = (x[~beaten] for x in (g, o, r, first, more))
+        # Contexts left have different bytes in different documents; their grams are of interest if a smaller document has them.
+        wanted = (_least(g, o) < o) | (_least(g, -o) < -o)
+        g, o, r, first, more = (x[wanted] for x in (g, o, r, first, more))
+        yield _dealt(WANTED, r, parts, [o, r, first, more, (np.int64(p) << 32) | g.astype(np.int64)], WANT)
 
     return run
 
 
+def _of_texts(batches, kind: int, types: tuple[str, ...]):
+    """A part's places and texts, places first -> (ord, rid, id, bytes of the text, columns of its places) of each text."""
+    blobs, table = [], None
+    for b in batches:
+        for k, o, r, i, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(5).to_pylist(), b.column(4)):
+            if k == kind:
+                blobs.append(_thaw(x.as_py(), types))
+                continue
+            if table is None:
+                columns = [np.concatenate(c) for c in zip(*blobs)] if blobs else [np.zeros(0, t) for t in types]
+                order = np.lexsort((columns[1], columns[0]))
+                columns = [c[order] for c in columns]
+                head = np.nonzero(np.concatenate([[True], (np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)]))[0] if len(order) else order
+                stop = np.append(head[1:], len(order))
+                table = {(int(columns[0][a]), int(columns[1][a])): (a, z) for a, z in zip(head.tolist(), stop.tolist())}
+                del blobs
+                blobs = []
+            a, z = table.get((o, r), (0, 0))
+            yield o, r, i, x.as_py(), [c[a:z] for c in columns[2:]]
+
+
 def _fetch(parts: int):
-    """(ord, rid, requests, text) -> the texts of the requested contexts, by partition of their gram."""
+    """Requests and texts of a part -> the bytes of the contexts that are asked for, by part of their gram."""
+
+    def flush(found):
+        texts = [x for f in found for x in f[5]]
+        key, o, r, first, more = (np.concatenate([f[i] for f in found]) for i in range(5))
+        for p, i in _by((key.view(np.uint64) * MIX[0] >> np.uint64(33)).astype(np.int64) % parts):
+            head = _freeze([key[i], o[i], r[i], first[i], more[i]])
+            yield _rows([(p, CONTEXTS, None, None, len(head).to_bytes(4, "little") + head + zstandard.ZstdCompressor(1).compress(b"".join(texts[x] for x in i.tolist())))])
 
     def run(batches):
-        for b in batches:
-            found = []
-            for o, r, wanted, z in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
-                text = zstandard.ZstdDecompressor().decompress(z.as_py())
-                for blob in wanted:
-                    n = len(blob) // 14
-                    key, first = np.frombuffer(blob, "<i8", n), np.frombuffer(blob, "<i4", n, 8 * n)
-                    more, shift = np.frombuffer(blob, "u1", n, 12 * n), np.frombuffer(blob, "u1", n, 13 * n)
-                    found.append((key, np.full(n, o), np.full(n, r), first, more, shift, [text[x : x + m + LENGTH] for x, m in zip(first.tolist(), more.tolist())]))
-            if not found:
-                continue
-            texts = [x for f in found for x in f[6]]
-            key, ord_, rid, first, more, shift = map(np.concatenate, zip(*(f[:6] for f in found)))
-            for p, i in _by((key.view(np.uint64) * MIX[0] >> np.uint64(32)).astype(np.int64) % parts):
-                head = _freeze([key[i], ord_[i].astype("<i8"), rid[i].astype("<i8"), first[i], more[i], shift[i]])
-                yield _rows([(int(p), CONTEXTS, None, None, len(head).to_bytes(4, "little") + head + zstandard.ZstdCompressor(1).compress(b"".join(texts[x] for x in i.tolist())))])
+        found, n = [], 0
+        for o, r, _, z, (first, more, key) in _of_texts(batches, WANTED, WANT):
+            if len(first):
+                text = zstandard.ZstdDecompressor().decompress(z)
+                found.append((key, np.full(len(key), o), np.full(len(key), r), first, more, [text[x : x + m + LENGTH] for x, m in zip(first.tolist(), more.tolist())]))
+                n += len(key)
+                if n > 200_000:
+                    yield from flush(found)
+                    found, n = [], 0
+        if found:
+            yield from flush(found)
 
     return run
 
@@ -225,31 +257,29 @@ def refine(texts: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.n
     bucket are not refined further and are left out.
     """
     reach = np.repeat(start + size, size)  # end of the string that each place is in
-    place = np.arange(len(texts))
-    padded = np.concatenate([texts, np.zeros(8, np.uint8)])
-    gram = np.zeros(len(texts), np.uint64)
-    for k in range(8):
-        gram = (gram << np.uint64(8)) | padded[k : k + len(texts)]
-    live = place[place + 8 <= reach]
+    place = np.arange(len(texts) - GRAM + 1)
+    live = place[place + GRAM <= reach[place]]
     pointer = np.full(len(texts), -1, np.int64)
-    _, pointer[live] = np.unique(gram[live], return_inverse=True)
-    depth = 8
-    for later in (8, 16, 18):
-        depth = min(depth + later, LENGTH)
-        live = live[live + depth <= reach[live]]
-        a, b = pointer[live], pointer[live + later]
-        both = b >= 0  # else the string later on is in no other place
-        live, a, b = live[both], a[both], b[both]
-        _, rank, times = np.unique(a * (len(texts) + 1) + b, return_inverse=True, return_counts=True)
+    buckets = gram_hashes(texts)[live]
+    depth = GRAM
+    for later in (GRAM, LENGTH - 2 * GRAM):
+        _, rank, times = np.unique(buckets, return_inverse=True, return_counts=True)
         again = times[rank] > 1
         live = live[again]
-        pointer = np.full(len(texts), -1, np.int64)
+        pointer[:] = -1
         pointer[live] = rank[again]
-    return live, pointer[live]
+        depth += later
+        live = live[live + depth <= reach[live]]
+        # The bucket of the bytes later on; without one they are in no other place.
+        live = live[pointer[live + later] >= 0]
+        buckets = pointer[live] * (len(texts) + 1) + pointer[live + later]
+    _, rank, times = np.unique(buckets, return_inverse=True, return_counts=True)
+    again = times[rank] > 1
+    return live[again], rank[again]
 
 
 def _compare(parts: int, chunk: int):
-    """Requested contexts of a partition -> marks of the windows that a smaller document has too."""
+    """Contexts of a part -> marks of the windows that a smaller document has too."""
 
     def run(batches):
         heads, texts = [], []
@@ -257,11 +287,11 @@ def _compare(parts: int, chunk: int):
             for blob in b.column(4):
                 blob = blob.as_py()
                 n = int.from_bytes(blob[:4], "little")
-                heads.append(_thaw(blob[4 : 4 + n], ("<i8", *_PLACE)))
+                heads.append(_thaw(blob[4 : 4 + n], ("<i8", "<i8", "<i8", "<i4", "u1")))
                 texts.append(zstandard.ZstdDecompressor().decompress(blob[4 + n :]))
         if not heads:
             return
-        key, ord_, rid, first, more, shift = map(np.concatenate, zip(*heads))
+        key, o, r, first, more = map(np.concatenate, zip(*heads))
         data = np.frombuffer(b"".join(texts), np.uint8)
         del heads, texts
         size = more.astype(np.int64) + LENGTH
@@ -279,40 +309,55 @@ def _compare(parts: int, chunk: int):
             if not len(live):
                 continue
             ctx = np.searchsorted(own, live, side="right") - 1
-            least = np.full(bucket.max() + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, bucket, ord_[i][ctx])
-            hit = least[bucket] < ord_[i][ctx]
+            mine = o[i][ctx]
+            hit = _least(bucket, mine) < mine
             ctx, begin = ctx[hit], (live - own[ctx])[hit] + first[i][ctx[hit]]
-            yield _rows(_marked(ord_[i][ctx], rid[i][ctx], begin, begin, parts))
+            # Windows that follow one another in a context are one mark.
+            new = np.concatenate([[True], (np.diff(ctx) != 0) | (np.diff(begin) != 1)]) if len(ctx) else np.zeros(0, bool)
+            head = np.nonzero(new)[0]
+            tail = np.append(head[1:] - 1, len(ctx) - 1) if len(head) else head
+            yield _dealt(MARKS, r[i][ctx[head]], parts, [o[i][ctx[head]], r[i][ctx[head]], begin[head], begin[tail]], MARK)
 
     return run
 
 
 def _cut_out(batches):
-    for b in batches:
-        out = []
-        for marks, z in zip(b.column(1).to_pylist(), b.column(2)):
-            text = zstandard.ZstdDecompressor().decompress(z.as_py())
-            runs = np.concatenate([np.frombuffer(m, "<i4").reshape(-1, 2) for m in marks or ()] or [np.zeros((0, 2), "<i4")])
-            runs = spans(runs[:, 0].astype(np.int64), runs[:, 1].astype(np.int64) + LENGTH - 1)
-            digest, at, gone = hashlib.sha256(), 0, 0
-            for s, e in runs.tolist():
-                digest.update(text[at:s])
-                at = e + 1
-                gone += e + 1 - s
-            digest.update(text[at:])
-            out.append((len(text), gone, len(runs), digest.hexdigest(), runs.tolist()))
-        columns = list(zip(*out)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int32())))))], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
-
-
-def _pack(batches):
-    for b in batches:
-        z = zstandard.ZstdCompressor(3)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array([z.compress((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in b.column(3)], pa.binary())], names=["id", "ord", "rid", "z"])
+    out = []
+
+    def batch():
+        columns = list(zip(*out)) or [[]] * 6
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+
+    for _, _, i, z, (first, last) in _of_texts(batches, MARKS, MARK):
+        text = zstandard.ZstdDecompressor().decompress(z)
+        runs = spans(first.astype(np.int64), last.astype(np.int64) + LENGTH - 1)
+        digest, at, gone = hashlib.sha256(), 0, 0
+        for s, e in runs.tolist():
+            digest.update(text[at:s])
+            at = e + 1
+            gone += e + 1 - s
+        digest.update(text[at:])
+        out.append((i, len(text), gone, len(runs), digest.hexdigest(), runs.tolist()))
+        if len(out) >= 2000:
+            yield batch()
+            out.clear()
+    yield batch()
+
+
+def _texts(parts: int):
+    def run(batches):
+        z = zstandard.ZstdCompressor(1)
+        for b in batches:
+            texts = [z.compress((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in b.column(3)]
+            part = (b.column(2).to_numpy(zero_copy_only=False) % parts).astype(np.int32)
+            kind = np.full(len(part), TEXT, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(kind), b.column(1), b.column(2), pa.array(texts, pa.binary()), b.column(0)], names=["part", "kind", "ord", "rid", "data", "id"])
 
+    return run
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = 50_000, hot_contexts: int = 500_000, sample: int = 1_000_000) -> DataFrame:
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = 20_000, hot_contexts: int = 500_000, sample: int = 1_000_000) -> DataFrame:
     """One row for each row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, spans (first and last byte of each removed run).
 
     A byte goes if a 50-byte string that covers it also starts in a document
@@ -337,25 +382,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if n > hot_contexts:
         def grams(batches):
             for b in batches:
-                g = [np.unique(contexts(np.frombuffer(t.as_py().encode("utf-8", "surrogatepass"), np.uint8))[3]) for t in b.column(0)]
+                found = [t.as_py().encode("utf-8", "surrogatepass") for t in b.column(0)]
+                g = [np.unique(contexts(np.frombuffer(t, np.uint8), np.array([len(t)]))[4]) for t in found]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g or [np.zeros(0, np.uint64)]).view(np.int64))], names=["g"])
 
         share = min(1.0, sample / n)
         seen = long_.where(F.pmod(F.xxhash64("rid"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text").mapInArrow(grams, "g long").groupBy("g").count()
         hot = np.array([r["g"] for r in seen.where(F.col("count") > max(9, hot_contexts * share)).select("g").collect()], np.int64).view(np.uint64)
 
-    found = saved(long_.mapInArrow(_gather(parts, hot), SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_settle(parts), SCHEMA), "contexts")
-    packed = rows.mapInArrow(_pack, "id long, ord long, rid long, z binary")
-    wanted = found.where(F.col("kind") == WANTED).groupBy("ord", "rid").agg(F.collect_list("data").alias("wanted"))
-    # The ids of rows that repeat in full are the same documents; one of them answers.
-    texts = packed.select("ord", "rid", "z").join(wanted, ["ord", "rid"]).select("ord", "rid", "wanted", "z")
-    compared = texts.mapInArrow(_fetch(parts), SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_compare(parts, chunk), SCHEMA)
-    marks = found.where(F.col("kind") == MARKS).select("ord", "rid", "data").unionByName(compared.select("ord", "rid", "data"))
+    found = saved(long_.mapInArrow(_gather(parts, hot, GATHER_BYTES), SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_settle(parts), SCHEMA), "contexts")
+    texts = rows.mapInArrow(_texts(parts), SCHEMA + ", id long")
+
+    def beside_texts(places: DataFrame) -> DataFrame:
+        """The texts of a part behind the places in them."""
+        both = places.withColumn("id", F.lit(None).cast("long")).unionByName(texts)
+        return both.repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
+
+    wanted = beside_texts(found.where(F.col("kind") == WANTED)).mapInArrow(_fetch(parts), SCHEMA)
+    compared = wanted.repartitionById(parts, F.col("part")).mapInArrow(_compare(parts, chunk), SCHEMA)
+    marks = found.where(F.col("kind") == MARKS).unionByName(compared)
     if len(hot):
         w = cut(found.where(F.col("kind") == WINDOWS).select(F.expr("substr(data, 1, 16)").alias("w"), "ord", "rid", F.expr("substr(data, 17, 4)").alias("at")))
         least = w.groupBy("w").agg(F.min("ord").alias("least"), F.count("*").alias("n")).where("n > 1")
-        beaten = hot_join(w, least, "w", "n", "rid", "inner").where("least < ord")
-        marks = marks.unionByName(beaten.select("ord", "rid", F.concat("at", "at").alias("data")))
-    marks = marks.groupBy("ord", "rid").agg(F.collect_list("data").alias("marks"))
+        beaten = hot_join(w, least, "w", "n", "rid", "inner").where("least < ord").select("ord", "rid", "at")
+
+        def mark(batches):
+            for b in batches:
+                o, r = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                at = np.array([int.from_bytes(x, "little") for x in b.column(2).to_pylist()], np.int64)
+                yield _dealt(MARKS, r, parts, [o, r, at, at], MARK)
+
+        marks = marks.unionByName(beaten.mapInArrow(mark, SCHEMA))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<int>>"
-    return packed.join(marks, ["ord", "rid"], "left").select("id", "marks", "z").mapInArrow(_cut_out, schema).withColumnRenamed("id", id_col)
+    return beside_texts(marks).mapInArrow(_cut_out, schema).withColumnRenamed("id", id_col)
