@@ -20,7 +20,7 @@ END = 1
 STEP = 32
 #: Pieces whose places in the order of a length are found by one task.
 BLOCK_ROWS = 50_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -29,8 +29,22 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> list[str]:
+    """How the tokenizer writes each byte: a printable one as itself, the others as letters from U+0100 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class _Ids(dict):
-    """Word -> its ids as bytes. The tokenizer joins nothing across blanks, so a text's ids are those of its words in turn."""
+    """Word (its bytes, A-Z in lower case) -> its ids as bytes.
+
+    The tokenizer drops white space, lowers letters and joins nothing across
+    them, so a text's ids are those of its words in turn. A punctuation mark
+    behind a letter or digit is a token of its own, and a word of letters is
+    one piece for the tokenizer's merges. Everything else goes through the
+    whole tokenizer, a text that may hold a special token as a whole.
+    """
 
     def __init__(self, path: str):
         import os
@@ -39,17 +53,34 @@ class _Ids(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.short = path.endswith("word_bpe_49k.json")
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, word):
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) > CACHED_WORDS:
             self.clear()
-        self[word] = ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) > 1 and word[-1:] in b".,;:!?" and word[-2:-1].isalnum():
+            ids = self[word[:-1]] + self[word[-1:]]
+        else:
+            text = word.decode("utf-8", "surrogatepass")
+            if text.isalpha() and max(text) < "\u0250" and text == text.lower():
+                ids = array("I", [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word]))]).tobytes()
+            else:
+                ids = self.whole(text)
+        self[word] = ids
         return ids
 
     def of(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids, with the end-of-document id."""
-        words = (text or "").replace("\n", " ").split(" ")
-        return b"".join(map(self.__getitem__, words)) + END.to_bytes(4, "little")
+        end = END.to_bytes(4, "little")
+        data = (text or "").encode("utf-8", "surrogatepass").lower()
+        if not self.short or b"<|" in data:
+            return self.whole(text or "") + end
+        return b"".join(map(self.__getitem__, data.split())) + end
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, room: int = ROOM, keep_ids: bool = False) -> DataFrame:
