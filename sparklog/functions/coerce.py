@@ -123,7 +123,7 @@ def out_timestamp(v: Column, meta: Column) -> Column:
     """Times; whole numbers are milliseconds since the epoch; text is RFC 3339 or ``YYYY-MM-DD HH:MM:SS``."""
     plain = F.when(v.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?\z"), v.try_cast("timestamp_ntz"))
     ms = to_long(v)
-    whole = F.when(ms.between(-9223372036854, 9223372036854), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=ms.cast("decimal(18,6)") / 1000))
+    whole = F.when(ms.between(-9223372036854, 9223372036854), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=F.floor(ms / 86_400_000).cast("int"), secs=F.pmod(ms, F.lit(86_400_000)).cast("decimal(18,6)") / 1000))
     return F.when(_is(meta, "digit"), whole).when(~_is(meta, "bool", "float", "hex", "obj", "array"), F.coalesce(rfc3339(v), plain))
 
 
