@@ -124,8 +124,8 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of docs that stay, with their columns."""
     found = cut(exact_duplicates(docs, id_col, text_col))
     repeated = found.groupBy(id_col, "text_sha256").count().where("count > 1").isEmpty() is False
-    stay = found.where("kept").select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"))
+    stay = found.where("kept").select(F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__sha"))
     sha = F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), 256))
-    out = docs.withColumn("_own", sha)
-    out = out.join(stay, (F.col("_sha") == F.col("_own")) & F.col("_id").eqNullSafe(F.col(id_col)), "left_semi")
-    return (out.dropDuplicates([id_col, "_own"]) if repeated else out).select(docs.columns)
+    out = docs.withColumn("__own", sha)
+    out = out.join(stay, (F.col("__sha") == F.col("__own")) & F.col("__id").eqNullSafe(F.col(id_col)), "left_semi")
+    return (out.dropDuplicates([id_col, "__own"]) if repeated else out).select(docs.columns)

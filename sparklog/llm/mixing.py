@@ -123,7 +123,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: each row of docs as often as it is taken, with its columns."""
-    numbered = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "to-mix")
-    copies = mix(numbered, row_col="_row").where("copies > 0").select(F.col("row").alias("_row"), "copies")
-    out = numbered.join(copies, "_row")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(docs.columns)
+    numbered = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "to-mix")
+    copies = mix(numbered, row_col="__row").where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies"))
+    out = numbered.join(copies, "__row")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(docs.columns)

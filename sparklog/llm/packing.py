@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
@@ -109,34 +109,48 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
     return rows.mapInArrow(emit, f"id {rows.dtypes[0][1]}, row long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids)
 
 
-def patterns(bins: int) -> np.ndarray:
-    """Rows: how often each of the lengths 1 to bins (in steps) is in a pattern; all patterns of up to three lengths that fill a sequence, and those of two or three that leave one step open."""
-    found = {(bins,)}
-    for full in (bins, bins - 1):
-        for a in range(1, full // 2 + 1):
-            found.add((a, full - a))
-        for a in range(1, full // 3 + 1):
-            for b in range(a, (full - a) // 2 + 1):
-                found.add((a, b, full - a - b))
-    out = np.zeros((len(found), bins), np.float32)
-    for i, p in enumerate(sorted(found)):
-        for x in p:
-            out[i, x - 1] += 1
+def patterns(sizes: list[int], room: int) -> np.ndarray:
+    """Rows: how often each of sizes (rising) is in a pattern: each alone, and all of two or three that leave no room for a longer one in place of their shortest."""
+    found = {(i,) for i in range(len(sizes))}
+    for i in range(len(sizes) - 1, -1, -1):
+        for j in range(i, -1, -1):
+            left = room - sizes[i] - sizes[j]
+            if left < 0:
+                continue
+            k = bisect_right(sizes, left, 0, j + 1) - 1
+            longer = bisect_right(sizes, room - sizes[i], 0, i + 1) - 1
+            if j == longer:
+                found.add((i, j))
+            if k >= 0:
+                found.add((i, j, k))
+    out = np.zeros((len(found), len(sizes)), np.float32)
+    for row, pattern in enumerate(sorted(found)):
+        for i in pattern:
+            out[row, i] += 1
     return out
 
 
-def nonnegative_fit(a: np.ndarray, b: np.ndarray, rounds: int = 2000) -> np.ndarray:
-    """x >= 0 that minimises |a x - b|, by accelerated projected gradient steps."""
-    gram_step = 1.0 / np.linalg.norm(a @ a.T, 2)
-    x = y = np.zeros(a.shape[1])
-    t = 1.0
+def nonnegative_fit(a: np.ndarray, b: np.ndarray, rounds: int = 1000) -> np.ndarray:
+    """x >= 0 that minimises |a x - b|, by an active set: at most as many entries are positive as a has rows."""
+    x, inside = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    close = 1e-9 * max(1.0, np.abs(a.T @ b).max())
     for _ in range(rounds):
-        new = np.maximum(0, y - gram_step * (a.T @ (a @ y - b)))
-        u = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        y = new + (t - 1) / u * (new - x)
-        if np.dot(y - new, new - x) > 0:
-            y, u = new, 1.0
-        x, t = new, u
+        slope = np.where(inside, -np.inf, a.T @ (b - a @ x))
+        j = int(slope.argmax())
+        if slope[j] <= close:
+            break
+        inside[j] = True
+        while True:
+            p = np.nonzero(inside)[0]
+            gram = a[:, p].T @ a[:, p]
+            s = np.linalg.solve(gram + 1e-10 * np.trace(gram) / len(p) * np.eye(len(p)), a[:, p].T @ b)
+            if (s > 0).all():
+                break
+            bad = s <= 0
+            x[p] += np.min(x[p][bad] / (x[p][bad] - s[bad])) * (s - x[p])
+            inside[p[(x[p] <= 1e-12) | (bad & (x[p] <= close))]] = False
+            x[~inside] = 0
+        x[p] = s
     return x
 
 
@@ -150,30 +164,36 @@ def plan(histogram: dict[int, int], room: int = ROOM, step: int = STEP) -> list[
     into the room that the patterns' sequences leave, or into new ones.
     """
     left = {n: c for n, c in histogram.items() if c}
-    bins = max(2, room // step)
     out: list[tuple[tuple[int, ...], int]] = []
     if left.get(room):
         out.append(((room,), left.pop(room)))
+    # Lengths by step; a bin counts as its longest length. Pieces of under a thirtieth of the room fit in anywhere, so no pattern is spent on them.
+    exact = len(left) <= room // step
     by_bin: dict[int, list[int]] = {}
     for n in sorted(left):
-        by_bin.setdefault(-(-n // step), []).append(n)
-    # Pieces of a few steps fit into what is left anywhere, so no pattern is spent on them.
-    small = bins // 32
-    want = np.array([sum(left[n] for n in by_bin.get(k, ())) if k > small else 0 for k in range(1, bins + 1)], float)
+        if n > room // 32:
+            by_bin.setdefault(n if exact else -(-n // step), []).append(n)
+    bins = list(by_bin.values())
     open_: dict[tuple[int, ...], int] = {}
-    if want.sum():
-        shape = patterns(bins)
-        # Long pieces can't be placed later, short ones can: their misfit weighs less.
-        weight = np.linspace(0.2, 1.0, bins)
-        x = nonnegative_fit((shape * weight).T.astype(float), want * weight)
+    if bins:
+        want = np.array([sum(left[n] for n in b) for b in bins], float)
+        shape = patterns([b[-1] for b in bins], room)
+        # A long piece can't be placed later, a short one can: its misfit weighs less.
+        weight = 0.2 + 0.8 * np.array([b[-1] for b in bins]) / room
+        # One more equation asks for as few sequences as the lengths allow in all.
+        least = sum(n * c for n, c in left.items()) / room
+        a = np.vstack([(shape * weight).T, np.full(len(shape), 0.3)])
+        x = nonnegative_fit(a.astype(float), np.append(want * weight, 0.3 * least))
         for i in np.argsort(-x):
             repeat = int(x[i] + 1e-6)
-            parts = [k + 1 for k in range(bins) for _ in range(int(shape[i, k]))]
+            parts = [k for k in np.nonzero(shape[i])[0].tolist() for _ in range(int(shape[i, k]))]
+            if sum(bins[k][-1] for k in parts) < room - room // 64:
+                continue  # what is not filled well is left to the best fit
             while repeat > 0:
                 # The longest length left in each of the pattern's bins; as many repeats as they allow.
                 chosen: list[int] = []
                 for k in parts:
-                    n = next((n for n in reversed(by_bin.get(k, ())) if left.get(n, 0) > chosen.count(n)), None)
+                    n = next((n for n in reversed(bins[k]) if left.get(n, 0) > chosen.count(n)), None)
                     if n is None:
                         break
                     chosen.append(n)

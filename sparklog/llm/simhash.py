@@ -161,5 +161,5 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one with the smallest id, with the columns of docs. Rows of components without any id stay."""
-    stay = simhash_groups(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "component_id").where(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    stay = simhash_groups(docs, id_col, text_col).select(F.col(id_col).alias("__id"), "component_id").where(F.col("__id").eqNullSafe(F.col("component_id"))).select("__id").distinct()
+    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")

@@ -86,7 +86,7 @@ def evidence(rows: DataFrame) -> DataFrame:
 
 
 def with_evidence(docs: DataFrame, known: DataFrame, text_col: str) -> DataFrame:
-    """docs with _total (sum of the ratios of the text's words) and _n (its number of words)."""
+    """docs with __total (sum of the ratios of the text's words) and __n (its number of words)."""
     spark = docs.sparkSession
     at = docs.columns.index(text_col)
     few = known.limit(BROADCAST_ROWS + 1).toPandas()
@@ -105,9 +105,9 @@ def with_evidence(docs: DataFrame, known: DataFrame, text_col: str) -> DataFrame
             for b in batches:
                 found = [words(t.as_py()) for t in b.column(at)]
                 total = [math.fsum(filter(None, map(of.__getitem__, w))) for w in found]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total, pa.float64()), pa.array(list(map(len, found)), pa.int64())], names=[*b.schema.names, "_total", "_n"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total, pa.float64()), pa.array(list(map(len, found)), pa.int64())], names=[*b.schema.names, "__total", "__n"])
 
-        return docs.mapInArrow(emit, T.StructType([*docs.schema.fields, T.StructField("_total", T.DoubleType()), T.StructField("_n", T.LongType())]))
+        return docs.mapInArrow(emit, T.StructType([*docs.schema.fields, T.StructField("__total", T.DoubleType()), T.StructField("__n", T.LongType())]))
 
     def count(batches):
         for b in batches:
@@ -115,12 +115,12 @@ def with_evidence(docs: DataFrame, known: DataFrame, text_col: str) -> DataFrame
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 w, c = np.unique(np.fromiter(map(_key, words(t.as_py())), np.int64), return_counts=True)
                 rows.append(np.full(len(w), i, np.int64)), keys.append(w), times.append(c)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (rows, keys, times)], names=["_row", "word", "times"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (rows, keys, times)], names=["__row", "word", "times"])
 
-    numbered = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = numbered.select("_row", text_col).mapInArrow(count, "_row long, word long, times long").join(known, "word", "left")
-    sums = found.groupBy("_row").agg(F.sum(F.coalesce("ratio", F.lit(0.0)) * F.col("times")).alias("_total"), F.sum("times").alias("_n"))
-    return numbered.join(sums, "_row", "left").drop("_row").fillna(0, ["_total", "_n"])
+    numbered = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = numbered.select("__row", text_col).mapInArrow(count, "__row long, word long, times long").join(known, "word", "left")
+    sums = found.groupBy("__row").agg(F.sum(F.coalesce("ratio", F.lit(0.0)) * F.col("times")).alias("__total"), F.sum("times").alias("__n"))
+    return numbered.join(sums, "__row", "left").drop("__row").fillna(0, ["__total", "__n"])
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -136,25 +136,25 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """docs with _held_out, _score and _predicted; see toxicity_scores."""
+    """docs with __held_out, __score and __predicted; see toxicity_scores."""
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
     marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
     if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         marks = F.broadcast(marks)
     taught = docs.where(~held).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(marks, "id")
     known = evidence(taught.select("toxic", "text"))
-    seen = with_evidence(taught.select("toxic", "text", F.xxhash64("id").alias("h")), known, "text").select("toxic", "_total", "_n", "h")
+    seen = with_evidence(taught.select("toxic", "text", F.xxhash64("id").alias("h")), known, "text").select("toxic", "__total", "__n", "h")
     seen = seen.orderBy("h").limit(CALIBRATION_ROWS).toPandas()
     y = seen["toxic"].to_numpy(float)
     if 0 < y.sum() < len(y):
-        w = _fit(np.stack([np.log1p(seen["_total"]), np.log1p(seen["_n"]), np.ones(len(y))], 1), y)
+        w = _fit(np.stack([np.log1p(seen["__total"]), np.log1p(seen["__n"]), np.ones(len(y))], 1), y)
     else:
         share = float(np.clip(y.mean(), 1e-9, 1 - 1e-9)) if len(y) else 1e-9
         w = np.array([0.0, 0.0, math.log(share / (1 - share))])
-    z = F.log1p("_total") * float(w[0]) + F.log1p("_n") * float(w[1]) + float(w[2])
+    z = F.log1p("__total") * float(w[0]) + F.log1p("__n") * float(w[1]) + float(w[2])
     out = with_evidence(docs.withColumn(text_col, F.col(text_col).cast("string")), known, text_col)
-    out = out.withColumn("_held_out", held).withColumn("_score", 1 / (1 + F.exp(-z)))
-    return out.withColumn("_predicted", (F.col("_score") >= 0.5).cast("int")).drop("_total", "_n")
+    out = out.withColumn("__held_out", held).withColumn("__score", 1 / (1 + F.exp(-z)))
+    return out.withColumn("__predicted", (F.col("__score") >= 0.5).cast("int")).drop("__total", "__n")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -169,9 +169,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     are no labels).
     """
     out = scored(docs.select(id_col, text_col), labels, id_col, text_col, label_col)
-    return out.select(id_col, F.col("_held_out").alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
+    return out.select(id_col, F.col("__held_out").alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, with their columns."""
-    return scored(docs, labels).where("_predicted = 0").select(docs.columns)
+    return scored(docs, labels).where("__predicted = 0").select(docs.columns)
