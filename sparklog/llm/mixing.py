@@ -12,7 +12,7 @@ from sparklog.llm.common import cut, hot_join, saved, word_count
 WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Documents of a source that are rounded together.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 ROUNDS = 60
 
 
