@@ -516,3 +516,55 @@ def stream_header_mode(spark, sf_dir):
 def tcp_syslog(spark, sf_dir):
     out = ev.tcp_syslog(chunks(spark, sf_dir, 4000).withColumn("ip", F.lit("10.1.1.1")), "tag")
     return out.groupBy(F.col("payload").cast("string").alias("payload"), F.col("tags")["access_ip"].alias("access_ip"), F.col("tags")["syslog_protocol"].alias("protocol")).agg(F.count("*").alias("n"))
+
+
+# --- the rest ---------------------------------------------------------------
+
+
+@query("SELECT c_nationkey AS nation, count(*) AS n, CAST(sum(strlen(c_name)) AS BIGINT) AS bytes FROM customer GROUP BY 1")
+def whole_files_scan(spark, sf_dir):
+    d = work_dir(spark)
+    table(spark, sf_dir, "customer").select("c_nationkey", "c_name").write.partitionBy("c_nationkey").text(d)
+    got = files.read_whole_files(spark, "*/*.txt", d)
+    nation = F.regexp_extract("file_path", "c_nationkey=([0-9]+)", 1).cast("int")
+    names = framing.line_frames(got.select(nation.alias("nation"), "payload"))
+    return names.groupBy("nation").agg(F.count("*").alias("n"), F.sum(F.octet_length("payload")).alias("bytes"))
+
+
+@query("SELECT event_type || ' ' || event_id AS value FROM events")
+def raw_write_roundtrip(spark, sf_dir):
+    d = work_dir(spark)
+    line = F.concat("event_type", F.lit(" "), F.col("event_id").cast("string"), F.when(F.col("event_id") % 2 == 0, "\n").otherwise(""))
+    text.write_raw(table(spark, sf_dir, "events").select(line.alias("payload")), d)
+    return files.read_lines(spark, "*.txt", d).select(F.col("payload").cast("string").alias("value"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '10.0.' || (event_id % 256) || '.1' WHEN event_id % 3 = 1 THEN 'fe80::' || (event_id % 9) ELSE '127.0.0.1' END AS ip, CASE WHEN event_id % 3 = 0 THEN '10.0.' || (event_id % 256) || '.1' WHEN event_id % 3 = 1 THEN 'fe80::' || (event_id % 9) ELSE 'unknown' END AS shown FROM events")
+def peer_addresses(spark, sf_dir):
+    n = F.col("event_id")
+    ip = F.when(n % 3 == 0, F.concat(F.lit("10.0."), (n % 256).cast("string"), F.lit(".1"))).when(n % 3 == 1, F.concat(F.lit("fe80::"), (n % 9).cast("string"))).otherwise(F.concat(F.lit("10.0.300."), n.cast("string")))
+    return table(spark, sf_dir, "events").select("event_id", ev.ip_or_local(ip).alias("ip"), ev.ip_text(ip).alias("shown"))
+
+
+@query("SELECT * FROM (VALUES ('key', 'bigint'), ('name', 'string'), ('bal', 'double'), ('port', 'int'), ('rich', 'boolean'), ('code', 'binary'), ('seen', 'timestamp_ntz')) AS t(name, type)")
+def schema_first_record(spark, sf_dir):
+    schema = records.schema_of_first(customer_records(spark, sf_dir), "c_custkey")
+    assert records.empty_table(spark, schema).schema == schema and records.text_schema(schema.fieldNames()).fieldNames() == schema.fieldNames()
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "name string, type string")
+
+
+@query("WITH s AS (SELECT doc_id AS conn, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL) SELECT conn, CAST(unnest(range(len(l))) AS BIGINT) AS msg_no, unnest(l) AS payload FROM s")
+def len_frames_live(spark, sf_dir):
+    """Live length framing keeps empty messages."""
+    d = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    parts = F.transform(F.split("text", "\n", -1), payload.frame_length)
+    return framing.frames(d.select(F.col("doc_id").alias("conn"), F.array_join(parts, "").alias("bytes")), "bytes", "len_live").select("conn", "msg_no", F.col("bytes").cast("string").alias("payload"))
+
+
+@query("SELECT CASE WHEN doc_id % 2 = 0 THEN 'good' ELSE 'short' END AS frame, count(*) AS n FROM documents GROUP BY 1")
+def skipped_frames(spark, sf_dir):
+    """Frames that are too short for their header are skipped, and counted."""
+    d = table(spark, sf_dir, "documents")
+    head = F.when(F.col("doc_id") % 2 == 0, F.unhex(F.lit("0000000161"))).otherwise(F.unhex(F.lit("FFFFFFFF61")))
+    n = arrow.count_skipped_frames(d.select(head.alias("payload")))
+    return n.select(F.explode(F.array(F.struct(F.lit("good").alias("frame"), (F.col("frames") - F.col("skipped")).alias("n")), F.struct(F.lit("short").alias("frame"), F.col("skipped").alias("n")))).alias("x")).select("x.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,6 @@ def drop_all(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def counted(df: DataFrame, payload: str = "payload", name: str = "egress") -> DataFrame:
+def counted(df: DataFrame, payload: str = "payload", name: str | Observation = "egress") -> DataFrame:
     """df with an observation of how many rows and bytes pass, and of the first payload's start."""
     return df.observe(name, F.count(F.lit(1)).alias("sent"), F.sum(F.octet_length(payload)).alias("bytes"), F.first(F.substring(F.col(payload).cast("string"), 1, 64)).alias("preview"))

@@ -246,3 +246,13 @@ def test_stream_headers(spark, folder):
     q.awaitTermination()
     r = spark.table("heads").first()
     assert r.payload == "body" and r.tags["syslog.severity"] == "notice"
+
+
+def test_counted(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([("ab",), ("cde",)], "payload string")
+    seen = Observation("egress")
+    watched = text.counted(df, "payload", seen)
+    watched.collect()
+    assert seen.get["sent"] == 2 and seen.get["bytes"] == 5
