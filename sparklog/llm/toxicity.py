@@ -24,6 +24,8 @@ BROADCAST_ROWS = 1_000_000
 #: The calibration is fitted on at most so many labelled rows.
 CALIBRATION_ROWS = 50_000
 START = 0
+#: Word pairs that a task holds before it drops repeated ones and passes them on.
+HELD_PAIRS = 1_000_000
 
 
 def words(text: str | None) -> list[str]:
@@ -43,22 +45,29 @@ class _Keys(dict):
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
-    """rows(toxic, text) -> (word, before, toxic), the distinct word pairs of each batch."""
+    """rows(toxic, text) -> (word, before, toxic), each part's distinct word pairs."""
+
+    def flush(parts: list[np.ndarray], y: int) -> pa.RecordBatch:
+        pair = np.concatenate(parts)
+        pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
+        pair = pair[np.concatenate([[True], (pair[1:] != pair[:-1]).any(1)])]
+        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(np.full(len(pair), y, np.int32))], names=["word", "before", "toxic"])
 
     def emit(batches):
         keys = _Keys()
+        of, n = {0: [], 1: []}, {0: 0, 1: 0}
         for b in batches:
-            of = {0: [], 1: []}
             for y, t in zip(b.column(0).to_pylist(), b.column(1)):
                 w = np.fromiter(map(keys.__getitem__, words(t.as_py())), np.int64)
                 if len(w):
                     of[y].append(np.stack([w, np.concatenate([[START], w[:-1]])], 1))
-            for y, parts in of.items():
-                if parts:
-                    pair = np.concatenate(parts)
-                    pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
-                    pair = pair[np.concatenate([[True], (pair[1:] != pair[:-1]).any(1)])]
-                    yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(np.full(len(pair), y, np.int32))], names=["word", "before", "toxic"])
+                    n[y] += len(w)
+                if n[y] > HELD_PAIRS:
+                    yield flush(of[y], y)
+                    of[y], n[y] = [], 0
+        for y, parts in of.items():
+            if parts:
+                yield flush(parts, y)
 
     return rows.mapInArrow(emit, "word long, before long, toxic int")
 
@@ -103,9 +112,12 @@ def with_evidence(docs: DataFrame, known: DataFrame, text_col: str) -> DataFrame
         def emit(batches):
             of = Ratios()
             for b in batches:
-                found = [words(t.as_py()) for t in b.column(at)]
-                total = [math.fsum(filter(None, map(of.__getitem__, w))) for w in found]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total, pa.float64()), pa.array(list(map(len, found)), pa.int64())], names=[*b.schema.names, "__total", "__n"])
+                total, n = [], []
+                for t in b.column(at):
+                    w = words(t.as_py())
+                    total.append(math.fsum(filter(None, map(of.__getitem__, w))))
+                    n.append(len(w))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total, pa.float64()), pa.array(n, pa.int64())], names=[*b.schema.names, "__total", "__n"])
 
         return docs.mapInArrow(emit, T.StructType([*docs.schema.fields, T.StructField("__total", T.DoubleType()), T.StructField("__n", T.LongType())]))
 
