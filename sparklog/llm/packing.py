@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ END = 1
 STEP = 32
 #: Pieces whose places in the order of a length are found by one task.
 BLOCK_ROWS = 50_000
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_500_000
 
 
 def default_tokenizer() -> str:
@@ -83,13 +84,19 @@ class _Ids(dict):
         return b"".join(map(self.__getitem__, data.split())) + end
 
 
+@lru_cache(1)
+def _loaded(path: str) -> _Ids:
+    """One for each Python worker, which outlives a task."""
+    return _Ids(path)
+
+
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, room: int = ROOM, keep_ids: bool = False) -> DataFrame:
     """(id, row, piece, start, length, ids_crc32[, ids]): each document's ids, cut into pieces of room tokens; row tells repeated documents apart."""
     tokenizer = tokenizer or default_tokenizer()
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
 
     def emit(batches):
-        of = _Ids(tokenizer)
+        of = _loaded(tokenizer)
         for b in batches:
             at, piece, length, crc, ids = [], [], [], [], []
             for i, t in enumerate(b.column(2)):
