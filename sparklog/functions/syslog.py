@@ -58,7 +58,7 @@ def parse_rfc3164(line: Column) -> Column:
 
 def _parsed(line: Column, pattern: str) -> Column:
     parts = F.struct(F.regexp_extract(line, pattern, 2).alias("message"), priority(F.regexp_extract(line, pattern, 1)).alias("pri"))
-    return F.when(line.rlike(pattern), parts)
+    return F.when(line.startswith("<") & line.rlike(pattern), parts)
 
 
 def normalize(line: Column) -> Column:

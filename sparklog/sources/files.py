@@ -41,24 +41,28 @@ def ordered_files(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), "file_path string, file_seq int")
 
 
-def read_lines(spark: SparkSession, file: str, base: str | None = None, **more: object) -> DataFrame:
-    """A row for each line: file_path, file_seq, block, line_id, payload (bytes).
-
-    Lines end with a newline only, and lose every carriage return and newline
-    at their end; blank lines and an unfinished last line are rows. Files scan
-    in parallel; orderBy(file_seq, block, line_id) gives their order. No file
-    that matches is an error.
-    """
-    path = resolve(file, base, **more)
+def _scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(the text as Spark reads it, a row for each line without its file's number)."""
     text = spark.read.option("lineSep", "\n").text(path)
     if not text.inputFiles():
         raise FileNotFoundError(f"no file matches {path}")
-    rows = text.select(
+    return text, text.select(
         F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_id"),
         F.rtrim("value", F.lit("\r\n")).cast("binary").alias("payload"),
     )
+
+
+def read_lines(spark: SparkSession, file: str, base: str | None = None, **more: object) -> DataFrame:
+    """A row for each line: file_path, file_seq, block, line_id, payload (bytes).
+
+    Lines end with a newline only, and lose every carriage return and newline
+    at their end; blank lines and an unfinished last line are rows. Files scan
+    in parallel; orderBy(file_seq, block, line_id) gives their order. No file
+    that matches is an error.
+    """
+    text, rows = _scan(spark, resolve(file, base, **more))
     return rows.join(ordered_files(text), "file_path").select("file_path", "file_seq", "block", "line_id", "payload")
 
 
@@ -69,7 +73,7 @@ def read_text_events(
     if encode not in ENCODINGS:
         raise ValueError(f"unknown encoding {encode!r}; one of {ENCODINGS}")
     shards = max(1, min(MOST_SHARDS, instances))
-    rows = read_lines(spark, file, base)
+    rows = _scan(spark, resolve(file, base))[1]
     key: Column = shard_key(name, F.pmod(F.xxhash64("file_path", "block"), F.lit(shards)), shards)
     rows = rows.withColumn("tags", F.create_map(F.lit("access_source"), F.col("file_path")))
     rows = rows.withColumn("payload", decode_line(F.col("payload").cast("string"), encode, on_error) if encode != "text" else F.col("payload"))
@@ -87,4 +91,4 @@ def read_whole_files(spark: SparkSession, file: str, base: str | None = None, na
 
 def read_ndjson(spark: SparkSession, file: str, schema: T.StructType, base: str | None = None, on_error: str = "fail") -> DataFrame:
     """Files of JSON lines as typed columns."""
-    return ndjson_to_table(read_lines(spark, file, base), schema, "payload", on_error)
+    return ndjson_to_table(_scan(spark, resolve(file, base))[1], schema, "payload", on_error)
