@@ -267,3 +267,20 @@ def test_line_bands_are_of_the_line_alone():
     lines = [x for x in lines if len(x) >= 5]
     together = line_dedup.line_bands(lines)
     assert all((line_dedup.line_bands([x])[0] == t).all() for x, t in zip(lines, together))
+
+
+@pytest.mark.parametrize("n", [30, 100, 400])
+def test_line_band_recall(n):
+    rng = random.Random(n)
+    letters = "abcdefghijklmnopqrstuvwxyz    "
+    pairs = []
+    while len(pairs) < 400:
+        a = "".join(rng.choice(letters) for _ in range(n))
+        b = list(a)
+        for _ in range(max(1, int(n * 0.022))):
+            b[rng.randrange(n)] = rng.choice(letters)
+        b = "".join(b)[: n - rng.choice((0, 0, n // 15))]
+        if 0.8 <= jaccard(a, b) < 0.86:
+            pairs.append((a, b))
+    x, y = (line_dedup.line_bands(list(s)) for s in zip(*pairs))
+    assert (x == y).any(1).mean() > 0.985
