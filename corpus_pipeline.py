@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from sparklog.llm.common import saved, table
 from sparklog.llm.exact_dedup import without_copies
 from sparklog.llm.mixing import mixed
+from sparklog.llm.near_dedup import without_near_texts
 from sparklog.llm.packing import pack_documents
-from sparklog.llm.simhash import without_near_copies
 from sparklog.llm.toxicity import without_toxic
 
 
@@ -21,7 +21,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_copies(docs)
+    return without_near_texts(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ STAGES = [
     ("mixing", mixing),
     ("packing", packing),
 ]
-#: SQL expresses neither the scores, nor the fingerprints, nor the tokens; tests hold the result against a brute-force version.
+#: SQL expresses neither the scores, nor the similarities, nor the tokens; tests hold the result against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -1,3 +1,5 @@
+import collections
+import functools
 import hashlib
 import random
 
@@ -5,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from sparklog.llm import exact_dedup, line_dedup, simhash, suffix_dedup
+from sparklog.llm import exact_dedup, line_dedup, near_dedup, simhash, suffix_dedup
 from sparklog.llm.components import components
 from tests.llm.conftest import DOCS
 
@@ -155,6 +157,79 @@ def test_simhash_groups(docs, none):
     assert simhash.without_near_copies(docs).columns == docs.columns
 
 
+# --- near copies of documents -----------------------------------------------
+
+
+@functools.cache
+def five_words(t):
+    w = lowered(t).encode().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def word_jaccard(a, b):
+    a, b = five_words(a), five_words(b)
+    return len(a & b) / len(a | b)
+
+
+def near_brute(docs):
+    """The (id, text) that stay."""
+    rows = sorted({(i is None, i or 0, t or "") for i, t, *_ in docs})
+    texts = sorted({t for *_, t in rows})
+    root = unite(texts, [(a, b) for k, a in enumerate(texts) for b in texts[:k] if word_jaccard(a, b) >= 0.8])
+    least = {}
+    for none, i, t in rows:
+        least.setdefault(root[t], (none, i))
+    return collections.Counter((None if none else i) for none, i, t in rows if (none, i) == least[root[t]])
+
+
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"edit{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+def test_near_texts(spark, of, docs, none):
+    rng = random.Random(11)
+    texts = []
+    for n in (4, 12, 40, 150, 400):
+        for _ in range(6):
+            base = prose(rng, n)
+            texts += [base, base.upper(), base.replace(" ", "\n ", 2), *(edited(rng, base, k) for k in (1, 2, 3, 5, 8, 10, 15))]
+            chain = base
+            for _ in range(4):
+                chain = edited(rng, chain, max(1, n // 60))
+                texts.append(chain)
+    texts += ["", None, " \n", "one", "ONE", "one two"]
+    rng.shuffle(texts)
+    got = near_dedup.without_near_texts(of(texts))
+    assert collections.Counter(r.doc_id for r in got.collect()) == near_brute(list(enumerate(texts)))
+    assert near_dedup.without_near_texts(docs).columns == docs.columns
+    assert collections.Counter(r.doc_id for r in near_dedup.without_near_texts(docs).dropDuplicates(["doc_id", "text"]).collect() if r.doc_id is not None) == near_brute([d for d in DOCS if d[0] is not None])
+    assert near_dedup.without_near_texts(none).count() == 0
+
+
+def test_near_stage_drops_edited_copies(spark, of):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(12)
+    base = prose(rng, 300)
+    other = edited(rng, base, 6)
+    assert word_jaccard(base, other) >= 0.8 and bin(brute_fingerprint(base) ^ brute_fingerprint(other)).count("1") > 2
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, of([base, other, prose(rng, 300)]), None)
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2]
+
+
+def test_near_bands_recall():
+    rng, found, n = random.Random(13), 0, 0
+    while n < 400:
+        base = prose(rng, 80)
+        other = edited(rng, base, 2)
+        if 0.8 <= word_jaccard(base, other) < 0.85:
+            a, b = (near_dedup.text_bands(near_dedup.shingles(t)) for t in (base, other))
+            n, found = n + 1, found + bool((a == b).any())
+    assert found >= 0.99 * n
+
+
 # --- repeated strings -------------------------------------------------------
 
 
