@@ -163,6 +163,14 @@ def strip_lenient(spark, sf_dir):
     return lines(spark, sf_dir).unionByName(d).select("event_id", syslog.strip_lenient(F.col("line"), (" sender: ",)).alias("message"))
 
 
+@query(f"""SELECT doc_id, CASE WHEN regexp_matches(line, '{syslog.LENIENT_5424}') THEN regexp_extract(line, '{syslog.LENIENT_5424}', 1)
+      WHEN instr(line, '>') > 0 AND instr(line, ': ') > instr(line, '>') THEN substr(line, instr(line, ': ') + 2)
+      WHEN instr(line, ' sender: ') > 0 THEN substr(line, instr(line, ' sender: ') + 9) ELSE {BODY} END AS message FROM (SELECT doc_id, text AS line FROM documents)""")
+def strip_lenient_texts(spark, sf_dir):
+    """Whole texts, of any length."""
+    return table(spark, sf_dir, "documents").select("doc_id", syslog.strip_lenient(F.col("text"), (" sender: ",)).alias("message"))
+
+
 @query("SELECT c_custkey, coalesce(nullif(trim(CASE c_custkey % 3 WHEN 0 THEN '  ' WHEN 1 THEN ' ' || c_mktsegment || ' ' END), ''), c_name) AS app FROM customer")
 def app_names(spark, sf_dir):
     given = F.when(F.col("c_custkey") % 3 == 0, "  ").when(F.col("c_custkey") % 3 == 1, F.concat(F.lit(" "), "c_mktsegment", F.lit(" ")))

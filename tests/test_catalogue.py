@@ -20,6 +20,15 @@ def test_query(spark, name):
         assert df.count() > 0
 
 
+def test_strip_lenient_reads_whole_texts(spark, tmp_path):
+    long = "word " * 2000
+    texts = [long + "x> app: body " + long, long + " sender: body " + long, long + "<13>1 a b c d e - body"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.message for r in catalogue.QUERIES["strip_lenient_texts"](spark, str(tmp_path)).collect()}
+    assert got == {0: "body " + long, 1: "body " + long, 2: "body"}
+    same_rows(catalogue.QUERIES["strip_lenient_texts"](spark, str(tmp_path)), catalogue.ORACLE["strip_lenient_texts"], str(tmp_path))
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
