@@ -127,6 +127,20 @@ def test_toxicity_edges(spark, docs, none):
     assert toxicity.without_toxic(docs, labels.where("false")).columns == docs.columns
 
 
+@pytest.mark.xfail(strict=True, reason="a word with three or fewer distinct predecessors in toxic texts gives no evidence; see README")
+def test_planted_phrase_gives_evidence(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        w = [f"w{rng.randrange(300)}" for _ in range(60)]
+        if i % 2:
+            w[30:30] = ["grab", "some", "burlap"]
+        rows.append((i % 2, " ".join(w)))
+    known = {r.word for r in toxicity.evidence(spark.createDataFrame(rows, "toxic int, text string")).collect()}
+    assert toxicity._key("grab") in known
+    assert {toxicity._key("some"), toxicity._key("burlap")} <= known
+
+
 # --- language ---------------------------------------------------------------
 
 
