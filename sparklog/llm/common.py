@@ -46,6 +46,23 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Recent(dict):
+    """What make(key) gives, kept for the keys used of late: twice ``most`` of them at the most, however many there are."""
+
+    def __init__(self, make, most: int = 100_000):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        found = self.older.pop(key, None)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

@@ -78,44 +78,63 @@ def test_mixing_edges(docs, none):
 # --- toxicity ---------------------------------------------------------------
 
 
-def brute_evidence(rows):
+def brute_ratios(rows):
+    """word -> log P(word | 1) - log P(word | 0), and the one of a word never seen."""
     pairs = {0: set(), 1: set()}
     for y, t in rows:
         w = toxicity.words(t)
         pairs[y] |= set(zip(w, [""] + w[:-1]))
     count = {y: collections.Counter(w for w, _ in p) for y, p in pairs.items()}
     both = collections.Counter(w for w, _ in pairs[0] | pairs[1])
-    n, total = {y: len(p) for y, p in pairs.items()}, sum(both.values())
+    cut = lambda c: min(c, max(0.75, math.sqrt(c)))
+    left = {y: sum(map(cut, count[y].values())) / len(pairs[y]) for y in (0, 1)}
 
     def p(y, w):
-        cut = sum(min(3, c) for c in count[y].values()) / n[y]
-        shared = (both[w] - 0.75) / total + 0.75 / total * 0.5
-        return max(0, count[y][w] - 3) / n[y] + cut * shared
+        shared = (both[w] - 0.75 + 0.75 * len(both) / (len(both) + 1)) / sum(both.values())
+        c = count[y][w]
+        return (c - cut(c)) / len(pairs[y]) + left[y] * shared
 
-    out = {w: math.log(p(1, w) / p(0, w)) for w in both if count[1][w] > 3}
-    return {w: r for w, r in out.items() if r >= toxicity.LEAST_RATIO}
+    return {w: math.log(p(1, w) / p(0, w)) for w in both}, math.log(left[1] / left[0])
 
 
-@tables
-def test_evidence_against_brute_force(spark):
-    rows = table(spark, "documents").join(table(spark, "labels"), "doc_id").select("toxic", "text")
-    want = {toxicity._key(w): r for w, r in brute_evidence([tuple(r) for r in rows.collect()]).items()}
-    got = {r.word: r.ratio for r in toxicity.evidence(rows).collect()}
-    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in got)
+def brute_likeness(text, ratios, unseen):
+    r = sorted(ratios.get(w, unseen) for w in toxicity.words(text))
+    if not r:
+        return 0.0
+    k = -(-len(r) // 50)
+    return sum(r[-k:]) / k - (r[(len(r) - 1) // 2] + r[len(r) // 2]) / 2
 
 
 @tables
-def test_toxicity_held_out(spark, monkeypatch):
+def test_toxicity_against_brute_force(spark, monkeypatch):
+    """Whole texts: models of all rows and of the folds, likeness, curve, score."""
     docs, labels = table(spark, "documents"), table(spark, "labels")
+    mark = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("fold")).collect()
+    taught = [r for r in rows if r.doc_id in mark and zlib.crc32(str(r.doc_id).encode()) % 5]
+    whole = brute_ratios([(mark[r.doc_id], r.text) for r in taught])
+    fold = [brute_ratios([(mark[r.doc_id], r.text) for r in taught if r.fold == k]) for k in (0, 1)]
+    x = np.array([(brute_likeness(r.text, *fold[1 - r.fold]), math.log1p(len(toxicity.words(r.text))), 1) for r in taught])
+    w = toxicity._fit(x, np.array([mark[r.doc_id] for r in taught], float))
+    want = {r.doc_id: (like, 1 / (1 + math.exp(-(w[0] * like + w[1] * math.log1p(len(toxicity.words(r.text))) + w[2])))) for r in rows for like in [brute_likeness(r.text, *whole)]}
+    for most in (toxicity.BROADCAST_WORDS, 0):  # broadcast and joined models agree
+        monkeypatch.setattr(toxicity, "BROADCAST_WORDS", most)
+        got = {r.doc_id: (r.likeness, r.score) for r in toxicity.toxicity_scores(docs, labels).collect()}
+        assert got.keys() == want.keys()
+        for i, (like, score) in got.items():
+            assert math.isclose(like, want[i][0], abs_tol=1e-5) and math.isclose(score, want[i][1], abs_tol=1e-4)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_toxicity_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     got = toxicity.toxicity_scores(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in got)
-    hit = [r.predicted == r.toxic for r in got]
-    assert sum(hit) / len(hit) > 0.93
-    assert sum(r.predicted for r in got if r.toxic == 0) <= 1
-    ours = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
-    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 0)
-    other = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
-    assert ours.keys() == other.keys() and all(math.isclose(ours[k], other[k], rel_tol=1e-6) for k in ours)
+    toxic = [r.predicted for r in got if r.toxic]
+    assert sum(toxic) >= 0.9 * len(toxic)
+    assert sum(r.predicted for r in got if not r.toxic) <= 0.01 * len(got)
+    wins = [(a.score > b.score) + 0.5 * (a.score == b.score) for a in got if a.toxic for b in got if not b.toxic]
+    assert sum(wins) / len(wins) > 0.96
 
 
 def test_toxicity_edges(spark, docs, none):
@@ -125,20 +144,24 @@ def test_toxicity_edges(spark, docs, none):
             got = toxicity.toxicity_scores(d, marks).collect()
             assert len(got) == n and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.held_out is not None for r in got)
     assert toxicity.without_toxic(docs, labels.where("false")).columns == docs.columns
+    twice = toxicity.toxicity_scores(docs.unionByName(docs), labels).where("doc_id = 6").collect()
+    assert len(twice) == 4 and len({r.score for r in twice}) == 1
 
 
-@pytest.mark.xfail(strict=True, reason="a word with three or fewer distinct predecessors in toxic texts gives no evidence; see README")
-def test_planted_phrase_gives_evidence(spark):
+def test_planted_phrase_is_caught(spark):
+    """Every word of a set phrase tells, also those that always follow the same word."""
     rng = random.Random(3)
-    rows = []
-    for i in range(600):
+    docs, labels = [], []
+    for i in range(900):
         w = [f"w{rng.randrange(300)}" for _ in range(60)]
         if i % 2:
             w[30:30] = ["grab", "some", "burlap"]
-        rows.append((i % 2, " ".join(w)))
-    known = {r.word for r in toxicity.evidence(spark.createDataFrame(rows, "toxic int, text string")).collect()}
-    assert toxicity._key("grab") in known
-    assert {toxicity._key("some"), toxicity._key("burlap")} <= known
+        docs.append((i, " ".join(w)))
+        labels.append((i, i % 2))
+    got = toxicity.toxicity_scores(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+    ratios, unseen = brute_ratios([(i % 2, t) for i, t in docs])
+    assert min(ratios[w] for w in ("some", "burlap")) > unseen
 
 
 # --- language ---------------------------------------------------------------
