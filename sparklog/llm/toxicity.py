@@ -111,15 +111,20 @@ def likeness(ratios: np.ndarray) -> float:
     return float(np.partition(ratios, n - k)[n - k :].mean() - np.median(ratios))
 
 
+def _sent(model: DataFrame):
+    """The model as a broadcast of arrays, in the order of the words' keys."""
+    found = model.toArrow()
+    keys = found.column("word").to_numpy()
+    order = np.argsort(keys)
+    return model.sparkSession.sparkContext.broadcast((keys[order], np.stack([found.column(name).to_numpy()[order] for name in MODELS], 1)))
+
+
 def with_likeness(docs: DataFrame, model: DataFrame, unseen: dict[str, float], text_col: str, which: str | None = None) -> DataFrame:
     """docs with __like (see likeness) and __n (its number of words). Column ``which`` names the model for each row."""
     spark, names = docs.sparkSession, list(MODELS)
     at, by = docs.columns.index(text_col), docs.columns.index(which) if which else None
-    few = model.limit(BROADCAST_WORDS + 1).toPandas()
-    if len(few) <= BROADCAST_WORDS:
-        few = few.sort_values("word")
-        table = spark.sparkContext.broadcast((few["word"].to_numpy(), few[names].to_numpy(np.float32)))
-        del few
+    if model.count() <= BROADCAST_WORDS:
+        table = _sent(model)
 
         def ratio(name: str, word: str) -> float:
             keys, values = table.value

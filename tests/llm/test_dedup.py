@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from sparklog.llm import exact_dedup, line_dedup, near_dedup, simhash, suffix_dedup
+from sparklog.llm import exact_dedup, line_dedup, simhash, suffix_dedup
 from sparklog.llm.components import components
 from tests.llm.conftest import DOCS
 
@@ -189,24 +189,48 @@ def edited(rng, text, n):
     return " ".join(w)
 
 
-def test_near_texts(spark, of, docs, none):
-    rng = random.Random(11)
+def near_corpus(rng):
+    """Texts of several lengths, each with edited copies, chains of edits, and copies in other case and spacing."""
     texts = []
     for n in (4, 12, 40, 150, 400):
-        for _ in range(6):
+        for _ in range(8):
             base = prose(rng, n)
-            texts += [base, base.upper(), base.replace(" ", "\n ", 2), *(edited(rng, base, k) for k in (1, 2, 3, 5, 8, 10, 15))]
+            texts += [base, base.upper(), base.replace(" ", "\n ", 2), *(edited(rng, base, k) for k in (1, 1, 2, 3, 5, 8, 10, 15))]
             chain = base
             for _ in range(4):
                 chain = edited(rng, chain, max(1, n // 60))
                 texts.append(chain)
     texts += ["", None, " \n", "one", "ONE", "one two"]
     rng.shuffle(texts)
-    got = near_dedup.without_near_texts(of(texts))
-    assert collections.Counter(r.doc_id for r in got.collect()) == near_brute(list(enumerate(texts)))
-    assert near_dedup.without_near_texts(docs).columns == docs.columns
-    assert collections.Counter(r.doc_id for r in near_dedup.without_near_texts(docs).dropDuplicates(["doc_id", "text"]).collect() if r.doc_id is not None) == near_brute([d for d in DOCS if d[0] is not None])
-    assert near_dedup.without_near_texts(none).count() == 0
+    return texts
+
+
+@pytest.mark.parametrize("few,share", [(simhash.FEW, 0.95), (1, 0.9)])
+def test_near_copies(of, docs, none, monkeypatch, few, share):
+    """With all buckets but those of one in stars, chains of edits lose some links."""
+    monkeypatch.setattr(simhash, "FEW", few)
+    texts = near_corpus(random.Random(11))
+    kept = collections.Counter(r.doc_id for r in simhash.without_near_copies(of(texts)).collect())
+    want = near_brute(list(enumerate(texts)))
+    assert not want - kept  # nothing goes that has no copy of a smaller id
+    assert len(texts) - sum(kept.values()) >= share * (len(texts) - sum(want.values()))
+    left = simhash.without_near_copies(docs)
+    assert left.columns == docs.columns and simhash.without_near_copies(none).count() == 0
+
+
+def test_near_copies_of_repeated_rows(spark):
+    x, y = "a b c d e f g h", "q w e r t y u"
+    rows = [(1, x), (1, x), (2, x), (3, y), (8, y), (8, "other words that stand alone here"), (None, y), (None, "no id at all"), (None, "no id at all")]
+    got = simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, x), (3, y), (8, "other words that stand alone here"), (None, "no id at all")], key=repr)
+
+
+def test_shingle_sets():
+    rng = random.Random(14)
+    for t in [None, "", " \n", "One", "a B c d", "a b c d e", prose(rng, 60), "é Ü ß " * 5]:
+        w = lowered(t).encode().split()
+        want = {xxhash.xxh64_intdigest(b" ".join(w[i : i + 5]), 42) for i in range(max(1, len(w) - 4))}
+        assert set(simhash.shingle_set(t).view(np.uint64).tolist()) == want
 
 
 def test_near_stage_drops_edited_copies(spark, of):
@@ -219,15 +243,18 @@ def test_near_stage_drops_edited_copies(spark, of):
     assert sorted(r.doc_id for r in got.collect()) == [0, 2]
 
 
-def test_near_bands_recall():
-    rng, found, n = random.Random(13), 0, 0
-    while n < 400:
-        base = prose(rng, 80)
-        other = edited(rng, base, 2)
-        if 0.8 <= word_jaccard(base, other) < 0.85:
-            a, b = (near_dedup.text_bands(near_dedup.shingles(t)) for t in (base, other))
-            n, found = n + 1, found + bool((a == b).any())
-    assert found >= 0.99 * n
+def test_order_keys_recall():
+    """Near copies of 0.8 and more share a key; texts that have nothing to do with each other hardly ever do."""
+    rng, found, n, far = random.Random(13), 0, 0, 0
+    while n < 300:
+        base = prose(rng, 120)
+        other = edited(rng, base, rng.choice((1, 2, 3)))
+        if word_jaccard(base, other) >= 0.8:
+            fp = np.array([simhash._signed(simhash.text_fingerprint(t, n_words=5)) for t in (base, other, prose(rng, 120))])
+            row, key = simhash.order_keys(fp)
+            a, b, c = (set(key[row == k].tolist()) for k in range(3))
+            n, found, far = n + 1, found + bool(a & b), far + bool(a & c)
+    assert found >= 0.93 * n and far <= 0.01 * n
 
 
 # --- repeated strings -------------------------------------------------------
