@@ -79,21 +79,33 @@ def test_exact_stage(docs, none):
 def test_directory_splits(spark):
     rng = random.Random(1)
     keys = [rng.getrandbits(64) - (1 << 63) for _ in range(3000)] + [(1 << 60) + i for i in range(200)]
-    buckets, depth = exact_dedup.directory(spark.createDataFrame([(k,) for k in keys], "h long"), 50)
+    df = spark.createDataFrame([(k,) for k in keys], "h long")
+    buckets = exact_dedup.directory(df, 50)
     rows = buckets.collect()
-    assert sum(r.load for r in rows) == len(keys) and depth == exact_dedup.CELL_BITS
-    assert all(r.load <= 50 or r.depth == exact_dedup.CELL_BITS for r in rows)
-    spans = sorted((r.prefix << (depth - r.depth), (r.prefix + 1) << (depth - r.depth)) for r in rows)
+    assert sum(r.load for r in rows) == len(keys) and max(r.load for r in rows) <= 50 and max(r.depth for r in rows) > 50
+    spans = sorted((r.prefix % (1 << 64) << (64 - r.depth), r.prefix % (1 << 64) + 1 << (64 - r.depth), f"{r.depth}_{r.prefix}") for r in rows)
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
-    for k in keys:
-        slot = (k % (1 << 64)) >> (64 - depth)
-        assert sum(a <= slot < b for a, b in spans) == 1
+    got = {r.h: r.bucket for r in exact_dedup.with_bucket(df, buckets).collect()}
+    assert got == {k: next(name for a, b, name in spans if a <= k % (1 << 64) < b) for k in keys}
+
+
+def test_exact_owner_files(spark, docs):
+    """The chains of one key stand in one file of one bucket, in order."""
+    _, index = exact_dedup.build_index(docs, key_bits=2, bucket_rows=1)
+    rows = index.select("h", "chain", "bucket", "n").withColumn("file", index["_metadata.file_path"]).collect()
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r.h].append(r)
+    assert all(len({(r.bucket, r.file) for r in x}) == 1 and sorted(r.chain for r in x) == list(range(len(x))) for x in by.values())
+    assert max(map(len, by.values())) > 1 and sum(r.n for r in rows) == len(DOCS)
 
 
 def test_hot_text(spark):
     df = spark.range(6000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'Hot', concat('t', id)) AS text")
     got = exact_dedup.exact_duplicates(df)
     assert got.where("kept").count() == 4001 and got.where("keep_id = 5997").count() == 2000
+    left = exact_dedup.without_copies(df.unionByName(df.where("doc_id < 10")))
+    assert left.count() == 4001
 
 
 # --- SimHash ----------------------------------------------------------------
