@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Rows that reach a Python worker at once, so that long texts do not pile up in it.
+BATCH_ROWS = 2_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

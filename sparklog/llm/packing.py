@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sparklog.llm.common import cut, saved
+from sparklog.llm.common import Recent, saved
 
 ROOM = 4096
 END = 1
@@ -21,7 +21,8 @@ END = 1
 STEP = 32
 #: Pieces whose places in the order of a length are found by one task.
 BLOCK_ROWS = 50_000
-CACHED_WORDS = 1_500_000
+#: Words whose ids a Python worker keeps, those used of late.
+CACHED_WORDS = 400_000
 
 
 def default_tokenizer() -> str:
@@ -37,7 +38,7 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
-class _Ids(dict):
+class _Ids(Recent):
     """Word (its bytes, A-Z in lower case) -> its ids as bytes.
 
     The tokenizer drops white space, lowers letters and joins nothing across
@@ -50,6 +51,8 @@ class _Ids(dict):
     def __init__(self, path: str):
         import os
 
+        super().__init__(self._of_word, CACHED_WORDS // 2)
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -61,9 +64,7 @@ class _Ids(dict):
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > CACHED_WORDS:
-            self.clear()
+    def _of_word(self, word: bytes) -> bytes:
         if len(word) > 1 and word[-1:] in b".,;:!?" and word[-2:-1].isalnum():
             ids = self[word[:-1]] + self[word[-1:]]
         else:
@@ -72,7 +73,6 @@ class _Ids(dict):
                 ids = array("I", [t.id for t in self.model.tokenize("".join([self.letters[b] for b in word]))]).tobytes()
             else:
                 ids = self.whole(text)
-        self[word] = ids
         return ids
 
     def of(self, text: str | None) -> bytes:

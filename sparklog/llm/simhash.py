@@ -27,7 +27,9 @@ GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 #: Near copies: shingles of so many words at this Jaccard similarity. Fingerprints of such texts differ in 8 bits as the median and hardly ever in more than BITS.
 COPY_WORDS = 5
 SIMILARITY = 0.8
-BITS = 16
+BITS = 14
+#: The second fingerprints, which no key has chosen, may differ in so many.
+OTHER_BITS = 18
 #: Each of ORDERS orders of the 64 bits gives keys: WHOLE bits as they are, and for the 23 after them the indices of the NEARBY nearest codewords (of the six at most that lie within 4 bits).
 #: Of fingerprints that differ in 8 bits 0.99 share a key, in 10 bits 0.9, in 12 bits 0.6. Two bits more of WHOLE for each fourfold number of documents keep chance meetings as rare.
 ORDERS, WHOLE, NEARBY = 96, 10, 2
@@ -38,11 +40,11 @@ BROADCAST_ROWS = 1_000_000
 _ORDER = np.stack([np.random.default_rng(k).permutation(64)[: WHOLE + 23] for k in range(ORDERS)])
 
 
-def text_fingerprint(text: str | None, chunk: int = 1 << 16, n_words: int = WORDS) -> int:
-    """64 bits: a bit is 1 if it is set in the hashes of over half the shingles; 0 for a text with no word."""
+def _shingle_hashes(text: str | None, n_words: int, chunk: int):
+    """XXH64 of each shingle, in arrays of up to chunk; none for a text with no word."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -50,13 +52,38 @@ def text_fingerprint(text: str | None, chunk: int = 1 << 16, n_words: int = WORD
         starts, ends = starts[: len(words) - n_words + 1], ends[n_words - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
     for at in range(0, len(starts), chunk):
         s, e = starts[at : at + chunk].tolist(), ends[at : at + chunk].tolist()
-        h = np.array([digest(line[i:j], SEED) for i, j in zip(s, e)], dtype=">u8")
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-        ones += np.add.reduce(bits, axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
+        yield np.array([digest(line[i:j], SEED) for i, j in zip(s, e)], dtype=np.uint64)
+
+
+def _ones(h: np.ndarray) -> np.ndarray:
+    """How often each bit is set, the first one first."""
+    return np.add.reduce(np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1), axis=0, dtype=np.int64)
+
+
+def _majority(ones: np.ndarray, n: int) -> int:
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+
+
+def text_fingerprint(text: str | None, chunk: int = 1 << 16, n_words: int = WORDS) -> int:
+    """64 bits: a bit is 1 if it is set in the hashes of over half the shingles; 0 for a text with no word."""
+    ones, n = np.zeros(64, np.int64), 0
+    for h in _shingle_hashes(text, n_words, chunk):
+        ones += _ones(h)
+        n += len(h)
+    return _majority(ones, n) if n else 0
+
+
+def two_fingerprints(text: str | None, n_words: int = COPY_WORDS) -> tuple[int, int]:
+    """text_fingerprint, and a second one of other bits of the same shingles, which keys do not use."""
+    ones, n = np.zeros((2, 64), np.int64), 0
+    for h in _shingle_hashes(text, n_words, 1 << 14):
+        other = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        ones += [_ones(h), _ones(other ^ (other >> np.uint64(32)))]
+        n += len(h)
+    return (_majority(ones[0], n), _majority(ones[1], n)) if n else (0, 0)
 
 
 def _signed(x: int) -> int:
@@ -209,8 +236,8 @@ def _sets(batches):
 
 def _prints(batches):
     for b in batches:
-        fp = pa.array([_signed(text_fingerprint(t.as_py(), n_words=COPY_WORDS)) for t in b.column(2)], pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fp], names=["nid", "id", "fp"])
+        fp = [tuple(map(_signed, two_fingerprints(t.as_py()))) for t in b.column(2)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([x[k] for x in fp], pa.int64()) for k in (0, 1))], names=["nid", "id", "fp", "fp2"])
 
 
 def _keyed(batches):
@@ -227,11 +254,11 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """nodes(nid, least, fp), texts(nid, id, text) -> (a, b): links between texts at SIMILARITY or more.
+    """nodes(nid, least, fp, fp2), texts(nid, id, text) -> (a, b): links between texts at SIMILARITY or more.
 
-    Fingerprints that share a key and differ in BITS bits at most are
-    candidates: all pairs of a small bucket, stars (see star_links) in a large
-    one. A fingerprint stands for one of its texts; others that have the same
+    Fingerprints that share a key and differ in BITS bits at most, and in the
+    second ones in OTHER_BITS, are candidates: all pairs of a small bucket,
+    stars (see star_links) in a large one. A fingerprint stands for one of its texts; others that have the same
     are candidates among themselves.
     """
     # A key comes at most once from a fingerprint, so a bucket of one holds nothing alike.
@@ -241,8 +268,10 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     close = F.expr(f"bit_count(x ^ y) <= {BITS}")
     met = few.select("key", F.col("fp").alias("x")).join(few.select("key", F.col("fp").alias("y")), "key").where((F.col("x") < F.col("y")) & close)
     met = saved(met.select("x", "y").distinct(), "near-met")
-    stand = saved(nodes.groupBy("fp").agg(F.min("nid").alias("nid"), F.count("*").alias("n")), "near-stand")
-    as_a, as_b = stand.select(F.col("fp").alias("x"), F.col("nid").alias("a")), stand.select(F.col("fp").alias("y"), F.col("nid").alias("b"))
+    stand = saved(nodes.groupBy("fp").agg(F.min(F.struct("nid", "fp2")).alias("s"), F.count("*").alias("n")).select("fp", "s.*", "n"), "near-stand")
+    as_a = stand.select(F.col("fp").alias("x"), F.col("nid").alias("a"), F.col("fp2").alias("x2"))
+    as_b = stand.select(F.col("fp").alias("y"), F.col("nid").alias("b"), F.col("fp2").alias("y2"))
+    close2 = F.expr(f"bit_count(x2 ^ y2) <= {OTHER_BITS}")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Exact similarity of the shingle sets; only the texts of a pair are fetched, once each."""
@@ -258,10 +287,10 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         return both.where(F.col("both") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
     def within(pairs: DataFrame) -> DataFrame:
-        prints = nodes.select("nid", "fp")
-        return verified(pairs.join(prints.select(F.col("nid").alias("a"), F.col("fp").alias("x")), "a").join(prints.select(F.col("nid").alias("b"), F.col("fp").alias("y")), "b").where(close).select("a", "b"))
+        x, y = (nodes.select(F.col("nid").alias(n), F.col("fp").alias(p), F.col("fp2").alias(f"{p}2")) for n, p in (("a", "x"), ("b", "y")))
+        return verified(pairs.join(x, "a").join(y, "b").where(close & close2).select("a", "b"))
 
-    links = verified(met.join(as_a, "x").join(as_b, "y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    links = verified(met.join(as_a, "x").join(as_b, "y").where(close2).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     many = full.where(F.col("n") > FEW).join(stand.select("fp", "nid"), "fp").select("key", F.col("nid").alias("node"))
     same = stand.where("n > 1").select(F.col("fp").alias("key"), "n")
     if not same.isEmpty():
@@ -290,9 +319,9 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     nid = F.xxhash64(text)
     texts = docs.select(nid.alias("nid"), F.col(id_col).alias("id"), text.alias("text"))
-    prints = texts.mapInArrow(_prints, f"nid long, id {texts.dtypes[1][1]}, fp long")
-    rows = saved(prints.groupBy("nid", "id").agg(F.first("fp").alias("fp"), F.count("*").alias("times")), "near-ids")
-    nodes = saved(rows.groupBy("nid").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.count("*").alias("n")), "near-nodes")
+    prints = texts.mapInArrow(_prints, f"nid long, id {texts.dtypes[1][1]}, fp long, fp2 long")
+    rows = saved(prints.groupBy("nid", "id").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count("*").alias("times")), "near-ids")
+    nodes = saved(rows.groupBy("nid").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count("*").alias("n")), "near-nodes")
     roots = components(copy_links(nodes, texts)).withColumnRenamed("node", "nid")
     named = saved(nodes.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "near-roots")
     stays = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "nid")).alias("stays"), F.count("*").alias("members"))
