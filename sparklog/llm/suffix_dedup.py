@@ -8,6 +8,11 @@ context whose gram no other context has holds nothing repeated. Only the
 suffixes of the remaining contexts are sorted: buckets of 16-byte grams are
 refined by the bucket pointers 16 and 18 bytes later, the second round reusing
 the pointers that the first one assigned, until a bucket stands for 50 bytes.
+
+Hashes of grams only choose: anchors, parts, what is worth comparing. What is
+removed rests on bytes: buckets of grams are told apart by their bytes, and
+whole contexts and the windows of hot grams are equal by a cryptographic digest
+(BLAKE2b, 96 bits and more), which stands for bytes that are in another task.
 """
 
 from __future__ import annotations
@@ -16,7 +21,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,22 +32,30 @@ GRAM = 16
 WINDOW = LENGTH - GRAM + 1
 #: Bytes of text whose contexts one step compares.
 GATHER_BYTES = 8 << 20
+#: Rows of docs for each part, as the mean.
+PART_ROWS = 5_000
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the GRAM bytes that start at each place."""
+def gram_hashes(data: np.ndarray, bits: int = 64) -> np.ndarray:
+    """A 64-bit hash of the GRAM bytes that start at each place; fewer bits for tests of hashes that collide."""
     h = data.astype(np.uint64) + np.uint64(1)
     for span, mix in zip((1, 2, 4, 8), MIX):
         h = h[:-span] * mix + h[span:]
     h ^= h >> np.uint64(29)
     h *= MIX[1]
     h ^= h >> np.uint64(32)
-    return h
+    return h if bits == 64 else h >> np.uint64(64 - bits) << np.uint64(64 - bits)
+
+
+def _digests(data: bytes, first: list[int], end: list[int]) -> np.ndarray:
+    """Two numbers, of 64 and 32 bits, for the bytes from each first to each end."""
+    digest = hashlib.blake2b
+    return np.frombuffer(b"".join([digest(data[a:b], digest_size=12).digest() for a, b in zip(first, end)]), [("c", "<u8"), ("d", "<u4")])
 
 
-def contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Texts end to end -> (text, first window, windows after it, anchor after it, hash of the anchor's gram, hash of all its bytes) of each context.
+def contexts(data: np.ndarray, ends: np.ndarray, bits: int = 64) -> tuple[np.ndarray, ...]:
+    """Texts end to end -> (text, first window, windows after it, hash of the anchor's gram, place of the first window in data) of each context.
 
     Every window of LENGTH bytes belongs to the leftmost of its grams with the
     least hash, its anchor; so equal windows have equal grams as anchors, at
@@ -51,8 +63,8 @@ def contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     the texts end; places count from a text's start.
     """
     if len(data) < LENGTH:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
-    h = gram_hashes(data)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
+    h = gram_hashes(data, bits)
     low, at = (h >> np.uint64(32)).astype(np.uint32), np.arange(len(h), dtype=np.int32)
     for span in (1, 2, 4, 8, 16, WINDOW - 32):
         a, b = low[:-span], low[span:]
@@ -71,13 +83,7 @@ def contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     first, last = np.nonzero(new)[0], np.nonzero(close)[0]
     # Two windows of neighbouring texts never share an anchor, but they may stand side by side.
     text = np.searchsorted(ends, first, side="right")
-    anchor = at[first].astype(np.int64)
-    whole = np.zeros(len(first), np.uint64)
-    for k in range(6):
-        whole = (whole ^ h[np.minimum(first + GRAM * k, last + LENGTH - GRAM)]) * MIX[k % 4]
-        whole ^= whole >> np.uint64(31)
-    whole += (last - first).astype(np.uint64)
-    return text, first - starts[text], last - first, anchor - first, h[anchor], whole
+    return text, first - starts[text], last - first, h[at[first]], first
 
 
 def spans(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -114,7 +120,7 @@ def _by(keys: np.ndarray):
 SCHEMA = "part int, kind int, ord long, rid long, data binary"
 CONTEXTS, MARKS, WANTED, WINDOWS, TEXT = range(5)
 #: Columns of each kind.
-CONTEXT = ("<u4", "<u8", "<i8", "<i8", "<i4", "u1", "u1")  # gram, bytes, ord, rid, first, more, shift
+CONTEXT = ("<u4", "<u8", "<u4", "<i8", "<i8", "<i4", "u1")  # gram, digest of the bytes (two), ord, rid, first, more
 MARK = ("<i8", "<i8", "<i4", "<i4")  # ord, rid, first and last window
 WANT = ("<i8", "<i8", "<i4", "u1", "<i8")  # ord, rid, first, more, key of the gram
 
@@ -128,39 +134,43 @@ def _dealt(kind: int, keys: np.ndarray, parts: int, columns: list[np.ndarray], t
     return _rows([(p, kind, None, None, _freeze([c[i].astype(t) for c, t in zip(columns, types)])) for p, i in _by(keys % parts)])
 
 
-def _least(group: np.ndarray, ord_: np.ndarray) -> np.ndarray:
-    """The least ord among the places of each place's group."""
+def _least(group: np.ndarray, ord_: np.ndarray, more: np.ndarray | None = None) -> np.ndarray:
+    """The least ord among the places of each place's group, which more tells apart further."""
     if not len(group):
         return ord_
-    order = np.argsort(group)
+    order = np.argsort(group) if more is None else np.lexsort((more, group))
     head = np.concatenate([[True], np.diff(group[order]) != 0])
+    if more is not None:
+        head[1:] |= np.diff(more[order]) != 0
     low = np.minimum.reduceat(ord_[order], np.nonzero(head)[0])
     out = np.empty_like(ord_)
     out[order] = low[np.cumsum(head) - 1]
     return out
 
 
-def _gather(parts: int, hot: np.ndarray, most: int):
+def _gather(parts: int, hot: np.ndarray, most: int, bits: int):
     """Texts -> contexts by part of their gram. A context that a smaller document at hand has too is marked here and goes no further."""
 
     def found(texts: list[bytes], ord_: np.ndarray, rid: np.ndarray):
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        text, first, more, shift, g, c = contexts(data, np.cumsum([len(t) for t in texts]))
+        data = b"".join(texts)
+        text, first, more, g, at = contexts(np.frombuffer(data, np.uint8), np.cumsum([len(t) for t in texts]), bits)
         o, r = ord_[text], rid[text]
         if len(hot) and (is_hot := np.isin(g, hot)).any():
             rows = [
-                (int(r[i] % parts), WINDOWS, int(o[i]), int(r[i]), xxhash.xxh3_128_digest(texts[text[i]][x : x + LENGTH]) + x.to_bytes(4, "little"))
+                (int(r[i] % parts), WINDOWS, int(o[i]), int(r[i]), hashlib.blake2b(texts[text[i]][x : x + LENGTH], digest_size=16).digest() + x.to_bytes(4, "little"))
                 for i in np.nonzero(is_hot)[0].tolist()
                 for x in range(int(first[i]), int(first[i] + more[i]) + 1)
             ]
             yield _rows(rows)
-            first, more, shift, g, c, o, r = (x[~is_hot] for x in (first, more, shift, g, c, o, r))
-        low = _least(c, o)
+            first, more, g, at, o, r = (x[~is_hot] for x in (first, more, g, at, o, r))
+        whole = _digests(data, at.tolist(), (at + more + LENGTH).tolist())
+        c, d = whole["c"], whole["d"]
+        low = _least(c, o, d)
         beaten = o > low
         yield _dealt(MARKS, r[beaten], parts, [x[beaten] for x in (o, r, first, first + more)], MARK)
         stay = ~beaten
-        g, c, o, r, first, more, shift = (x[stay] for x in (g, c, o, r, first, more, shift))
-        yield _dealt(CONTEXTS, (g % np.uint64(parts)).astype(np.int64), parts, [g >> np.uint64(32), c, o, r, first, more, shift], CONTEXT)
+        g, c, d, o, r, first, more = (x[stay] for x in (g, c, d, o, r, first, more))
+        yield _dealt(CONTEXTS, (g % np.uint64(parts)).astype(np.int64), parts, [g >> np.uint64(32), c, d, o, r, first, more], CONTEXT)
 
     def run(batches):
         for b in batches:
@@ -189,9 +199,9 @@ def _settle(parts: int):
                 blobs.append(_thaw(blob.as_py(), CONTEXT))
         if not blobs:
             return
-        g, c, o, r, first, more, _ = map(np.concatenate, zip(*blobs))
+        g, c, d, o, r, first, more = map(np.concatenate, zip(*blobs))
         del blobs
-        low = _least(c, o)
+        low = _least(c, o, d)
         beaten = o > low
         yield _dealt(MARKS, r[beaten], parts, [o[beaten], r[beaten], first[beaten], first[beaten] + more[beaten].astype(np.int32)], MARK)
         g, o, r, first, more = (x[~beaten] for x in (g, o, r, first, more))
@@ -250,7 +260,24 @@ def _fetch(parts: int):
     return run
 
 
-def refine(texts: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _gram_buckets(texts: np.ndarray, live: np.ndarray, bits: int) -> np.ndarray:
+    """A number for each place, the same for two of them exactly if their GRAM bytes are."""
+    hashes = gram_hashes(texts, bits)[live]
+    words = np.zeros((2, len(live)), np.uint64)
+    for k in range(GRAM):
+        words[k // 8] = words[k // 8] << np.uint64(8) | texts[live + k]
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    alike = (words[0, order[1:]] == words[0, order[:-1]]) & (words[1, order[1:]] == words[1, order[:-1]])
+    if (same & ~alike).any():  # a hash that stands for different bytes
+        order = np.lexsort(words)
+        alike = (words[0, order[1:]] == words[0, order[:-1]]) & (words[1, order[1:]] == words[1, order[:-1]])
+    out = np.zeros(len(live), np.int64)
+    out[order[1:]] = np.cumsum(~alike)
+    return out
+
+
+def refine(texts: np.ndarray, start: np.ndarray, size: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Strings laid end to end -> (places where LENGTH bytes of one string begin, bucket of those bytes).
 
     A place's bucket pointer is the rank of its bucket. Places alone in their
@@ -260,7 +287,7 @@ def refine(texts: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.n
     place = np.arange(len(texts) - GRAM + 1)
     live = place[place + GRAM <= reach[place]]
     pointer = np.full(len(texts), -1, np.int64)
-    buckets = gram_hashes(texts)[live]
+    buckets = _gram_buckets(texts, live, bits)
     depth = GRAM
     for later in (GRAM, LENGTH - 2 * GRAM):
         _, rank, times = np.unique(buckets, return_inverse=True, return_counts=True)
@@ -278,7 +305,7 @@ def refine(texts: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.n
     return live[again], rank[again]
 
 
-def _compare(parts: int, chunk: int):
+def _compare(parts: int, chunk: int, bits: int):
     """Contexts of a part -> marks of the windows that a smaller document has too."""
 
     def run(batches):
@@ -305,7 +332,7 @@ def _compare(parts: int, chunk: int):
             a = b
             own = np.concatenate([[0], np.cumsum(size[i])])
             take = np.arange(own[-1]) + np.repeat(at[i] - own[:-1], size[i])
-            live, bucket = refine(data[take], own[:-1], size[i])
+            live, bucket = refine(data[take], own[:-1], size[i], bits)
             if not len(live):
                 continue
             ctx = np.searchsorted(own, live, side="right") - 1
@@ -357,13 +384,15 @@ def _texts(parts: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = 20_000, hot_contexts: int = 500_000, sample: int = 1_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = 20_000, hot_contexts: int = 500_000, sample: int = 1_000_000, hash_bits: int = 64) -> DataFrame:
     """One row for each row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, spans (first and last byte of each removed run).
 
     A byte goes if a 50-byte string that covers it also starts in a document
     with a smaller id. A null text is empty, a null id is larger than any
-    other; rows that repeat an id do not remove one another. An empty table
-    gives no rows.
+    other; rows that repeat an id do not remove one another. Texts of any
+    length are read whole; further columns are ignored, whatever their names.
+    An empty table gives no rows. hash_bits under 64 shortens the hashes of
+    grams (for tests); the result does not depend on them.
 
     A gram found in so many documents that its contexts (more than
     ``hot_contexts``, as a sample of documents foretells) would burden one
@@ -371,26 +400,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     on the map side; either way is exact.
     """
     spark = docs.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = docs.count()
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // PART_ROWS))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     ord_ = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), ord_.alias("ord"), F.xxhash64(F.col(id_col), text).alias("rid"), text.alias("text"))
     long_ = rows.where(F.octet_length("text") >= LENGTH).select("ord", "rid", "text")
 
     hot = np.zeros(0, np.uint64)
-    n = docs.count()
     if n > hot_contexts:
         def grams(batches):
             for b in batches:
                 found = [t.as_py().encode("utf-8", "surrogatepass") for t in b.column(0)]
-                g = [np.unique(contexts(np.frombuffer(t, np.uint8), np.array([len(t)]))[4]) for t in found]
+                g = [np.unique(contexts(np.frombuffer(t, np.uint8), np.array([len(t)]), hash_bits)[3]) for t in found]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g or [np.zeros(0, np.uint64)]).view(np.int64))], names=["g"])
 
         share = min(1.0, sample / n)
         seen = long_.where(F.pmod(F.xxhash64("rid"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text").mapInArrow(grams, "g long").groupBy("g").count()
         hot = np.array([r["g"] for r in seen.where(F.col("count") > max(9, hot_contexts * share)).select("g").collect()], np.int64).view(np.uint64)
 
-    found = saved(long_.mapInArrow(_gather(parts, hot, GATHER_BYTES), SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_settle(parts), SCHEMA), "contexts")
+    found = saved(long_.mapInArrow(_gather(parts, hot, GATHER_BYTES, hash_bits), SCHEMA).repartitionById(parts, F.col("part")).mapInArrow(_settle(parts), SCHEMA), "contexts")
     texts = rows.mapInArrow(_texts(parts), SCHEMA + ", id long")
 
     def beside_texts(places: DataFrame) -> DataFrame:
@@ -399,7 +428,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return both.repartitionById(parts, F.col("part")).sortWithinPartitions("kind")
 
     wanted = beside_texts(found.where(F.col("kind") == WANTED)).mapInArrow(_fetch(parts), SCHEMA)
-    compared = wanted.repartitionById(parts, F.col("part")).mapInArrow(_compare(parts, chunk), SCHEMA)
+    compared = wanted.repartitionById(parts, F.col("part")).mapInArrow(_compare(parts, chunk, hash_bits), SCHEMA)
     marks = found.where(F.col("kind") == MARKS).unionByName(compared)
     if len(hot):
         w = cut(found.where(F.col("kind") == WINDOWS).select(F.expr("substr(data, 1, 16)").alias("w"), "ord", "rid", F.expr("substr(data, 17, 4)").alias("at")))

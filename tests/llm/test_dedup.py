@@ -296,7 +296,7 @@ def repeats(df, **more):
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, **more).collect()), key=repr)
 
 
-@pytest.mark.parametrize("more", [{}, {"hot_contexts": 2}, {"chunk": 3}])
+@pytest.mark.parametrize("more", [{}, {"hot_contexts": 2}, {"chunk": 3, "hash_bits": 8}])
 def test_repeats_edges(docs, none, more):
     small = [d for d in DOCS if d[0] not in (7, 9)]
     assert repeats(docs.where("doc_id IS NULL OR doc_id NOT IN (7, 9)"), **more) == repeats_brute(small)
@@ -317,7 +317,20 @@ def test_repeats_random(spark, seed):
     rng.shuffle(order)
     docs = [(order[i], t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    assert repeats(df) == repeats_brute(docs)
+    want = repeats_brute(docs)
+    assert repeats(df) == want
+    assert repeats(df, hash_bits=8) == want and repeats(df, hash_bits=1 if seed == 1 else 3) == want
+
+
+def test_gram_buckets_follow_bytes():
+    rng = np.random.default_rng(2)
+    texts = rng.integers(97, 99, size=4000).astype(np.uint8)
+    live = np.arange(len(texts) - suffix_dedup.GRAM + 1)
+    want = {}
+    names = [want.setdefault(texts[i : i + suffix_dedup.GRAM].tobytes(), len(want)) for i in live.tolist()]
+    for bits in (64, 8, 1):
+        got = suffix_dedup._gram_buckets(texts, live, bits)
+        assert len(set(zip(got.tolist(), names))) == len(set(got.tolist())) == len(want)
 
 
 # --- lines ------------------------------------------------------------------
