@@ -67,28 +67,31 @@ QUERIES = {
 ORACLE = {
     "op1_warc_revisits": r"""
         WITH p AS (
-            SELECT page_id AS n, md5(coalesce(html, '')) AS digest, '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag,
-                   regexp_replace(regexp_replace(trim(url), '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.\-]*://', '') AS rest
+            SELECT page_id AS n, md5(coalesce(html, '')) AS first, md5(coalesce(html, '') || '2') AS again,
+                   regexp_replace(regexp_replace(trim(CASE WHEN page_id % 20 = 0 THEN 'http://WWW.Example.com:80/?utm_source=x#top' ELSE url END), '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.\-]*://', '') AS rest
             FROM pages),
         q AS (
-            SELECT n, digest, tag,
+            SELECT n, first, again,
                    regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^[^@]*@', ''), ':(80|443)$', ''), '^www[0-9]*\.', '') AS host,
                    regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
                    array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1, 's'), '&'),
                        lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[^=]*|gclid|fbclid|sessionid|jsessionid|phpsessid)(=|$)'))), '&') AS query
             FROM p),
-        k AS (SELECT n, digest, tag, host || CASE path WHEN '' THEN '/' ELSE path END || CASE query WHEN '' THEN '' ELSE '?' || query END AS url_key FROM q),
-        r AS (SELECT n, url_key, digest, n * 10 + 5 + (n % 50) * 15 AS ts,
-                     CASE n % 5 WHEN 0 THEN tag WHEN 3 THEN '"other"' WHEN 4 THEN tag END AS mine,
-                     CASE n % 5 WHEN 1 THEN n % 1000 END AS dated FROM k),
-        j AS (SELECT r.*, s.n AS s, s.tag, s.digest AS theirs FROM r ASOF LEFT JOIN (SELECT *, n * 10 AS ts FROM k) s ON r.url_key = s.url_key AND r.ts > s.ts),
-        v AS (SELECT *, CASE WHEN s IS NULL THEN 'no_earlier_response' WHEN mine <> tag THEN 'etag_mismatch' WHEN mine = tag THEN 'etag'
-                             WHEN dated <> s % 1000 THEN 'last_modified_mismatch' WHEN dated = s % 1000 THEN 'last_modified'
-                             WHEN n % 5 = 2 AND digest <> theirs THEN 'digest_mismatch' ELSE 'digest' END AS resolution FROM j)
-        SELECT n * 2 + 1 AS record_id, url_key, ts, s * 2 AS source_id, resolution,
+        k AS (SELECT n, first, again, host || CASE path WHEN '' THEN '/' ELSE path END || CASE query WHEN '' THEN '' ELSE '?' || query END AS url_key FROM q),
+        full_ AS (
+            SELECT n * 4 AS s, url_key, n * 10 AS ts, first AS theirs, n % 1000 AS changed FROM k WHERE n % 7 <> 3
+            UNION ALL SELECT n * 4 + 1, url_key, n * 10 + 350 + n % 3 * 50, again, (n + 1) % 1000 FROM k WHERE n % 11 <> 4),
+        one AS (SELECT url_key, ts, max(s) AS s, arg_max(theirs, s) AS theirs, arg_max(changed, s) AS changed FROM full_ GROUP BY ALL),
+        r AS (SELECT n, url_key, n * 10 + 5 + (n % 50) * 15 AS ts, CASE n % 6 WHEN 0 THEN first WHEN 4 THEN first WHEN 3 THEN 'other' END AS mine,
+                     CASE n % 6 WHEN 1 THEN n % 1000 END AS dated, CASE n % 6 WHEN 2 THEN first END AS digest FROM k),
+        j AS (SELECT r.*, s, theirs, changed FROM r ASOF LEFT JOIN one ON r.url_key = one.url_key AND r.ts > one.ts),
+        v AS (SELECT *, CASE WHEN s IS NULL THEN 'no_earlier_response' WHEN left(mine, 16) <> left(theirs, 16) THEN 'etag_mismatch' WHEN mine IS NOT NULL THEN 'etag'
+                             WHEN dated <> changed THEN 'last_modified_mismatch' WHEN dated = changed THEN 'last_modified'
+                             WHEN digest <> theirs THEN 'digest_mismatch' WHEN digest = theirs THEN 'digest' ELSE 'no_validator' END AS resolution FROM j)
+        SELECT n * 4 + 2 AS record_id, url_key, ts, s AS source_id, resolution,
                CASE WHEN resolution IN ('etag', 'last_modified', 'digest') THEN
-                   CASE n % 5 WHEN 4 THEN 'cache-control: max-age=60; ' ELSE '' END || 'content-type: text/html; date: ' || ts || '; etag: '
-                   || CASE n % 5 WHEN 0 THEN 'W/' ELSE '' END || tag || '; last-modified: ' || (s % 1000) END AS headers,
+                   CASE n % 6 WHEN 4 THEN 'cache-control: max-age=60; ' ELSE '' END || 'content-type: text/html; date: ' || ts || '; etag: '
+                   || CASE n % 6 WHEN 0 THEN 'W/' ELSE '' END || '"' || left(theirs, 16) || '"; last-modified: ' || changed END AS headers,
                CASE WHEN resolution IN ('etag', 'last_modified', 'digest') THEN theirs END AS digest
         FROM v
     """,

@@ -61,8 +61,11 @@ def resolve_revisits(captures: DataFrame, permitted: tuple[str, ...] = PERMITTED
     both sides, ``no_earlier_response`` where there is no response to compare
     with, which holds for a null url or time too. Where resolved, headers are
     those of the response with the permitted fields of the revisit, and digest
-    is the response's; else both are null. Record ids must be unique; rows of
-    other kinds are left out; an empty table gives no rows.
+    is the response's; else both are null. Of responses that repeat a record
+    id the first by digest and headers counts; each row of a revisit is
+    resolved by itself. Rows of other kinds are left out, further columns
+    ignored, whatever their names; urls and headers may have any length. An
+    empty table gives no rows.
     """
     rows = captures.select("record_id", canonical_url(F.col("url")).alias("url_key"), "ts", "kind", "status", _lower_keys(F.col("headers")).alias("headers"), "digest")
     full = (F.col("kind") == "response") & (F.col("status") == 200)
@@ -70,10 +73,15 @@ def resolve_revisits(captures: DataFrame, permitted: tuple[str, ...] = PERMITTED
     points = times.groupBy("url_key", "ts").agg(F.max(F.when(full, F.col("record_id"))).alias("response"))
     asof = _latest_before(points, most_times).select("url_key", "ts", "source_id").where("source_id IS NOT NULL")
     revisits = rows.where(F.col("kind") == "revisit")
-    found = cut(revisits.join(asof, ["url_key", "ts"], "left").drop("kind", "status"))
+    # A null url or time has no earlier response; such rows are kept out of the join, where they would be one large group.
+    placed = F.col("url_key").isNotNull() & F.col("ts").isNotNull()
+    found = revisits.where(placed).join(asof, ["url_key", "ts"], "left").unionByName(revisits.where(~placed).withColumn("source_id", F.lit(None).cast("long")))
+    found = cut(found.drop("kind", "status"))
     uses = found.where("source_id IS NOT NULL").groupBy("source_id").agg(F.count("*").alias("n"))
     sources = rows.where(full).select(F.col("record_id").alias("source_id"), F.col("headers").alias("_headers"), F.col("digest").alias("_digest"))
-    known = hot_join(found.where("source_id IS NOT NULL"), cut(sources.join(uses, "source_id")), "source_id", "n", "record_id", "inner")
+    order = F.concat_ws(" ", F.coalesce("_digest", F.lit("")), F.to_json("_headers"))
+    used = sources.join(uses, "source_id").groupBy("source_id", "n").agg(F.min_by(F.struct("_headers", "_digest"), order).alias("s")).select("source_id", "n", "s.*")
+    known = hot_join(found.where("source_id IS NOT NULL"), cut(used), "source_id", "n", "record_id", "inner")
     none = found.where("source_id IS NULL").withColumns({"_headers": F.lit(None).cast("map<string,string>"), "_digest": F.lit(None).cast("string")})
 
     def tag(headers: str) -> Column:
@@ -100,27 +108,37 @@ def resolve_revisits(captures: DataFrame, permitted: tuple[str, ...] = PERMITTED
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html) as captures: each page's response, and a later conditional request that was answered with not-modified."""
+    """pages(page_id, url, html) as captures: for each page a response, a later one after the page has changed, and a conditional request in between or after that was answered with not-modified.
+
+    One page in twenty is the same front page, so its responses compete; some
+    responses are 404s, so that some requests have no earlier full response.
+    """
     n = F.col("page_id")
-    tag = F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16)
-    quoted = F.concat(F.lit('"'), tag, F.lit('"'))
-    digest = F.md5(F.coalesce("html", F.lit("")))
+    url = F.when(n % 20 == 0, "http://WWW.Example.com:80/?utm_source=x#top").otherwise(F.col("url"))
+    html = F.coalesce("html", F.lit(""))
+
+    def quoted(digest: Column) -> Column:
+        return F.concat(F.lit('"'), F.substring(digest, 1, 16), F.lit('"'))
+
+    def response(k: int, ts: Column, missing: Column, digest: Column, changed: Column) -> DataFrame:
+        return pages.select(
+            (n * 4 + k).alias("record_id"), url.alias("url"), ts.alias("ts"), F.lit("response").alias("kind"), F.when(missing, 404).otherwise(200).alias("status"),
+            F.create_map(F.lit("ETag"), quoted(digest), F.lit("Last-Modified"), changed.cast("string"), F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), ts.cast("string")).alias("headers"),
+            digest.alias("digest"),
+        )
+
+    first, again = F.md5(html), F.md5(F.concat(html, F.lit("2")))
     asked = n * 10 + 5 + (n % 50) * 15
-    response = pages.select(
-        (n * 2).alias("record_id"), "url", (n * 10).alias("ts"), F.lit("response").alias("kind"), F.lit(200).alias("status"),
-        F.create_map(F.lit("ETag"), quoted, F.lit("Last-Modified"), (n % 1000).cast("string"), F.lit("Content-Type"), F.lit("text/html"), F.lit("Date"), (n * 10).cast("string")).alias("headers"),
-        digest.alias("digest"),
-    )
     validators = (
-        F.when(n % 5 == 0, F.create_map(F.lit("ETag"), F.concat(F.lit("W/"), quoted)))
-        .when(n % 5 == 1, F.create_map(F.lit("last-modified"), (n % 1000).cast("string")))
-        .when(n % 5 == 2, F.create_map(F.lit("Server"), F.lit("any")))
-        .when(n % 5 == 3, F.create_map(F.lit("ETag"), F.lit('"other"')))
-        .otherwise(F.create_map(F.lit("ETag"), quoted, F.lit("Cache-Control"), F.lit("max-age=60")))
+        F.when(n % 6 == 0, F.create_map(F.lit("ETag"), F.concat(F.lit("W/"), quoted(first))))
+        .when(n % 6 == 1, F.create_map(F.lit("last-modified"), (n % 1000).cast("string")))
+        .when(n % 6 == 3, F.create_map(F.lit("ETag"), F.lit('"other"')))
+        .when(n % 6 == 4, F.create_map(F.lit("ETag"), quoted(first), F.lit("Cache-Control"), F.lit("max-age=60")))
+        .otherwise(F.create_map(F.lit("Server"), F.lit("any")))
     )
     revisit = pages.select(
-        (n * 2 + 1).alias("record_id"), F.regexp_replace("url", "^http://", "HTTPS://").alias("url"), asked.alias("ts"), F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
+        (n * 4 + 2).alias("record_id"), F.regexp_replace(url, "^http://", "HTTPS://").alias("url"), asked.alias("ts"), F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
         F.map_concat(F.create_map(F.lit("Content-Type"), F.lit("text/plain"), F.lit("Date"), asked.cast("string")), validators).alias("headers"),
-        F.when(n % 5 == 2, digest).alias("digest"),
+        F.when(n % 6 == 2, first).alias("digest"),
     )
-    return response.unionByName(revisit)
+    return response(0, n * 10, n % 7 == 3, first, n % 1000).unionByName(response(1, n * 10 + 350 + (n % 3) * 50, n % 11 == 4, again, (n + 1) % 1000)).unionByName(revisit)

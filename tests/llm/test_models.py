@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import itertools
 import math
 import os
 import random
@@ -7,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sparklog.llm import fingerprint, langid, mixing, packing, toxicity, warc
@@ -195,6 +197,89 @@ def test_language_mixture(spark):
     assert len(mixed) == 2 and 0.6 < mixed[langs.index("de")] < 0.9 and math.isclose(sum(mixed.values()), 1, abs_tol=1e-6)
 
 
+def brute_trigrams(text):
+    """Word by word, the trigrams that end on each letter."""
+    words, word = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            words.append([("  " + word)[i : i + 3] for i in range(len(word))])
+            word = ""
+    return words
+
+
+def cell(gram):
+    """The cell that a trigram is counted in, as the model has it."""
+    a, b, c = map(ord, gram)
+    h = ((a * 0x9E3779B97F4A7C15 + b) * 0xC2B2AE3D27D4EB4F + c) * 0x165667B19E3779F9
+    return h % (1 << 64) >> 48
+
+
+def brute_mixture(text, prob, langs):
+    """Proportions by plain expectation-maximisation over the words, and the set by penalised likelihood."""
+    words = brute_trigrams(text)
+    if not words:
+        return {}
+    logs = [[sum(math.log(prob(x, g)) for g in w) for x in langs] for w in words]
+
+    def em(some):
+        share, last = [1 / len(some)] * len(some), -math.inf
+        for _ in range(500):
+            resp, total = [0.0] * len(some), 0.0
+            for row in logs:
+                top = max(row)
+                mixed = [s * math.exp(row[k] - top) for s, k in zip(share, some)]
+                total += math.log(sum(mixed)) + top
+                resp = [a + m / sum(mixed) for a, m in zip(resp, mixed)]
+            share = [r / len(logs) for r in resp]
+            if total - last < 1e-9:
+                break
+            last = total
+        return share, total
+
+    best = None
+    for n in range(1, len(langs) + 1):
+        for some in itertools.combinations(range(len(langs)), n):
+            share, total = em(some)
+            value = total - (n - 1) * langid.PENALTY * math.log(len(words) + 1)
+            if best is None or value > best[0]:
+                best = (value, {langs[k]: s for k, s in zip(some, share)})
+    return best[1]
+
+
+@tables
+def test_language_against_brute_force(spark):
+    docs = table(spark, "documents").where("text IS NOT NULL AND n_chars < 1500")
+    rows = [r for r in docs.collect() if r.lang]
+    count = collections.defaultdict(collections.Counter)
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            count[r.lang].update(cell(g) for w in brute_trigrams(r.text) for g in w)
+    langs = sorted(count)
+    size = {x: sum(count[x].values()) for x in langs}
+    prob = lambda x, g: (count[x][cell(g)] + langid.SMOOTHING) / (size[x] + langid.SMOOTHING * langid.CELLS)
+    by = {x: [r.text for r in rows if r.lang == x and r.n_chars > 200] for x in langs}
+    texts = [r.text for r in rows[:40]] + [by[a][k][:400] + "\n" + by[b][k][:250] for k in range(3) for a in langs for b in langs if a != b]
+    df = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(-k - 1, t, None) for k, t in enumerate(texts)], "doc_id long, text string, lang string"))
+    got = {-r.doc_id - 1: r for r in langid.predict_language(df).where("doc_id < 0").collect()}
+    same, mixtures = 0, 0
+    for k, t in enumerate(texts):
+        want = brute_mixture(t, prob, langs)
+        if set(got[k].langs) == set(want):
+            same, mixtures = same + 1, mixtures + (len(want) > 1)
+            assert all(abs(got[k].langs[x] - want[x]) < 0.02 for x in want)
+            assert got[k].lang_pred == max(sorted(want), key=want.get)
+    assert same >= 0.97 * len(texts) and mixtures > 20
+
+
+def test_language_model_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    rows = [(i, f"wort{i} text haus", f"junk{i}") for i in range(60)] + [(100 + i, "haus und hof", "de") for i in range(9)] + [(200 + i, "house and home", "en") for i in range(9)]
+    got = langid.predict_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.lang_pred for r in got.where("doc_id >= 100").collect()} == {"de", "en"} and got.select("lang_pred").distinct().count() <= 3
+
+
 def test_language_edges(docs, none):
     got = {(r.doc_id, r.lang_pred) for r in langid.predict_language(docs).collect()}
     assert {(3, "und"), (4, "und"), (5, "und"), (None, "und")} <= got
@@ -292,6 +377,30 @@ def test_nonnegative_fit():
 # --- fingerprints -----------------------------------------------------------
 
 
+def plain_chunks(data):
+    """Digest and length of the chunks, byte by byte: the gear hash rolls over the last 16 bytes, its bits 10 to 15 decide."""
+    gear = [xxhash.xxh32_intdigest(bytes([b])) for b in range(256)]
+    out, start, h = set(), 0, 0
+    for i, b in enumerate(data):
+        h = ((h << 1) + gear[b]) & 0xFFFF
+        size = i + 1 - start
+        ends = (size >= 32 and (h >> 10) % 16 == 0) or (size >= 8 and (h >> 10) % 64 == 0)
+        if ends or size == 128 or i + 1 == len(data):
+            out.add((xxhash.xxh32_intdigest(data[start : i + 1]), size))
+            start = i + 1
+    return out
+
+
+def plain_text(chunks):
+    return "".join(sorted(f"{d:08x}{n:02x}" for d, n in chunks))
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(a == b)
+    return sum(n for _, n in a & b) / min(sum(n for _, n in a), sum(n for _, n in b))
+
+
 def edited_brute(docs):
     order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0), reverse=True)
     order = sorted(order, key=lambda d: (-(d[0] if d[0] is not None else -(1 << 62)), (d[1] or "").encode()))
@@ -300,8 +409,8 @@ def edited_brute(docs):
         t, u = d[1] or "", after[1] or ""
         m = len(t) // 3
         e = (t[: len(t) - m] + u[:m]).encode()
-        f, g, h = (fingerprint.chunk_set(x) for x in (t.encode(), e, u.encode()))
-        out.append((d[0], len(t), hashlib.sha256(e).hexdigest(), fingerprint.as_text(f), fingerprint.as_text(g), fingerprint.containment(f, g), fingerprint.containment(f, h)))
+        f, g, h = (plain_chunks(x) for x in (t.encode(), e, u.encode()))
+        out.append((d[0], len(t), hashlib.sha256(e).hexdigest(), plain_text(f), plain_text(g), plain_likeness(f, g), plain_likeness(f, h)))
     return sorted(out, key=repr)
 
 
@@ -383,6 +492,19 @@ def test_revisits_of_a_hot_url(spark):
         assert {r.record_id: r.source_id for r in got} == want
 
 
+def test_captures_have_every_outcome(spark):
+    pages = spark.range(3000).selectExpr("id AS page_id", "concat('http://h', id % 40, '.org/', id) AS url", "concat('text ', id) AS html")
+    got = warc.resolve_revisits(warc.captures_of(pages)).collect()
+    assert {r.resolution for r in got} == {"etag", "last_modified", "digest", "etag_mismatch", "last_modified_mismatch", "digest_mismatch", "no_validator", "no_earlier_response"}
+    assert len({r.source_id // 4 - r.record_id // 4 for r in got if r.source_id is not None}) > 5
+
+
+def test_repeated_records(spark):
+    rows = [(1, "http://e/", 1, "response", 200, {"ETag": '"b"'}, "d2"), (1, "http://e/", 1, "response", 200, {"ETag": '"a"'}, "d1"), (2, "http://e/", 5, "revisit", 304, {"ETag": '"a"'}, None)] + [(3, None, 5, "revisit", 304, None, None)] * 3
+    got = warc.resolve_revisits(spark.createDataFrame(rows, CAPTURES)).collect()
+    assert sorted((r.record_id, r.source_id or 0, r.resolution) for r in got) == [(2, 1, "etag")] + [(3, 0, "no_earlier_response")] * 3
+
+
 def test_captures_of_nulls(spark):
     pages = spark.createDataFrame([(None, None, None), (1, None, "x"), (2, "http://a/", None), (2, "http://a/", None)], "page_id long, url string, html string").withColumn("status", F.lit("clash"))
     assert warc.resolve_revisits(warc.captures_of(pages)).where("record_id IS NULL").count() == 1
