@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,10 @@ R3164 = (
 )
 #: RFC 5424 without the demand that the line starts with the priority.
 LENIENT_5424 = r"(?s)^[^>]*>[0-9]+ (?:[^ ]* ){5}(?:-|\[[^\]]*\]) ?(.*)$"
+#: What stands before the message; of a line with both headers the first of the two.
+HEAD_5424, HEAD_3164, HEAD_LENIENT = (p.removesuffix("(.*)$") for p in (R5424, R3164, LENIENT_5424))
+HEAD = f"{HEAD_5424}|{HEAD_3164}"
+BLANKS = " \t\n\x0b\f\r"
 
 # The names of the facility codes 0 to 23 and of the severities 0 to 7.
 FACILITIES = (
@@ -49,16 +56,30 @@ def severity_name(pri: Column) -> Column:
 
 def parse_rfc5424(line: Column) -> Column:
     """struct(message, pri), or null if the line has no such header."""
-    return _parsed(line, R5424)
+    return _headed(line, HEAD_5424, lambda x: F.when(x["head"] != "", F.struct(x["message"].alias("message"), x["pri"].alias("pri"))))
 
 
 def parse_rfc3164(line: Column) -> Column:
-    return _parsed(line, R3164)
+    return _headed(line, HEAD_3164, lambda x: F.when(x["head"] != "", F.struct(x["message"].alias("message"), x["pri"].alias("pri"))))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _headed(line: Column, pattern: str, use: Callable[[Column], Column]) -> Column:
+    """use of struct(line, head, message, pri). The pattern is tried once for each line."""
 
+    def split(x: Column) -> Column:
+        head = x["head"]
+        number = F.substring(head, F.lit(2), F.instr(head, ">") - 2)
+        message = F.substring(x["line"], F.length(head) + 1, F.length(x["line"]))
+        return _bound(F.struct(x["line"].alias("line"), head.alias("head"), message.alias("message"), F.when(head != "", priority(number)).alias("pri")), use)
 
-def _parsed(line: Column, pattern: str) -> Column:
-    parts = F.struct(F.regexp_extract(line, pattern, 2).alias("message"), priority(F.regexp_extract(line, pattern, 1)).alias("pri"))
-    return F.when(line.startswith("<") & line.rlike(pattern), parts)
+    # The patterns end where the message begins, which then is all of the rest.
+    found = _bound(line, lambda text: F.struct(text.alias("line"), F.regexp_extract(text, pattern, 0).alias("head")))
+    return F.when(line.isNotNull(), _bound(found, split))
 
 
 def normalize(line: Column) -> Column:
@@ -67,31 +88,34 @@ def normalize(line: Column) -> Column:
     RFC 5424 goes before RFC 3164; any other line is all message. The header
     has no blanks at its end.
     """
-    found = F.coalesce(parse_rfc5424(line), parse_rfc3164(line))
-    message = F.coalesce(found["message"], line)
-    pri = found["pri"]
-    header = F.when(found.isNotNull(), F.regexp_replace(F.substring(line, F.lit(1), F.length(line) - F.length(message)), r"\s+$", ""))
-    end = F.octet_length(line)
-    return F.struct(
-        header.alias("header"),
-        message.alias("message"),
-        pri_value(pri).alias("pri"),
-        facility_name(pri).alias("facility"),
-        severity_name(pri).alias("severity"),
-        (end - F.octet_length(message)).alias("msg_start"),
-        end.alias("msg_end"),
-    )
-
-
-def header_mode(mode: str, lenient: bool = False) -> str:
-    """``raw``, ``skip`` or ``tag`` for a mode or one of its other names, in any case; an unknown one is an error, or ``tag`` if lenient."""
+
+    def fields(x: Column) -> Column:
+        end = F.octet_length(x["line"])
+        return F.struct(
+            F.when(x["head"] != "", F.rtrim(x["head"], F.lit(BLANKS))).alias("header"),
+            x["message"].alias("message"),
+            pri_value(x["pri"]).alias("pri"),
+            facility_name(x["pri"]).alias("facility"),
+            severity_name(x["pri"]).alias("severity"),
+            (end - F.octet_length(x["message"])).alias("msg_start"),
+            end.alias("msg_end"),
+        )
+
+    return _headed(line, HEAD, fields)
+
+
+def header_mode(mode: str, lenient: bool = True) -> str:
+    """``raw``, ``skip`` or ``tag`` for a mode or one of its other names, in any case; an unknown one is ``tag``, with a warning, or if not lenient an error."""
     known = MODES.get(mode.strip().lower())
-    if known is None and not lenient:
-        raise ValueError(f"unknown header mode {mode!r}; one of {sorted(MODES)}")
+    if known is None:
+        said = f"unknown header mode {mode!r}; one of {sorted(MODES)}"
+        if not lenient:
+            raise ValueError(said)
+        warnings.warn(f"{said}. Headers are tagged.", stacklevel=2)
     return known or "tag"
 
 
-def apply_header_mode(df: DataFrame, mode: str = "skip", payload: str = "payload", tags: str = "tags", lenient: bool = False, fast: bool = True) -> DataFrame:
+def apply_header_mode(df: DataFrame, mode: str = "skip", payload: str = "payload", tags: str = "tags", lenient: bool = True, fast: bool = True) -> DataFrame:
     """Strip (and with ``tag`` also record) the syslog header of each payload.
 
     A payload that is not UTF-8 is left alone. ``fast`` is accepted for
@@ -122,12 +146,18 @@ def strip_lenient(line: Column, markers: tuple[str, ...] = ()) -> Column:
     normalize. Lines that are not syslog may lose text, so this is never the
     default.
     """
-    colon, bracket = F.instr(line, ": "), F.instr(line, ">")
-    out = F.when(line.rlike(LENIENT_5424), F.regexp_extract(line, LENIENT_5424, 1))
-    out = out.when((bracket > 0) & (colon > bracket), F.substring(line, colon + 2, F.length(line)))
-    for m in markers:
-        out = out.when(F.instr(line, m) > 0, F.substring(line, F.instr(line, m) + len(m), F.length(line)))
-    return out.otherwise(F.coalesce(parse_rfc5424(line)["message"], parse_rfc3164(line)["message"], line))
+
+    def message(x: Column) -> Column:
+        text, head = x["text"], x["head"]
+        after = lambda at: F.substring(text, at, F.length(text))
+        colon, bracket = F.instr(text, ": "), F.instr(text, ">")
+        out = F.when(head != "", after(F.length(head) + 1)).when((bracket > 0) & (colon > bracket), after(colon + 2))
+        for m in markers:
+            out = out.when(F.instr(text, m) > 0, after(F.instr(text, m) + len(m)))
+        return out.otherwise(after(F.length(F.regexp_extract(text, HEAD, 0)) + 1))
+
+    found = _bound(line, lambda text: F.struct(text.alias("text"), F.regexp_extract(text, HEAD_LENIENT, 0).alias("head")))
+    return F.when(line.isNotNull(), _bound(found, message))
 
 
 def encode_rfc3164(message: Column, ts: Column, pri: Column | int = 13, host: Column | str = "localhost", app: Column | str = "sparklog", newline: bool = False) -> Column:

@@ -43,13 +43,16 @@ def shard_key(name: str | Column, shard: Column, shards: Column | int) -> Column
     return F.when((shards if isinstance(shards, Column) else F.lit(shards)) > 1, F.concat(name, F.lit("-"), (shard + 1).cast("string"))).otherwise(name)
 
 
-def tcp_messages(chunks: DataFrame, name: str = "tcp", framing: str = "auto", instances: int = 1, tags: list[str] | None = None) -> DataFrame:
-    """Captured chunks (conn, seq, ip, bytes) -> events of their messages; with several instances the key is ``name#k`` and a tag tells the instance."""
+def tcp_messages(chunks: DataFrame, name: str = "tcp", framing: str = "auto", instances: int = 1, tags: list[str] | None = None, instance: Column | None = None) -> DataFrame:
+    """Captured chunks (conn, seq, ip, bytes) -> events of their messages; with several instances the key is ``name#k`` and a tag tells the instance.
+
+    ``instance`` says which one (from 0) has taken a connection, by its columns; else a hash of conn does.
+    """
     if not 1 <= instances <= 16:
         raise ValueError("instances must be 1 to 16")
-    messages = reframe(chunks.withColumn("conn", F.struct("conn", "ip")), mode=framing)
-    instance = F.pmod(F.xxhash64("conn.conn"), F.lit(instances)) + 1
-    messages = messages.select(F.col("conn.conn").alias("conn"), ip_or_local(F.col("conn.ip")).alias("ip"), "msg_no", "payload", instance.alias("instance"))
+    taken = (F.pmod(F.xxhash64("conn"), F.lit(instances)) if instance is None else instance).cast("int") + 1
+    messages = reframe(chunks.withColumn("conn", F.struct("conn", "ip", taken.alias("taken"))), mode=framing)
+    messages = messages.select(F.col("conn.conn").alias("conn"), ip_or_local(F.col("conn.ip")).alias("ip"), "msg_no", "payload", F.col("conn.taken").alias("instance"))
     key = F.concat(F.lit(name + "#"), F.col("instance").cast("string")) if instances > 1 else F.lit(name)
     if instances > 1:
         messages = messages.withColumn("tags", F.create_map(F.lit("instance"), F.col("instance").cast("string")))

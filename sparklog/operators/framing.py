@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,6 +67,47 @@ def _waits(rest: bytes) -> bool:
     return bool(m) and 0 < int(m[1]) < MOST_BYTES
 
 
+class Walk:
+    """The messages of one connection, chunk by chunk.
+
+    Chunks are gathered until the length that a frame has announced is there,
+    or else a newline, so no byte is looked at more than a few times.
+    """
+
+    def __init__(self, mode: str = "auto", on_overflow: str = "fail"):
+        self.mode, self.on_overflow = mode, on_overflow
+        self.parts: list[bytes] = []
+        self.size = self.need = self.scans = 0
+        self.in_line = mode.startswith("line")
+
+    def rest(self) -> bytes:
+        return b"".join(self.parts)
+
+    def feed(self, chunk: bytes) -> list[bytes]:
+        self.parts.append(chunk)
+        self.size += len(chunk)
+        # A length frame that is not whole waits; live, and without a length, a newline in the new bytes ends it too.
+        by_line = self.mode != "auto" and not self.mode.startswith("len")
+        if self.size < self.need and not (by_line and b"\n" in chunk):
+            return []
+        if self.in_line and b"\n" not in chunk and not (self.mode == "auto" and self.size > MOST_BYTES):
+            return []
+        self.scans += 1
+        out, rest = split_frames(self.rest(), self.mode, self.on_overflow)
+        self.parts, self.size, self.need = [rest] if rest else [], len(rest), 0
+        # Bytes that can't be a length any more are a line, which only a newline ends.
+        self.in_line = self.mode.startswith("line") or (self.mode.startswith("auto") and len(rest) > 11 and not _PREFIX.match(rest))
+        if not self.mode.startswith("line") and (m := _PREFIX.match(rest)):
+            n = m.end() + int(m[1])
+            if self.mode == "len_live" and n > MOST_BYTES + m.end():
+                if self.on_overflow == "fail":
+                    raise FrameOverflow(f"a frame of {int(m[1])} bytes; the most is {MOST_BYTES}")
+                self.parts, self.size = [], 0
+                return out
+            self.need = n
+        return out
+
+
 def line_frames(df: DataFrame, payload: str = "payload", strict: bool = False) -> DataFrame:
     """Rows of text blobs -> a row for each whole line: msg_no, payload; an unfinished last line is dropped.
 
@@ -116,25 +157,24 @@ def reframe(df: DataFrame, conn: str = "conn", seq: str = "seq", payload: str =
     rows = rows.repartition("conn").sortWithinPartitions("conn", "seq")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        current, buffer, number, begun = None, b"", 0, False
+        current, walk, number, begun = None, Walk(mode, on_overflow), 0, False
         for b in batches:
             conns, numbers, found = [], [], []
 
             def end():
-                if tail and begun and buffer:
-                    conns.append(current), numbers.append(None), found.append(buffer)
+                if tail and begun and (rest := walk.rest()):
+                    conns.append(current), numbers.append(None), found.append(rest)
 
             for c, x in zip(b.column(0).to_pylist(), b.column(2)):
                 if not begun or c != current:
                     end()
-                    current, buffer, number, begun = c, b"", 0, True
-                got, buffer = split_frames(buffer + (x.as_py() or b""), mode, on_overflow)
-                for g in got:
+                    current, walk, number, begun = c, Walk(mode, on_overflow), 0, True
+                for g in walk.feed(x.as_py() or b""):
                     conns.append(current), numbers.append(number), found.append(g)
                     number += 1
             yield pa.RecordBatch.from_arrays([pa.array(conns, b.column(0).type), pa.array(numbers, pa.int64()), pa.array(found, pa.binary())], names=["conn", "msg_no", "payload"])
-        if tail and begun and buffer:
-            yield pa.RecordBatch.from_arrays([pa.array([current], b.column(0).type), pa.array([None], pa.int64()), pa.array([buffer], pa.binary())], names=["conn", "msg_no", "payload"])
+        if tail and begun and (rest := walk.rest()):
+            yield pa.RecordBatch.from_arrays([pa.array([current], b.column(0).type), pa.array([None], pa.int64()), pa.array([rest], pa.binary())], names=["conn", "msg_no", "payload"])
 
     return rows.mapInArrow(run, f"conn {kind}, msg_no long, payload binary")
 
@@ -183,12 +223,23 @@ def merge_batches(df: DataFrame, key: str, order: str, payload: str = "payload",
     return df.groupBy(key, "batch_no").agg(F.array_join(F.transform(parts, lambda x: x["p"]), "").alias(payload))
 
 
-def reader_of(df: DataFrame, conn: str, order: str, readers: int) -> Column:
-    """Number of the reader that a connection goes to, in turn by arrival; use it on a table of one row for each connection."""
+def with_reader(df: DataFrame, conn: str, order: str, readers: int) -> DataFrame:
+    """A table of one row for each connection -> with reader: the number of the reader it goes to, in turn by arrival.
+
+    Connections are numbered in ranges of the order; a range's rows follow
+    those of the ranges before it, of which a row each is counted together.
+    """
     from pyspark.sql import Window as W
 
     if not 1 <= readers <= 16:
         raise ValueError("readers must be 1 to 16")
-    return F.pmod(F.row_number().over(W.orderBy(order, conn)) - 1, F.lit(readers))
+    ranges = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = df.agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else []
+    span = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts or [])))).cast(f"array<{dict(df.dtypes)[order]}>"), lambda c: c < F.col(order)))
+    rows = df.withColumn("_span", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(span))
+    before = rows.groupBy("_span").agg(F.count("*").alias("_n"))
+    before = before.select("_span", F.coalesce(F.sum("_n").over(W.orderBy("_span").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    number = F.row_number().over(W.partitionBy("_span").orderBy(order, conn)) - 1
+    return rows.withColumn("_no", number).join(F.broadcast(before), "_span").withColumn("reader", F.pmod(F.col("_no") + F.col("_before"), F.lit(readers)).cast("long")).select(*df.columns, "reader")
 
 

@@ -37,11 +37,13 @@ def schema_of_first(df: DataFrame, order: str, rec: str = "rec") -> T.StructType
 def records_to_table(df: DataFrame, schema: T.StructType, rec: str = "rec", keep: tuple[str, ...] = ()) -> DataFrame:
     """A column for each field of schema, looked up by name in the record; missing ones are null, others are ignored. No shuffle."""
 
-    def column(f: T.StructField) -> Column:
-        found = F.get(F.filter(F.col(rec), lambda x: x["name"] == f.name), 0)
-        return egress(found["value"], F.lower(found["meta"]), f.dataType).alias(f.name)
+    def fields(r: Column) -> Column:
+        names = F.transform(F.array(F.transform(r, lambda x: x["name"])), lambda n: F.struct(*(F.array_position(n, f.name).cast("int").alias(f"_{i}") for i, f in enumerate(schema.fields))))[0]
+        return F.transform(F.array(names), lambda at: F.struct(*(F.when(at[f"_{i}"] > 0, F.get(r, at[f"_{i}"] - 1)).alias(f"_{i}") for i in range(len(schema.fields)))))[0]
 
-    return df.select(*keep, *map(column, schema.fields))
+    # The record is walked through once; what stands under each name is then a field of a struct.
+    found = df.withColumn("_found", F.transform(F.array(rec), fields)[0]).select(*keep, "_found")
+    return found.select(*keep, *(egress(F.col(f"_found._{i}.value"), F.lower(f"_found._{i}.meta"), f.dataType).alias(f.name) for i, f in enumerate(schema.fields)))
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:

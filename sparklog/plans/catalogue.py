@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from sparklog.functions import coerce, payload, syslog
 from sparklog.operators import events as ev
 from sparklog.operators import framing, ndjson, records
 from sparklog.sinks import files as sink_files
-from sparklog.sinks import text
+from sparklog.sinks import net, text
 from sparklog.sources import arrow, files
 from sparklog.streaming.reframe import reframe_stream
 
@@ -38,13 +39,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder under the one that all executors share, or a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-work-")
+    """A new folder under the one that all executors share, or a temporary one where none is set and Spark runs in one process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="spark-work-")
     return f"{base.rstrip('/')}/work-{uuid.uuid4().hex}"
 
 
 def local(path: str) -> str:
-    return path.removeprefix("file://") if path.startswith("file:///") else path.removeprefix("file:")
+    """The path of a file: address, for sinks that write with the operating system's calls; other schemes are refused."""
+    scheme, colon, rest = path.partition(":")
+    if colon and "/" not in scheme and scheme != "file":
+        raise ValueError(f"named files need a mounted folder, not {path!r}")
+    return "/" + rest.lstrip("/") if scheme == "file" and colon else path
 
 
 # --- syslog -----------------------------------------------------------------
@@ -154,12 +163,12 @@ def header_mode_tag(spark, sf_dir):
     return by_mode(spark, sf_dir, "parse")
 
 
-@query(f"""WITH l AS ({LINES_SQL}), d AS (SELECT event_id, line FROM l UNION ALL SELECT -doc_id - 1, left(text, 200) FROM documents)
+@query(f"""WITH l AS ({LINES_SQL}), d AS (SELECT event_id, line FROM l UNION ALL SELECT -doc_id - 1, text FROM documents)
     SELECT event_id, CASE WHEN regexp_matches(line, '{syslog.LENIENT_5424}') THEN regexp_extract(line, '{syslog.LENIENT_5424}', 1)
       WHEN instr(line, '>') > 0 AND instr(line, ': ') > instr(line, '>') THEN substr(line, instr(line, ': ') + 2)
       WHEN instr(line, ' sender: ') > 0 THEN substr(line, instr(line, ' sender: ') + 9) ELSE {BODY} END AS message FROM d""")
 def strip_lenient(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select((-F.col("doc_id") - 1).alias("event_id"), F.left("text", F.lit(200)).alias("line"))
+    d = table(spark, sf_dir, "documents").select((-F.col("doc_id") - 1).alias("event_id"), F.col("text").alias("line"))
     return lines(spark, sf_dir).unionByName(d).select("event_id", syslog.strip_lenient(F.col("line"), (" sender: ",)).alias("message"))
 
 
@@ -233,7 +242,7 @@ def shard_keys(spark, sf_dir):
 @query("SELECT user_id, (row_number() OVER (ORDER BY first, user_id) - 1) % 4 AS reader FROM (SELECT user_id, min(event_id) AS first FROM events GROUP BY 1)")
 def reader_assignment(spark, sf_dir):
     conns = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("first"))
-    return conns.select("user_id", framing.reader_of(conns, "user_id", "first", 4).cast("long").alias("reader"))
+    return framing.with_reader(conns, "user_id", "first", 4).select("user_id", "reader")
 
 
 # --- framing ----------------------------------------------------------------
@@ -255,12 +264,16 @@ def frame_encode(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", payload.frame_length(t).alias("framed"), payload.frame_line(t).alias("line"))
 
 
-def blobs(spark, sf_dir, key="doc_id"):
-    """Each document as a connection: its lines as length frames, then as lines, in turn."""
+#: A length frame that never becomes whole, though a newline stands in it.
+OPEN = "99999 open\n"
+
+
+def blobs(spark, sf_dir, key="doc_id", rest=""):
+    """Each document as a connection: its lines as length frames, then as lines, in turn; rest at its end."""
     d = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     parts = F.transform(F.split("text", "\n", -1), lambda s: F.concat(s, F.lit("|x")))
     framed = F.transform(parts, lambda s, i: F.when(i % 2 == 0, payload.frame_length(s)).otherwise(F.concat(s, F.lit("\n"))))
-    return d.select(F.col(key).alias("conn"), F.array_join(framed, "").alias("bytes"))
+    return d.select(F.col(key).alias("conn"), F.concat(F.array_join(framed, ""), F.lit(rest)).alias("bytes"))
 
 
 FRAMED_SQL = "WITH s AS (SELECT doc_id AS conn, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL) SELECT conn, CAST(unnest(range(len(l))) AS BIGINT) AS msg_no, unnest(l) || '|x' AS payload FROM s"
@@ -268,12 +281,14 @@ FRAMED_SQL = "WITH s AS (SELECT doc_id AS conn, string_split(text, chr(10)) AS l
 
 @query(FRAMED_SQL)
 def auto_frames(spark, sf_dir):
-    return framing.frames(blobs(spark, sf_dir), "bytes").select("conn", "msg_no", F.col("bytes").cast("string").alias("payload"))
+    """Strict: the frame that is not whole waits, newline or not."""
+    return framing.frames(blobs(spark, sf_dir, rest=OPEN), "bytes").select("conn", "msg_no", F.col("bytes").cast("string").alias("payload"))
 
 
-@query(FRAMED_SQL)
+@query(FRAMED_SQL + " UNION ALL SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT), '99999 open' FROM documents WHERE text IS NOT NULL")
 def auto_frames_live(spark, sf_dir):
-    return framing.frames(blobs(spark, sf_dir), "bytes", "auto_live").select("conn", "msg_no", F.col("bytes").cast("string").alias("payload"))
+    """Live: the newline ends it."""
+    return framing.frames(blobs(spark, sf_dir, rest=OPEN), "bytes", "auto_live").select("conn", "msg_no", F.col("bytes").cast("string").alias("payload"))
 
 
 @query("WITH s AS (SELECT doc_id AS conn, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL) SELECT conn, CAST(unnest(range(len(list_filter(l, lambda x: x <> '')))) AS BIGINT) AS msg_no, unnest(list_filter(l, lambda x: x <> '')) AS payload FROM s")
@@ -294,23 +309,40 @@ def reframe_chunks(spark, sf_dir):
     return framing.reframe(chunks(spark, sf_dir)).withColumn("payload", F.col("payload").cast("string"))
 
 
-@query("SELECT doc_id % 16 AS key, doc_id, (row_number() OVER (PARTITION BY doc_id % 16 ORDER BY doc_id) - 1) // 8 AS batch_no FROM documents")
+def greedy_sql(size: str, full: str, where: str = "") -> str:
+    """Batches document by document within ranges of 64 ids; full says when the one at hand is closed before a row r."""
+    return f"""WITH RECURSIVE r AS (SELECT doc_id // 64 AS key, doc_id, text, row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) AS i, {size} AS size FROM documents {where}),
+    g AS (SELECT key, doc_id, text, i, size, 0::BIGINT AS batch_no, size AS total, 1 AS n FROM r WHERE i = 1
+          UNION ALL SELECT r.key, r.doc_id, r.text, r.i, r.size, batch_no + ({full})::INT, CASE WHEN {full} THEN r.size ELSE total + r.size END, CASE WHEN {full} THEN 1 ELSE n + 1 END
+          FROM g JOIN r ON r.key = g.key AND r.i = g.i + 1)"""
+
+
+def ranged(spark, sf_dir, *more):
+    """Documents with a key for each range of 64 ids, so that keys grow in number, not in size."""
+    return table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 64).alias("key"), "doc_id", *more)
+
+
+@query("SELECT doc_id // 64 AS key, doc_id, (row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) - 1) // 8 AS batch_no FROM documents")
 def pack_batches(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select((F.col("doc_id") % 16).alias("key"), "doc_id", F.lit("x").alias("payload"))
-    return framing.pack_batches(d, "key", "doc_id", max_rows=8).drop("payload")
+    return framing.pack_batches(ranged(spark, sf_dir, "text"), "key", "doc_id", payload="text", max_rows=8, max_bytes=1 << 40).drop("text")
 
 
-@query()
+@query(greedy_sql("coalesce(strlen(text), 0)", "n >= 128 OR total >= 8192") + " SELECT key, doc_id, batch_no FROM g")
 def pack_batches_bytes(spark, sf_dir):
-    """Greedy by bytes; SQL has no such running rule."""
-    d = table(spark, sf_dir, "documents").select((F.col("doc_id") % 16).alias("key"), "doc_id", F.col("text").alias("payload"))
-    return framing.pack_batches(d, "key", "doc_id", max_bytes=400 * 1024, rule="after").select("key", "doc_id", "batch_no")
+    """Closed once the bytes are reached."""
+    return framing.pack_batches(ranged(spark, sf_dir, "text"), "key", "doc_id", payload="text", max_bytes=8192, rule="after").drop("text")
+
 
+@query(greedy_sql("coalesce(strlen(text), 0)", "n >= 128 OR total + r.size > 8192") + " SELECT key, doc_id, batch_no FROM g")
+def pack_batches_before(spark, sf_dir):
+    """Closed before the bytes would be exceeded."""
+    return framing.pack_batches(ranged(spark, sf_dir, "text"), "key", "doc_id", payload="text", max_bytes=8192).drop("text")
 
-@query("WITH b AS (SELECT doc_id % 16 AS key, doc_id, (row_number() OVER (PARTITION BY doc_id % 16 ORDER BY doc_id) - 1) // 8 AS batch_no, coalesce(lang, '') AS p FROM documents) SELECT key, batch_no, string_agg(p || chr(10), '' ORDER BY doc_id) AS payload FROM b GROUP BY key, batch_no")
+
+@query("WITH b AS (SELECT doc_id // 64 AS key, doc_id, (row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) - 1) // 8 AS batch_no, coalesce(text, '') AS p FROM documents) SELECT key, batch_no, string_agg(CASE WHEN right(p, 1) = chr(10) THEN p ELSE p || chr(10) END, '' ORDER BY doc_id) AS payload FROM b GROUP BY key, batch_no")
 def merge_batches(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select((F.col("doc_id") % 16).alias("key"), "doc_id", F.coalesce("lang", F.lit("")).alias("payload"))
-    return framing.merge_batches(framing.pack_batches(d, "key", "doc_id", max_rows=8), "key", "doc_id")
+    d = ranged(spark, sf_dir, F.coalesce("text", F.lit("")).alias("payload"))
+    return framing.merge_batches(framing.pack_batches(d, "key", "doc_id", max_rows=8, max_bytes=1 << 40), "key", "doc_id")
 
 
 @query("SELECT doc_id, make_valid.t AS text FROM documents, LATERAL (SELECT text AS t) make_valid")
@@ -453,8 +485,10 @@ def proto_text_lines(spark, sf_dir):
 @query("SELECT o_orderkey || ' ' || o_orderstatus AS value FROM orders")
 def text_roundtrip(spark, sf_dir):
     d = work_dir(spark)
-    text.write_lines(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), d, "raw")
-    return files.read_lines(spark, "*.txt", d).select(F.col("payload").cast("string").alias("value"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for rest in (0, 1):  # the second write appends
+        text.write_lines(rows.where(F.col("o_orderkey") % 2 == rest), d, "raw")
+    return files.read_lines(spark, "*.txt", d, ordered=False).select(F.col("payload").cast("string").alias("value"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
@@ -471,7 +505,9 @@ def arrow_framed_payloads(spark, sf_dir):
 def arrow_files(spark, sf_dir, wire):
     d = work_dir(spark)
     sink_files.register(spark)
-    o = table(spark, sf_dir, "orders").repartition(3)
+    # Files are read back whole, so each is of a bounded number of rows.
+    o = table(spark, sf_dir, "orders")
+    o = o.repartition(max(3, -(-o.count() // 1_000_000)))
     o.write.format("file_arrow").options(base=local(d), file="orders.arrow", data_format=wire, tag="orders").mode("append").save()
     return arrow.read_arrow(spark, "*.arrow", d, wire)
 
@@ -490,8 +526,9 @@ def arrow_framed_roundtrip(spark, sf_dir):
 def named_files_roundtrip(spark, sf_dir):
     d = work_dir(spark)
     sink_files.register(spark)
-    text.format_lines(part(spark, sf_dir), "csv").repartition(2).write.format("file_lines").options(base=local(d), file="part.csv").mode("append").save()
-    return files.read_lines(spark, "part-r*.csv", d).select(F.col("payload").cast("string").alias("value"))
+    lines = text.format_lines(part(spark, sf_dir), "csv")
+    lines.repartition(max(2, -(-lines.count() // 1_000_000))).write.format("file_lines").options(base=local(d), file="part.csv").mode("append").save()
+    return files.read_lines(spark, "part-r*.csv", d, ordered=False).select(F.col("payload").cast("string").alias("value"))
 
 
 # --- streams ----------------------------------------------------------------
@@ -544,7 +581,7 @@ def raw_write_roundtrip(spark, sf_dir):
     d = work_dir(spark)
     line = F.concat("event_type", F.lit(" "), F.col("event_id").cast("string"), F.when(F.col("event_id") % 2 == 0, "\n").otherwise(""))
     text.write_raw(table(spark, sf_dir, "events").select(line.alias("payload")), d)
-    return files.read_lines(spark, "*.txt", d).select(F.col("payload").cast("string").alias("value"))
+    return files.read_lines(spark, "*.txt", d, ordered=False).select(F.col("payload").cast("string").alias("value"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '10.0.' || (event_id % 256) || '.1' WHEN event_id % 3 = 1 THEN 'fe80::' || (event_id % 9) ELSE '127.0.0.1' END AS ip, CASE WHEN event_id % 3 = 0 THEN '10.0.' || (event_id % 256) || '.1' WHEN event_id % 3 = 1 THEN 'fe80::' || (event_id % 9) ELSE 'unknown' END AS shown FROM events")
@@ -576,3 +613,82 @@ def skipped_frames(spark, sf_dir):
     head = F.when(F.col("doc_id") % 2 == 0, F.unhex(F.lit("0000000161"))).otherwise(F.unhex(F.lit("FFFFFFFF61")))
     n = arrow.count_skipped_frames(d.select(head.alias("payload")))
     return n.select(F.explode(F.array(F.struct(F.lit("good").alias("frame"), (F.col("frames") - F.col("skipped")).alias("n")), F.struct(F.lit("short").alias("frame"), F.col("skipped").alias("n")))).alias("x")).select("x.*")
+
+
+# --- order, prefixes, appends, instances ------------------------------------
+
+
+@query("SELECT c_nationkey AS nation, CAST(dense_rank() OVER (ORDER BY CAST(c_nationkey AS VARCHAR)) - 1 AS INT) AS file_seq, c_custkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INT) AS line_no FROM customer")
+def file_order(spark, sf_dir):
+    """Files in the order of name and path, lines in that of the file."""
+    d = work_dir(spark)
+    table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_custkey").cast("string")).repartition("c_nationkey").sortWithinPartitions("c_nationkey", F.col("c_custkey").cast("long")).write.partitionBy("c_nationkey").text(d)
+    # One name in each folder, so that the path decides.
+    got = files.read_lines(spark, "*/*.txt", d).withColumn("nation", F.regexp_extract("file_path", "c_nationkey=([0-9]+)", 1).cast("int"))
+    by = W.partitionBy("file_path").orderBy("block", "line_id")
+    rank = F.dense_rank().over(W.orderBy(F.regexp_extract("file_path", "(c_nationkey=[0-9]+)", 1))) - 1
+    seq = got.groupBy("nation", "file_path").agg(F.min("file_seq").alias("seq")).select("nation", rank.alias("file_seq"))
+    return got.withColumn("line_no", F.row_number().over(by)).drop("file_seq").join(F.broadcast(seq), "nation").select("nation", "file_seq", F.col("payload").cast("string").cast("long").alias("c_custkey"), "line_no")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def arrow_keep_prefix(spark, sf_dir):
+    """A stream behind which half of another one stands: the whole one counts."""
+    o = table(spark, sf_dir, "orders")
+    broken = arrow.encode_arrow(o).select(F.expr("concat(payload, substr(payload, 1, cast(octet_length(payload) / 2 as int)))").alias("payload"))
+    return arrow.decode_arrow(broken, o.schema, on_error="keep_prefix")
+
+
+@query(FRAMED_SQL.replace("SELECT conn, CAST(unnest(range(len(l))) AS BIGINT) AS msg_no, unnest(l) || '|x' AS payload FROM s", "SELECT unnest(l) || '|x' AS payload, '10.2.' || (conn % 7) || '.9' AS ups_ip, 'tcp#' || (conn % 4 + 1) AS src_key, CAST(conn % 4 + 1 AS VARCHAR) AS instance, 'b' AS a FROM s"))
+def tcp_capture(spark, sf_dir):
+    """Captured connections with four instances: key, tag and address of each message."""
+    c = chunks(spark, sf_dir, 4000).withColumn("ip", F.concat(F.lit("10.2."), (F.col("conn") % 7).cast("string"), F.lit(".9")))
+    out = ev.tcp_messages(c, "tcp", instances=4, tags=["a=b"], instance=F.col("conn") % 4)
+    return out.select(F.col("payload").cast("string").alias("payload"), "ups_ip", "src_key", F.col("tags")["instance"].alias("instance"), F.col("tags")["a"].alias("a"))
+
+
+# --- what goes over the network, byte by byte -------------------------------
+
+LINE = "CASE WHEN right(coalesce(text, ''), 1) = chr(10) THEN text ELSE coalesce(text, '') || chr(10) END"
+BATCH = " SELECT key, batch_no, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes, md5(string_agg({frame}, '' ORDER BY doc_id)) AS digest FROM g GROUP BY key, batch_no"
+
+
+def sent(spark, sf_dir, framing_):
+    out = net.wire_batches(ranged(spark, sf_dir, F.col("text").alias("payload")), "key", "doc_id", framing=framing_)
+    return out.select("key", "batch_no", F.col("n").alias("n"), F.octet_length("data").cast("long").alias("bytes"), F.md5("data").alias("digest"))
+
+
+@query(greedy_sql(f"strlen({LINE})", "n >= 128 OR total + r.size > 65536") + BATCH.format(frame=LINE))
+def tcp_line_batches(spark, sf_dir):
+    """The bytes of each send of a text sink with lines: up to 128 rows or 64 KiB."""
+    return sent(spark, sf_dir, "line")
+
+
+LENGTH = "(strlen(coalesce(text, '')) || ' ' || coalesce(text, ''))"
+
+
+@query(greedy_sql(f"strlen({LENGTH})", "n >= 128 OR total + r.size > 65536") + BATCH.format(frame=LENGTH))
+def tcp_length_batches(spark, sf_dir):
+    return sent(spark, sf_dir, "len")
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderdate, o_orderstatus AS tag FROM orders")
+def arrow_tcp_frames(spark, sf_dir):
+    """What an Arrow sink sends, a frame for each tag behind its length, taken apart again."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    bytes_ = net.arrow_messages(o, "arrow_framed", tag_column="o_orderstatus")
+    return arrow.decode_arrow(framing.frames(bytes_, "data", "len"), o.drop("o_orderstatus").schema, payload="data", wire="arrow_framed", tag="tag")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def arrow_tcp_streams(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return arrow.decode_arrow(net.arrow_messages(o, "arrow_ipc"), o.schema, payload="data")
+
+
+@query(f"SELECT event_id, '<13>' || strftime(ts, '%b %d %H:%M:%S') || ' localhost lab: ' || event_type || chr(10) AS data FROM events")
+def syslog_tcp_lines(spark, sf_dir):
+    """The bytes of a syslog sink over TCP."""
+    e = table(spark, sf_dir, "events")
+    out = net.to_syslog(e, "event_type", "ts", "lab", keep=("event_id",))
+    return out.select("event_id", payload.frame_line(F.col("value")).alias("data"))

@@ -13,6 +13,7 @@ import socket
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,9 +52,12 @@ class Connection:
         for left in range(self.attempts, 0, -1):
             try:
                 if self.socket is None:
-                    self.socket = socket.socket(socket.AF_INET, socket.SOCK_DGRAM) if self.udp else socket.create_connection(self.to, 30)
                     if self.udp:
-                        self.socket.connect(self.to)
+                        family, kind, proto, _, to = socket.getaddrinfo(*self.to, type=socket.SOCK_DGRAM)[0]
+                        self.socket = socket.socket(family, kind, proto)
+                        self.socket.connect(to)
+                    else:
+                        self.socket = socket.create_connection(self.to, 30)
                 self.socket.sendall(data)
                 return
             except OSError:
@@ -82,6 +86,44 @@ def batches_of(payloads: Iterator[bytes], most_rows: int = MOST_ROWS, most_bytes
         yield batch
 
 
+def wire_batches(df: DataFrame, key: str, order: str, payload: str = "payload", framing: str = "line") -> DataFrame:
+    """What a connection for each key would send, in order: key, batch_no, n (rows), data (bytes)."""
+    rows = df.select(F.col(key).alias("key"), F.col(order).alias("order"), F.col(payload).cast("binary").alias("p"))
+    rows = rows.repartition("key").sortWithinPartitions("key", "order")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        found = ((k, p.as_py() or b"") for b in batches for k, p in zip(b.column(0).to_pylist(), b.column(2)))
+        for k, of_key in groupby(found, lambda x: x[0]):
+            for i, batch in enumerate(batches_of(frame(p, framing) for _, p in of_key)):
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([i]), pa.array([len(batch)]), pa.array([b"".join(batch)], pa.binary())], names=["key", "batch_no", "n", "data"])
+
+    return rows.mapInArrow(run, f"key {rows.dtypes[0][1]}, batch_no long, n long, data binary")
+
+
+def arrow_data(b: pa.RecordBatch, data_format: str, tag: str = "", tag_column: str | None = None) -> Iterator[tuple[int, bytes]]:
+    """(rows, bytes) of each message for a batch: one, or one for each tag."""
+    if not b.num_rows:
+        return
+    parts = [(tag, b)]
+    if tag_column:
+        tags = b.column(b.schema.get_field_index(tag_column)).to_pylist()
+        rest = b.select([n for n in b.schema.names if n != tag_column])
+        parts = [(t or "", rest.filter(pa.array([x == t for x in tags]))) for t in dict.fromkeys(tags)]
+    for t, part in parts:
+        yield part.num_rows, frame(encode_frame(t, [part]), "len") if data_format == "arrow_framed" else encode_stream([part])
+
+
+def arrow_messages(df: DataFrame, data_format: str = "arrow_ipc", tag: str = "", tag_column: str | None = None) -> DataFrame:
+    """What Arrow connections would send for df: data (bytes), a row for each message."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            for _, data in arrow_data(b, data_format, tag, tag_column):
+                yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["data"])
+
+    return df.mapInArrow(run, "data binary")
+
+
 def _bytes(value) -> bytes:
     return b"" if value is None else bytes(value) if isinstance(value, (bytes, bytearray)) else value.encode()
 
@@ -128,26 +170,13 @@ class _Arrow(_Text):
         conn = Connection(o["addr"], o["port"], False, o["attempts"], o["first_wait"])
         try:
             for b in iterator:
-                for tag, part in self._by_tag(b):
-                    data = frame(encode_frame(tag, [part]), "len") if o["data_format"] == "arrow_framed" else encode_stream([part])
+                for n, data in arrow_data(b, o["data_format"], o["tag"], o["tag_column"]):
                     conn.send(data)
-                    rows, total = rows + part.num_rows, total + len(data)
+                    rows, total = rows + n, total + len(data)
         finally:
             conn.close()
         return Sent(rows, total)
 
-    def _by_tag(self, b: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
-        column = self.options["tag_column"]
-        if not b.num_rows:
-            return
-        if not column:
-            yield self.options["tag"], b
-            return
-        tags = b.column(b.schema.get_field_index(column)).to_pylist()
-        rest = b.select([n for n in b.schema.names if n != column])
-        for t in dict.fromkeys(tags):
-            yield t or "", rest.filter(pa.array([x == t for x in tags]))
-
 
 class ArrowTcpWriter(_Arrow, DataSourceArrowWriter):
     pass
@@ -200,9 +229,9 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SyslogOut)
 
 
-def to_syslog(df: DataFrame, message: str, ts: str, app_name: str = "sparklog", pri: int = 13, host: str = "localhost") -> DataFrame:
-    """value: the rows' messages as RFC 3164 lines."""
-    return df.select(encode_rfc3164(F.col(message).cast("string"), F.col(ts), pri, host, app_name).alias("value"))
+def to_syslog(df: DataFrame, message: str, ts: str, app_name: str = "sparklog", pri: int = 13, host: str = "localhost", keep: tuple[str, ...] = ()) -> DataFrame:
+    """value: the rows' messages as RFC 3164 lines, behind the columns to keep."""
+    return df.select(*keep, encode_rfc3164(F.col(message).cast("string"), F.col(ts), pri, host, app_name).alias("value"))
 
 
 def write_syslog(df: DataFrame, message: str, ts: str, **options: str | int) -> None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from sparklog.functions.payload import ENCODINGS, decode_line
 from sparklog.operators.events import shard_key, to_events
@@ -34,19 +36,19 @@ def resolve(file: str, base: str | None = None, **more: object) -> str:
     return f"{base.rstrip('/')}/{file}" if base else file
 
 
-def ordered_files(df: DataFrame) -> DataFrame:
-    """(file_path, file_seq) of the files that df reads, by file name and then path. Spark lists them on the driver in any case."""
-    # A local file is file:///a in this list and file:/a in the rows' metadata.
-    paths = sorted({p.replace(":///", ":/", 1) for p in df.inputFiles()}, key=lambda p: (p.rsplit("/", 1)[-1], p))
-    return df.sparkSession.createDataFrame(list(zip(paths, range(len(paths)))), "file_path string, file_seq int")
+def with_file_seq(rows: DataFrame) -> DataFrame:
+    """rows(file_path) with file_seq, the place of the file by name and then path. The distinct paths alone are ordered."""
+    name = F.element_at(F.split("file_path", "/"), -1)
+    seq = rows.select("file_path").distinct().select("file_path", (F.row_number().over(W.orderBy(name, "file_path")) - 1).alias("file_seq"))
+    return rows.join(seq, "file_path")
 
 
-def _scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(the text as Spark reads it, a row for each line without its file's number)."""
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each line, without its file's number."""
     text = spark.read.option("lineSep", "\n").text(path)
-    if not text.inputFiles():
+    if text.isEmpty() and not text.inputFiles():
         raise FileNotFoundError(f"no file matches {path}")
-    return text, text.select(
+    return text.select(
         F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_id"),
@@ -54,16 +56,32 @@ def _scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def read_lines(spark: SparkSession, file: str, base: str | None = None, **more: object) -> DataFrame:
-    """A row for each line: file_path, file_seq, block, line_id, payload (bytes).
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows with line_no, a line's number in its block of its file, which other files do not change. No shuffle: a task reads a block's lines in order."""
+
+    def run(batches):
+        last, n = None, 0
+        for b in batches:
+            at = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            numbers = []
+            for x in at:
+                last, n = x, n + 1 if x == last else 0
+                numbers.append(n)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers, pa.int64())], names=[*b.schema.names, "line_no"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("line_no", T.LongType())]))
+
+
+def read_lines(spark: SparkSession, file: str, base: str | None = None, ordered: bool = True, **more: object) -> DataFrame:
+    """A row for each line: file_path, file_seq (if ordered), block, line_id, payload (bytes).
 
     Lines end with a newline only, and lose every carriage return and newline
     at their end; blank lines and an unfinished last line are rows. Files scan
     in parallel; orderBy(file_seq, block, line_id) gives their order. No file
     that matches is an error.
     """
-    text, rows = _scan(spark, resolve(file, base, **more))
-    return rows.join(ordered_files(text), "file_path").select("file_path", "file_seq", "block", "line_id", "payload")
+    rows = _scan(spark, resolve(file, base, **more))
+    return with_file_seq(rows).select("file_path", "file_seq", "block", "line_id", "payload") if ordered else rows
 
 
 def read_text_events(
@@ -73,22 +91,23 @@ def read_text_events(
     if encode not in ENCODINGS:
         raise ValueError(f"unknown encoding {encode!r}; one of {ENCODINGS}")
     shards = max(1, min(MOST_SHARDS, instances))
-    rows = _scan(spark, resolve(file, base))[1]
+    rows = _numbered(_scan(spark, resolve(file, base)))
     key: Column = shard_key(name, F.pmod(F.xxhash64("file_path", "block"), F.lit(shards)), shards)
     rows = rows.withColumn("tags", F.create_map(F.lit("access_source"), F.col("file_path")))
     rows = rows.withColumn("payload", decode_line(F.col("payload").cast("string"), encode, on_error) if encode != "text" else F.col("payload"))
-    return to_events(rows, key, tags=tags, stable_id=("file_path", "block", "line_id"))
+    return to_events(rows, key, tags=tags, stable_id=("file_path", "block", "line_no"))
 
 
 def read_whole_files(spark: SparkSession, file: str, base: str | None = None, name: str = "file") -> DataFrame:
     """A row for each file that is not empty: file_path, src_key, payload. Files are never split; one is at most 2 GB."""
     files = spark.read.format("binaryFile").load(resolve(file, base)).where("length > 0")
-    seq = ordered_files(files)
-    n = F.lit(seq.count())
-    rows = files.select(F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("file_path"), F.col("content").alias("payload")).join(seq, "file_path")
+    path = F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("file_path")
+    seq = with_file_seq(files.select(path))
+    n = F.lit(files.select("length").count())
+    rows = files.select(path, F.col("content").alias("payload")).join(seq, "file_path")
     return rows.select("file_path", "file_seq", shard_key(name, F.col("file_seq"), n).alias("src_key"), "payload")
 
 
 def read_ndjson(spark: SparkSession, file: str, schema: T.StructType, base: str | None = None, on_error: str = "fail") -> DataFrame:
     """Files of JSON lines as typed columns."""
-    return ndjson_to_table(_scan(spark, resolve(file, base))[1], schema, "payload", on_error)
+    return ndjson_to_table(_scan(spark, resolve(file, base)), schema, "payload", on_error)
