@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset and Spark runs in one process (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -30,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
