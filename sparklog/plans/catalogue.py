@@ -531,6 +531,17 @@ def named_files_roundtrip(spark, sf_dir):
     return files.read_lines(spark, "part-r*.csv", d, ordered=False).select(F.col("payload").cast("string").alias("value"))
 
 
+@query("SELECT p_partkey || ',' || p_name || ',' || p_size AS value FROM part")
+def named_files_append(spark, sf_dir):
+    """One task's file keeps its name, and the second write publishes a further part."""
+    d = work_dir(spark)
+    sink_files.register(spark)
+    for rest in (0, 1):
+        lines = text.format_lines(part(spark, sf_dir).where(F.col("p_partkey") % 2 == rest), "csv")
+        lines.coalesce(1).write.format("file_lines").options(base=local(d), file="part.csv").mode("append").save()
+    return files.read_lines(spark, "{part,part.2}.csv", d, ordered=False).select(F.col("payload").cast("string").alias("value"))
+
+
 # --- streams ----------------------------------------------------------------
 
 

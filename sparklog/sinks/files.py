@@ -2,8 +2,11 @@
 
 ``file_lines`` writes text lines, ``file_arrow`` an Arrow stream or frame. The
 folder must be one that all executors and the driver share. A task writes to
-``<name>.<attempt>.lock``; the commit renames the files of the tasks that
-succeeded, an abort deletes them.
+``<name>.<attempt>.lock`` and deletes it if it fails; the commit renames the
+files of the tasks that succeeded, an abort deletes them. One task's file keeps
+its plain name, those of several are numbered. A file that is there already is
+left as it is: appending publishes a further part beside it (``stem.2.ext``), so
+no bytes move and a commit that breaks off leaves whole files only.
 """
 
 from __future__ import annotations
@@ -11,7 +14,9 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import count
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -37,10 +42,16 @@ def output_path(base: str, file: str, work_root: str = ".") -> str:
     return os.path.join(work_root, base, file)
 
 
+def part_name(path: str, number: int) -> str:
+    """path, or for later parts ``stem.number.ext``."""
+    stem, ext = os.path.splitext(path)
+    return path if number < 2 else f"{stem}.{number}{ext}"
+
+
 @dataclass
 class Written(WriterCommitMessage):
     lock: str | None
-    final: str | None
+    index: int = 0
     append: bool = False
 
 
@@ -48,24 +59,35 @@ class _Files:
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.options = file_options(options)
         self.overwrite = overwrite
-
-    def place(self) -> tuple[str, str]:
-        path = output_path(self.options["base"], self.options["file"])
-        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-        final = replica_name(path, TaskContext.get().partitionId() + 1, 2)
-        return f"{final}.{uuid.uuid4().hex}.lock", final
+        self.path = output_path(self.options["base"], self.options["file"])
+
+    @contextmanager
+    def locked(self) -> Iterator[tuple]:
+        """(open file, its name) of a task's file, which goes if the task fails."""
+        os.makedirs(os.path.dirname(self.path) or ".", exist_ok=True)
+        lock = f"{self.path}.{uuid.uuid4().hex}.lock"
+        try:
+            with open(lock, "wb") as out:
+                yield out, lock
+        except BaseException:
+            os.remove(lock)
+            raise
 
     def commit(self, messages) -> None:
         for m in messages:
             if m is None or m.lock is None:
                 continue
-            if m.append and not self.overwrite and os.path.exists(m.final):
-                with open(m.final, "ab") as out, open(m.lock, "rb") as add:
-                    while part := add.read(1 << 20):
-                        out.write(part)
-                os.remove(m.lock)
-            else:
-                os.replace(m.lock, m.final)
+            final = replica_name(self.path, m.index + 1, len(messages))
+            if not m.append or self.overwrite:
+                os.replace(m.lock, final)
+                continue
+            for number in count(1):
+                try:
+                    os.link(m.lock, part_name(final, number))
+                    break
+                except FileExistsError:
+                    continue
+            os.remove(m.lock)
 
     def abort(self, messages) -> None:
         for m in messages:
@@ -75,13 +97,12 @@ class _Files:
 
 class LineWriter(_Files, DataSourceWriter):
     def write(self, iterator: Iterator) -> Written:
-        lock, final = self.place()
-        with open(lock, "wb") as out:
+        with self.locked() as (out, lock):
             for row in iterator:
                 value = row[0] if row[0] is not None else b""
                 value = bytes(value) if isinstance(value, (bytes, bytearray)) else value.encode()
                 out.write(value if value.endswith(b"\n") else value + b"\n")
-        return Written(lock, final, True)
+        return Written(lock, TaskContext.get().partitionId(), True)
 
 
 class ArrowWriter(_Files, DataSourceArrowWriter):
@@ -90,9 +111,8 @@ class ArrowWriter(_Files, DataSourceArrowWriter):
         batches = (b for b in iterator if b.num_rows)
         first = next(batches, None)
         if first is None and not framed:
-            return Written(None, None)
-        lock, final = self.place()
-        with open(lock, "wb") as out:
+            return Written(None)
+        with self.locked() as (out, lock):
             if framed:
                 out.write(encode_frame(self.options["tag"], []))
             if first is not None:
@@ -100,8 +120,8 @@ class ArrowWriter(_Files, DataSourceArrowWriter):
                     writer.write_batch(first)
                     for b in batches:
                         writer.write_batch(b)
-        # A frame is a file of its own; a further stream goes behind those that are there.
-        return Written(lock, final, not framed)
+        # A frame takes the place of the one before; a further stream is a further part.
+        return Written(lock, TaskContext.get().partitionId(), not framed)
 
 
 class FileLines(DataSource):

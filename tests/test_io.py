@@ -116,19 +116,36 @@ def test_arrow_frames(spark, rows):
         arrow.decode_arrow(payloads(spark, b"\0\0\0\x01tbroken body"), X, wire="arrow_framed").collect()
 
 
+def test_ids_do_not_change_with_other_files(spark, folder):
+    put(folder, "m.log", b"".join(b"m %d\n" % i for i in range(2000)))
+    ids = lambda: {(bytes(r.payload), r.event_id) for r in files.read_text_events(spark, "*.log", folder).collect() if r.payload.startswith(b"m ")}
+    before = ids()
+    put(folder, "a.log", b"a\n" * 500)
+    put(folder, "z.log", b"z\n" * 5)
+    assert ids() == before and len(before) == 2000
+
+
 def test_file_sinks(spark, rows, folder):
     sink_files.register(spark)
     df = spark.range(5).select(F.col("id").cast("string").alias("value")).coalesce(1)
     for _ in range(2):
         df.write.format("file_lines").options(base=folder, file="out/x.dat").mode("append").save()
-    with open(f"{folder}/out/x-r1.dat", "rb") as f:
-        assert f.read() == b"0\n1\n2\n3\n4\n" * 2
+    for name in ("x.dat", "x.2.dat"):
+        with open(f"{folder}/out/{name}", "rb") as f:
+            assert f.read() == b"0\n1\n2\n3\n4\n"
+    spark.range(6).select(F.col("id").cast("string").alias("value")).repartition(2).write.format("file_lines").options(base=folder, file="out/two.dat").mode("append").save()
+    assert {x for x in os.listdir(f"{folder}/out") if x.startswith("two")} == {"two-r1.dat", "two-r2.dat"}
+    with pytest.raises(Exception):
+        spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("stop"))).otherwise("x").alias("value")).coalesce(1).write.format("file_lines").options(base=folder, file="out/bad.dat").mode("append").save()
+    assert not [x for x in os.listdir(f"{folder}/out") if x.startswith("bad")]
     foreign = put(folder, "out/other.dat.lock", b"")
     one = spark.range(1).coalesce(1)
     for _ in range(2):
         one.write.format("file_arrow").options(base=folder, file="out/a.arrow").mode("append").save()
-    d = spark.read.format("binaryFile").load(f"{folder}/out/a-r1.arrow").select(F.col("content").alias("payload"))
-    assert arrow.decode_arrow(d).count() == 2 and arrow.decode_arrow(d, segments="first").count() == 1
+    d = spark.read.format("binaryFile").load(f"{folder}/out/a*.arrow").select(F.col("content").alias("payload"))
+    assert d.count() == 2 and arrow.decode_arrow(d).count() == 2
+    both = d.agg(F.expr("concat(max(payload), min(payload))").alias("payload"))
+    assert arrow.decode_arrow(both).count() == 2 and arrow.decode_arrow(both, segments="first").count() == 1
     spark.range(0).coalesce(1).write.format("file_arrow").options(base=folder, file="none.arrow").mode("append").save()
     assert not [x for x in os.listdir(folder) if x.startswith("none")]
     spark.createDataFrame([], "x int").repartition(1).write.format("file_arrow").options(base=folder, file="f.arrow", data_format="arrow_framed", tag="header").mode("append").save()
