@@ -81,7 +81,16 @@ def word_count(text: Column) -> Column:
     ).cast("long")
 
 
-def hot_join(rows: DataFrame, side: DataFrame, key: str, count: str, spread: str, how: str = "left", share: float = 0.002, also: tuple[str, ...] = ()) -> DataFrame:
+#: Narrow tables of up to so many rows are broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def few(df: DataFrame) -> DataFrame:
+    """df, which has narrow rows and is saved or cut, marked to be broadcast if it is small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def hot_join(rows: DataFrame, side: DataFrame, key: str, count: str, spread: str, how: str = "left", share: float = 0.002, also: tuple[str, ...] = (), narrow: bool = False) -> DataFrame:
     """rows joined to side, which holds one row per key and in ``count`` how many rows carry it.
 
     A key that more than ``share`` of all rows carry is dealt over several
@@ -89,8 +98,11 @@ def hot_join(rows: DataFrame, side: DataFrame, key: str, count: str, spread: str
     once for each. There are at most 1/share such keys whatever the size of
     the input, so the list of them that reaches the driver is bounded.
     ``count`` is left out of the result. ``also`` names further key columns.
+    A side that is said to be narrow is broadcast while it is small enough.
     """
     spark = rows.sparkSession
+    if narrow and side.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side.drop(count)), [key, *also], how)
     total = side.agg(F.sum(count)).first()[0] or 0
     hot = [r[0] for r in side.where((F.col(count) > max(total * share, 1000)) & F.col(key).isNotNull()).select(key).collect()]
     if not hot:

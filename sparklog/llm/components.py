@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparklog.llm.common import cut
+from sparklog.llm.common import BROADCAST_ROWS, cut
+
+#: Links that a part holds where there are few.
+PART_LINKS = 125_000
 
 
-def _jump(pointers: DataFrame) -> DataFrame:
+def _jump(pointers: DataFrame, side: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Pointer doubling until every pointer ends at a root."""
     while True:
-        up = pointers.select(F.col("node").alias("root"), F.col("root").alias("_up"))
+        up = side(pointers.select(F.col("node").alias("root"), F.col("root").alias("_up")))
         pointers = cut(
             pointers.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"), F.col("_up").isNotNull().alias("moved"))
         )
@@ -27,21 +32,26 @@ def components(links: DataFrame) -> DataFrame:
     The root itself is not listed (its own root is itself). Links of a node to
     itself and nulls are ignored. Rounds are logarithmic in the size of the
     largest component; each is materialised in the shared folder, and no
-    group is ever gathered in one task.
+    group is ever gathered in one task. Up to BROADCAST_ROWS links, pointers
+    are broadcast instead of shuffled and lie in fewer parts.
     """
     live = cut(
         links.where("a != b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
     )
+    n = live.count()
+    small = n <= BROADCAST_ROWS
+    side = F.broadcast if small else (lambda df: df)
+    parts = (lambda df: df.coalesce(1 + n // PART_LINKS)) if small else (lambda df: df)
     forest = None
     while not live.isEmpty():
-        step = _jump(live.groupBy("hi").agg(F.min("lo").alias("root")).withColumnRenamed("hi", "node"))
+        step = _jump(parts(live.groupBy("hi").agg(F.min("lo").alias("root")).withColumnRenamed("hi", "node")), side)
         if forest is None:
             forest = step
         else:
-            up = step.select(F.col("node").alias("root"), F.col("root").alias("_up"))
+            up = side(step.select(F.col("node").alias("root"), F.col("root").alias("_up")))
             forest = cut(forest.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")).unionByName(step))
-        of_hi = step.select(F.col("node").alias("hi"), F.col("root").alias("_hi"))
-        of_lo = step.select(F.col("node").alias("lo"), F.col("root").alias("_lo"))
+        of_hi = side(step.select(F.col("node").alias("hi"), F.col("root").alias("_hi")))
+        of_lo = side(step.select(F.col("node").alias("lo"), F.col("root").alias("_lo")))
         live = cut(
             live.join(of_hi, "hi")
             .join(of_lo, "lo", "left")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sparklog.llm.common import cut, hot_join, saved
+from sparklog.llm.common import cut, few, hot_join, saved
 from sparklog.llm.components import components
 from sparklog.llm.stars import star_links
 
@@ -33,10 +33,6 @@ OTHER_BITS = 18
 #: Each of ORDERS orders of the 64 bits gives keys: WHOLE bits as they are, and for the 23 after them the indices of the NEARBY nearest codewords (of the six at most that lie within 4 bits).
 #: Of fingerprints that differ in 8 bits 0.99 share a key, in 10 bits 0.9, in 12 bits 0.6. Two bits more of WHOLE for each fourfold number of documents keep chance meetings as rare.
 ORDERS, WHOLE, NEARBY = 96, 10, 2
-#: Buckets of up to so many are joined with themselves; larger ones go by stars.
-FEW = 8
-#: Tables of up to so many rows are broadcast.
-BROADCAST_ROWS = 1_000_000
 _ORDER = np.stack([np.random.default_rng(k).permutation(64)[: WHOLE + 23] for k in range(ORDERS)])
 
 
@@ -249,36 +245,24 @@ def _keyed(batches):
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], names=["key", "fp"])
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """nodes(nid, least, fp, fp2), texts(nid, id, text) -> (a, b): links between texts at SIMILARITY or more.
 
-    Fingerprints that share a key and differ in BITS bits at most, and in the
-    second ones in OTHER_BITS, are candidates: all pairs of a small bucket,
-    stars (see star_links) in a large one. A fingerprint stands for one of its texts; others that have the same
-    are candidates among themselves.
+    Fingerprints that share a key are held against the most central one of
+    their bucket (see star_links); those that differ in BITS bits at most, and
+    the second ones in OTHER_BITS, are candidates.
     """
     # A key comes at most once from a fingerprint, so a bucket of one holds nothing alike.
     keys = nodes.select("fp").distinct().mapInArrow(_keyed, "key long, fp long")
-    full = saved(keys.withColumn("n", F.count("*").over(W.partitionBy("key"))).where("n > 1"), "near-buckets")
-    few = full.where(F.col("n") <= FEW)
-    close = F.expr(f"bit_count(x ^ y) <= {BITS}")
-    met = few.select("key", F.col("fp").alias("x")).join(few.select("key", F.col("fp").alias("y")), "key").where((F.col("x") < F.col("y")) & close)
-    met = saved(met.select("x", "y").distinct(), "near-met")
+    full = saved(keys.select("key", F.col("fp").alias("node"), F.count("*").over(W.partitionBy("key")).alias("n")).where("n > 1"), "near-buckets")
     stand = saved(nodes.groupBy("fp").agg(F.min(F.struct("nid", "fp2")).alias("s"), F.count("*").alias("n")).select("fp", "s.*", "n"), "near-stand")
-    as_a = stand.select(F.col("fp").alias("x"), F.col("nid").alias("a"), F.col("fp2").alias("x2"))
-    as_b = stand.select(F.col("fp").alias("y"), F.col("nid").alias("b"), F.col("fp2").alias("y2"))
-    close2 = F.expr(f"bit_count(x2 ^ y2) <= {OTHER_BITS}")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Exact similarity of the shingle sets; only the texts of a pair are fetched, once each."""
         pairs = saved(pairs, "near-candidates")
         wanted = pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid"))).distinct()
-        wanted = saved(wanted.join(nodes.select("nid", "least"), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
-        found = texts.join(_small(wanted, wanted.count()), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
+        wanted = saved(nodes.select("nid", "least").join(few(saved(wanted, "near-nids")), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
+        found = texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
         sets = saved(found.mapInArrow(_sets, "nid long, grams array<long>").dropDuplicates(["nid"]), "near-sets")
         often = pairs.groupBy("a").agg(F.count("*").alias("n"))
         of_b = pairs.join(sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")), "b")
@@ -286,17 +270,27 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         both = hot_join(of_b, of_a, "a", "n", "b", "inner").withColumn("both", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("both") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
-    def within(pairs: DataFrame) -> DataFrame:
-        x, y = (nodes.select(F.col("nid").alias(n), F.col("fp").alias(p), F.col("fp2").alias(f"{p}2")) for n, p in (("a", "x"), ("b", "y")))
-        return verified(pairs.join(x, "a").join(y, "b").where(close & close2).select("a", "b"))
-
-    links = verified(met.join(as_a, "x").join(as_b, "y").where(close2).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    many = full.where(F.col("n") > FEW).join(stand.select("fp", "nid"), "fp").select("key", F.col("nid").alias("node"))
+    def of_prints(pairs: DataFrame) -> DataFrame:
+        """(a, b, nid_a, nid_b) of pairs of fingerprints that may be of near copies."""
+        near = saved(pairs.where(f"bit_count(a ^ b) <= {BITS}"), "near-met")
+        one = stand.select(F.col("fp").alias("a"), F.col("nid").alias("nid_a"), F.col("fp2").alias("x"))
+        other = stand.select(F.col("fp").alias("b"), F.col("nid").alias("nid_b"), F.col("fp2").alias("y"))
+        near = other.join(few(saved(one.join(few(near), "a"), "near-met")), "b").where(f"bit_count(x ^ y) <= {OTHER_BITS}")
+        return saved(near.select("a", "b", "nid_a", "nid_b"), "near-met")
+
+    def alike_prints(pairs: DataFrame) -> DataFrame:
+        near = of_prints(pairs)
+        found = verified(near.select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b")))
+        return near.join(few(saved(found.select(F.col("a").alias("nid_a"), F.col("b").alias("nid_b")), "near-found")), ["nid_a", "nid_b"], "left_semi").select("a", "b")
+
+    as_a, as_b = stand.select(F.col("fp").alias("x"), F.col("nid").alias("a")), stand.select(F.col("fp").alias("y"), F.col("nid").alias("b"))
+    links = saved(star_links(full, alike_prints).select(F.col("a").alias("x"), F.col("b").alias("y")), "near-links")
+    links = as_b.join(few(saved(as_a.join(few(links), "x"), "near-links")), "y").select("a", "b")
     same = stand.where("n > 1").select(F.col("fp").alias("key"), "n")
-    if not same.isEmpty():
-        many = many.unionByName(hot_join(nodes.select(F.col("fp").alias("key"), F.col("nid").alias("node")), same, "key", "n", "node", "inner"))
-    many = saved(many, "near-many")
-    return links if many.isEmpty() else links.unionByName(star_links(many, within))
+    if same.isEmpty():
+        return links
+    texts_of = nodes.select(F.col("fp").alias("key"), F.col("nid").alias("node"))
+    return links.unionByName(star_links(hot_join(texts_of, same.withColumn("size", F.col("n")), "key", "size", "node", "inner", narrow=True), verified))
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,18 +317,18 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = saved(prints.groupBy("nid", "id").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count("*").alias("times")), "near-ids")
     nodes = saved(rows.groupBy("nid").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count("*").alias("n")), "near-nodes")
     roots = components(copy_links(nodes, texts)).withColumnRenamed("node", "nid")
-    named = saved(nodes.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "near-roots")
+    named = saved(nodes.join(few(roots), "nid", "left").withColumn("root", F.coalesce("root", "nid")), "near-roots")
     stays = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "nid")).alias("stays"), F.count("*").alias("members"))
-    named = saved(hot_join(named, saved(stays, "near-first"), "root", "members", "nid", "inner").select("nid", "n", "stays"), "near-stays")
+    named = saved(hot_join(named, saved(stays, "near-first"), "root", "members", "nid", "inner", narrow=True).select("nid", "n", "stays"), "near-stays")
     # Of a group's rows, those of the text and id that stay; the others go, as do further rows that repeat both.
-    ids = hot_join(rows.select("nid", "id", "times"), named, "nid", "n", "id", "inner")
+    ids = hot_join(rows.select("nid", "id", "times"), named, "nid", "n", "id", "inner", narrow=True)
     ids = saved(ids.select(F.col("nid").alias("__nid"), F.col("id").alias("__id"), "times", ((F.col("nid") == F.col("stays.nid")) & F.col("id").eqNullSafe(F.col("stays.least"))).alias("stays")), "near-gone")
     gone = ids.where("NOT stays").select("__nid", "__id")
     same = (nid == F.col("__nid")) & F.col(id_col).eqNullSafe(F.col("__id"))
-    out = docs.join(_small(gone, gone.count()), same, "left_anti")
+    out = docs.join(few(gone), same, "left_anti")
     twice = ids.where("stays AND times > 1").select("__nid", "__id")
     if twice.isEmpty():
         return out
-    twice = _small(twice, twice.count())
+    twice = few(twice)
     again = out.join(twice, same, "left_semi").withColumn("__nid", nid).dropDuplicates([id_col, "__nid"])
     return out.join(twice, same, "left_anti").unionByName(again.select(docs.columns))
