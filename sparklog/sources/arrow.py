@@ -25,8 +25,18 @@ def _spark_type(t: pa.DataType) -> pa.DataType:
     return wider.get(t, t)
 
 
-def spark_arrow_schema(schema: pa.Schema) -> pa.Schema:
-    return pa.schema([pa.field(f.name, _spark_type(f.type), f.nullable) for f in schema])
+def _is_ns(t: pa.DataType) -> bool:
+    return pa.types.is_timestamp(t) and t.unit == "ns"
+
+
+def spark_arrow_schema(schema: pa.Schema, exact_ns: bool = False) -> pa.Schema:
+    """The schema in Spark's types; with exact_ns, a column ``name_ns`` behind each time in nanoseconds holds them all, since 1970 in UTC."""
+    fields = []
+    for f in schema:
+        fields.append(pa.field(f.name, _spark_type(f.type), f.nullable))
+        if exact_ns and _is_ns(f.type):
+            fields.append(pa.field(f"{f.name}_ns", pa.int64(), f.nullable))
+    return pa.schema(fields)
 
 
 def stream_batches(data: bytes, segments: str = "all", on_error: str = "fail") -> Iterator[pa.RecordBatch]:
@@ -72,7 +82,7 @@ def _check(wire: str, segments: str, on_error: str) -> None:
         raise ValueError("segments must be 'all' or 'first', on_error 'fail' or 'keep_prefix'")
 
 
-def payload_schema(df: DataFrame, payload: str = "payload", wire: str = "arrow_ipc") -> T.StructType:
+def payload_schema(df: DataFrame, payload: str = "payload", wire: str = "arrow_ipc", exact_ns: bool = False) -> T.StructType:
     """Schema of the first payload's stream. Only the schema reaches the driver."""
 
     def peek(batches):
@@ -82,7 +92,7 @@ def payload_schema(df: DataFrame, payload: str = "payload", wire: str = "arrow_i
                 if wire == "arrow_framed":
                     data = (unframe(data) or ("", b""))[1]
                 if data:
-                    schema = spark_arrow_schema(pa.ipc.open_stream(pa.BufferReader(data)).schema)
+                    schema = spark_arrow_schema(pa.ipc.open_stream(pa.BufferReader(data)).schema, exact_ns)
                     yield pa.RecordBatch.from_arrays([pa.array([schema.serialize().to_pybytes()], pa.binary())], names=["schema"])
                     return
 
@@ -92,15 +102,16 @@ def payload_schema(df: DataFrame, payload: str = "payload", wire: str = "arrow_i
     return from_arrow_schema(pa.ipc.read_schema(pa.py_buffer(bytes(found[0]))), prefer_timestamp_ntz=True)
 
 
-def decode_arrow(df: DataFrame, schema: T.StructType | None = None, payload: str = "payload", wire: str = "arrow_ipc", segments: str = "all", on_error: str = "fail", tag: str | None = None) -> DataFrame:
+def decode_arrow(df: DataFrame, schema: T.StructType | None = None, payload: str = "payload", wire: str = "arrow_ipc", segments: str = "all", on_error: str = "fail", tag: str | None = None, exact_ns: bool = False) -> DataFrame:
     """Binary payloads -> the rows of their streams.
 
     The stream's own schema counts; ``schema`` spares the look at the first
     payload. A column that a stream lacks is null. Frames too short for their
-    header are skipped; ``tag`` names a column for the tags of frames.
+    header are skipped; ``tag`` names a column for the tags of frames. Times
+    are in microseconds; ``exact_ns`` adds ``name_ns`` for those in nanoseconds.
     """
     _check(wire, segments, on_error)
-    schema = schema or payload_schema(df, payload, wire)
+    schema = schema or payload_schema(df, payload, wire, exact_ns)
     names = schema.fieldNames()
     out = T.StructType([*([T.StructField(tag, T.StringType())] if tag else []), *schema.fields])
 
@@ -116,6 +127,8 @@ def decode_arrow(df: DataFrame, schema: T.StructType | None = None, payload: str
                     label, data = frame
                 for got in stream_batches(data, segments, on_error):
                     table = {f.name: got.column(i).cast(_spark_type(f.type), safe=not pa.types.is_timestamp(f.type)) for i, f in enumerate(got.schema)}
+                    if exact_ns:
+                        table |= {f"{f.name}_ns": got.column(i).cast(pa.int64()) for i, f in enumerate(got.schema) if _is_ns(f.type)}
                     columns = [table.get(n, None) for n in names]
                     columns = [pa.nulls(got.num_rows) if c is None else c for c in columns]
                     first = [pa.array([label] * got.num_rows, pa.string())] if tag else []

@@ -116,6 +116,15 @@ def test_arrow_frames(spark, rows):
         arrow.decode_arrow(payloads(spark, b"\0\0\0\x01tbroken body"), X, wire="arrow_framed").collect()
 
 
+def test_exact_nanoseconds(spark):
+    times = [1_700_000_000_123_456_789, -1, None]
+    batch = pa.record_batch([pa.array(times, pa.timestamp("ns")), pa.array([1, 2, 3])], names=["at", "n"])
+    df = spark.createDataFrame([(bytearray(arrow.encode_stream([batch])),)], "payload binary")
+    assert arrow.decode_arrow(df).columns == ["at", "n"]
+    got = arrow.decode_arrow(df, exact_ns=True)
+    assert got.columns == ["at", "at_ns", "n"] and [r.at_ns for r in got.orderBy("n").collect()] == times
+
+
 def test_ids_do_not_change_with_other_files(spark, folder):
     put(folder, "m.log", b"".join(b"m %d\n" % i for i in range(2000)))
     ids = lambda: {(bytes(r.payload), r.event_id) for r in files.read_text_events(spark, "*.log", folder).collect() if r.payload.startswith(b"m ")}
