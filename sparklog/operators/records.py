@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparklog.functions.coerce import egress, record_type
+from sparklog.functions.coerce import RECORD_TYPES, egress, record_type
 
 RECORD = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("meta", T.StringType()), T.StructField("value", T.StringType())]))
 
@@ -34,6 +34,15 @@ def schema_of_first(df: DataFrame, order: str, rec: str = "rec") -> T.StructType
     return T.StructType([T.StructField(n, k) for n, k in kinds if k is not None])
 
 
+def schema_table(df: DataFrame, order: str, rec: str = "rec") -> DataFrame:
+    """schema_of_first as a table (name, type), without a row reaching the driver. Arrays are text; unknown types and those to be ignored are left out."""
+    first = df.agg(F.min_by(rec, order).alias("rec")).select(F.explode("rec").alias("f"))
+    meta = F.lower(F.trim("f.meta"))
+    types = F.create_map(*(F.lit(x) for name, kind in RECORD_TYPES.items() if kind is not None for x in (name, kind.simpleString())))
+    found = first.select(F.col("f.name").alias("name"), F.when(meta.startswith("array"), "string").otherwise(types[meta]).alias("type"))
+    return found.where("type IS NOT NULL")
+
+
 def records_to_table(df: DataFrame, schema: T.StructType, rec: str = "rec", keep: tuple[str, ...] = ()) -> DataFrame:
     """A column for each field of schema, looked up by name in the record; missing ones are null, others are ignored. No shuffle."""
 

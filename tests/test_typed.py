@@ -8,7 +8,7 @@ from sparklog.functions import coerce, payload
 from sparklog.operators import ndjson, records
 from sparklog.sinks import text
 
-SCHEMA = T.StructType([T.StructField("sip", T.StringType()), T.StructField("dport", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("active", T.BooleanType()), T.StructField("event_time", T.TimestampNTZType())])
+SCHEMA = T.StructType([T.StructField("host_a", T.StringType()), T.StructField("port_b", T.LongType()), T.StructField("ratio", T.DoubleType()), T.StructField("open", T.BooleanType()), T.StructField("event_time", T.TimestampNTZType())])
 
 
 def table(spark, *lines, **more):
@@ -16,7 +16,7 @@ def table(spark, *lines, **more):
 
 
 def test_values(spark, rows):
-    got = table(spark, '{"sip":"10.0.0.1","dport":"443","x":1}', '{"dport":80,"score":70.5,"active":true,"event_time":"2026-01-01T00:00:00Z"}', '{"score":"99.9","active":"true","sip":{"a":[1, 2]}}', '{"sip":null}')
+    got = table(spark, '{"host_a":"10.0.0.1","port_b":"443","x":1}', '{"port_b":80,"ratio":70.5,"open":true,"event_time":"2026-01-01T00:00:00Z"}', '{"ratio":"99.9","open":"true","host_a":{"a":[1, 2]}}', '{"host_a":null}')
     assert rows(got) == sorted(
         [
             ("10.0.0.1", 443, None, None, None),
@@ -31,20 +31,20 @@ def test_values(spark, rows):
 
 @pytest.mark.parametrize("v", ['" 42"', '"1.5"', "1.0", "true", '"99999999999999999999"'])
 def test_long_nulls(spark, v):
-    assert table(spark, f'{{"dport":{v}}}').first().dport is None
+    assert table(spark, f'{{"port_b":{v}}}').first().port_b is None
 
 
-@pytest.mark.parametrize("field,v,want", [("active", '"yes"', None), ("active", "1", None), ("score", '"1d"', None), ("score", '"inf"', float("inf")), ("score", '"-Infinity"', float("-inf")), ("dport", '"+7"', 7), ("event_time", '"2026-01-01 00:00"', None), ("event_time", '"2026-01-01t01:00:60+01:00"', datetime.datetime(2026, 1, 1, 0, 1)), ("event_time", '"9999-01-01T00:00:00Z"', None)])
+@pytest.mark.parametrize("field,v,want", [("open", '"yes"', None), ("open", "1", None), ("ratio", '"1d"', None), ("ratio", '"inf"', float("inf")), ("ratio", '"-Infinity"', float("-inf")), ("port_b", '"+7"', 7), ("event_time", '"2026-01-01 00:00"', None), ("event_time", '"2026-01-01t01:00:60+01:00"', datetime.datetime(2026, 1, 1, 0, 1)), ("event_time", '"9999-01-01T00:00:00Z"', None)])
 def test_guards(spark, field, v, want):
     assert table(spark, f'{{"{field}":{v}}}').first()[field] == want
 
 
-@pytest.mark.parametrize("line", ["not json", "", "[1]", '{"dport":1} x', '{"dport":1}{"dport":2}', "1", "null"])
+@pytest.mark.parametrize("line", ["not json", "", "[1]", '{"port_b":1} x', '{"port_b":1}{"port_b":2}', "1", "null"])
 def test_bad_lines(spark, line):
     with pytest.raises(Exception):
         table(spark, line).collect()
-    good, bad = ndjson.split_good_bad(table(spark, line, '{"dport":5}', on_error="rescue"))
-    assert [r.dport for r in good.collect()] == [5]
+    good, bad = ndjson.split_good_bad(table(spark, line, '{"port_b":5}', on_error="rescue"))
+    assert [r.port_b for r in good.collect()] == [5]
     assert [(r.error_class, r.raw) for r in bad.collect()] == [("decode", line)]
 
 
