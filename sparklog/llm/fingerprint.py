@@ -82,8 +82,9 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     The next document is that of the next smaller id, after the last the
     first; a null text is empty; a null id comes last, and rows with one id
     are in the order of their texts. The edited text has its last third
-    replaced by as much of the next document's start, or by all of it. An
-    empty table gives no rows; a single document is its own next one.
+    replaced by as much of the next document's start, or by all of it. Texts
+    of any length are read whole; further columns are ignored, whatever their
+    names. An empty table gives no rows; a single document is its own next one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     spark, n = docs.sparkSession, rows.count()

@@ -168,7 +168,9 @@ def plan(histogram: dict[int, int], room: int = ROOM, step: int = STEP) -> list[
     number of pieces. Patterns of few documents are fitted to the histogram in
     steps; the repeat counts are rounded down and given the longest pieces of
     each step that are left; what remains, shortest last, is put by best fit
-    into the room that the patterns' sequences leave, or into new ones.
+    into the room that the patterns' sequences leave, or into new ones. Up to
+    room / step distinct lengths each is a step of its own; a step's patterns
+    then are of exact lengths, and as many.
     """
     left = {n: c for n, c in histogram.items() if c}
     out: list[tuple[tuple[int, ...], int]] = []
@@ -307,7 +309,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row for each piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null text is empty and has the end-of-document id alone; rows that
-    repeat are packed each by itself. An empty table gives no rows.
+    repeat are packed each by itself. Texts of any length are tokenised whole
+    and cut into pieces of room ids; further columns are ignored, whatever
+    their names. An empty table gives no rows.
     """
     parts = saved(pieces(docs, id_col, text_col, tokenizer, room), "pieces")
     return pack(parts, room).select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

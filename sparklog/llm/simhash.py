@@ -183,8 +183,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row for each row of docs: id, fingerprint (16 hex digits), component_id (smallest id reachable over links of 2 or fewer bits).
 
     Null and empty texts have fingerprint zero and are linked like any other;
-    rows with a null id get the smallest id of their component, or null. An
-    empty table gives no rows.
+    rows with a null id get the smallest id of their component, or null. Rows
+    that repeat, and rows of one id with several texts, each have their own
+    row. Texts of any length are read whole; further columns are ignored,
+    whatever their names. An empty table gives no rows.
     """
     of = cut(fingerprints(docs, id_col, text_col))
     distinct = cut(of.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")))

@@ -367,6 +367,28 @@ def test_plan(spark, seed, monkeypatch):
     assert used <= len(best) * 1.02 + 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_plan_on_both_sides_of_the_steps(seed):
+    """At the ratio of room to step that the query has: few lengths go exactly, many in steps; all pieces are placed, within 2 % of best fit."""
+    rng = random.Random(seed)
+    for kinds in (6, 200):
+        sizes = [rng.randint(1, 256) for _ in range(kinds)]
+        lengths = [rng.choice(sizes) for _ in range(3000)]
+        hist, made, used, free = collections.Counter(lengths), collections.Counter(), 0, []
+        assert (len(hist) <= 128) == (kinds == 6)
+        for key, m in packing.plan(dict(hist), 256, 2):
+            assert sum(key) <= 256
+            used += m
+            for n in key:
+                made[n] += m
+        assert made == hist
+        for n in sorted(lengths, reverse=True):
+            fits = [i for i, x in enumerate(free) if x >= n]
+            best = min(fits, key=lambda i: free[i]) if fits else free.append(256) or len(free) - 1
+            free[best] -= n
+        assert used <= 1.02 * len(free) + 1
+
+
 def test_nonnegative_fit():
     rng = np.random.default_rng(9)
     a, x = rng.random((12, 30)), np.maximum(0, rng.normal(size=30))
