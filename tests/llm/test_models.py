@@ -372,7 +372,7 @@ def test_plan_on_both_sides_of_the_steps(seed):
     """At the ratio of room to step that the query has: few lengths go exactly, many in steps; all pieces are placed, within 2 % of best fit."""
     rng = random.Random(seed)
     for kinds in (6, 200):
-        sizes = [rng.randint(1, 256) for _ in range(kinds)]
+        sizes = rng.sample(range(1, 257), kinds)
         lengths = [rng.choice(sizes) for _ in range(3000)]
         hist, made, used, free = collections.Counter(lengths), collections.Counter(), 0, []
         assert (len(hist) <= 128) == (kinds == 6)
