@@ -266,9 +266,9 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         wanted = saved(nodes.select("nid", "least").join(few(saved(wanted, "near-nids")), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
         found = texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
         sets = saved(found.mapInArrow(_sets, "nid long, grams array<long>").dropDuplicates(["nid"]), "near-sets")
-        often = pairs.groupBy("a").agg(F.count("*").alias("n"))
-        of_b = pairs.join(sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")), "b")
-        of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(often, "a"), "near-heads")
+        often = saved(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-often")
+        of_b = sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")).join(few(pairs), "b")
+        of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(few(often), "a"), "near-heads")
         both = hot_join(of_b, of_a, "a", "n", "b", "inner").withColumn("both", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("both") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
