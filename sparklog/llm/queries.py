@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklog.llm import exact_dedup, fingerprint, langid, line_dedup, mixing, packing, simhash, suffix_dedup, toxicity, warc
+from sparklog.llm import exact_dedup, fingerprint, langid, line_dedup, mixing, packing, phrases, sharding, simhash, spelling, suffix_dedup, toxicity, warc
 from sparklog.llm.common import table
 
 
@@ -51,6 +51,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), damage=199)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(sharding.shuffle_into_shards(table(spark, sf_dir, "documents")))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_mixing": op2_mixing,
@@ -62,6 +74,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op11_spelling": op11_spelling,
+    "op12_sharding": op12_sharding,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLE = {
@@ -101,4 +116,23 @@ ORACLE = {
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op13_phrases": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+        g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+              UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) > 1
+              UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w WHERE len(w) > 2),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS s FROM f WHERE k > 1 AND a >= 10),
+        cuts AS (SELECT lang, phrase, k, a, s, 1 AS cut, s[1] AS x, array_to_string(s[2:], ' ') AS y FROM c
+                 UNION ALL SELECT lang, phrase, k, a, s, 2, s[1] || ' ' || s[2], s[3] FROM c WHERE k = 3),
+        scored AS (SELECT cuts.lang, cuts.phrase, cuts.a, cut, l.a AS l, r.a AS r, CAST(1000000 * cuts.a::HUGEINT * cuts.a // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+                   FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (SELECT lang, phrase, max(b) AS b FROM (SELECT lang, s[1] || ' ' || s[2] AS phrase, a AS b FROM c WHERE k = 3 UNION ALL SELECT lang, s[2] || ' ' || s[3], a FROM c WHERE k = 3) GROUP BY ALL)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best LEFT JOIN longer USING (lang, phrase) JOIN n USING (lang) WHERE b IS NULL OR 100 * b < 50 * a
+        QUALIFY rank <= 2000
+    """,
 }
