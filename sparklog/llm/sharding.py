@@ -17,6 +17,7 @@ from sparklog.llm.common import cut, few, shared_path
 BUCKET_BYTES = 16 << 20
 #: A bucket with so many times its share of the rows, and some, holds rows that repeat.
 OVERFULL = 4
+HOT = 0.01
 #: Rows that leave a bucket at once.
 OUT_ROWS = 256
 OWN = ("shard", "slot")
@@ -31,19 +32,20 @@ def scattered(docs: DataFrame, buckets: int, seed: int) -> tuple[DataFrame, Data
     """docs -> (bucket, key, row) by a seeded hash of id and text, and (bucket, n).
 
     Rows that are alike in both have one hash. Where they make a bucket
-    overfull, its rows are scattered again over all buckets, by their place
-    in the input as well.
+    overfull, those of a hash that holds over a HOT share of a bucket are
+    scattered again over all buckets, by their place in the input as well.
     """
     rows = docs.select(F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"), F.struct(*docs.columns).alias("row"))
     rows = rows.select(F.pmod("key", F.lit(buckets)).alias("bucket"), "key", "row")
     loads = cut(rows.groupBy("bucket").agg(F.count("*").alias("n")))
     fair = (loads.agg(F.sum("n")).first()[0] or 0) / buckets
-    # At most one bucket in OVERFULL is that full.
-    full = cut(loads.where(F.col("n") > OVERFULL * fair + 1000).select("bucket", F.lit(True).alias("full")))
+    full = cut(loads.where(F.col("n") > OVERFULL * fair + 1000).select("bucket"))
     if buckets == 1 or full.isEmpty():
         return rows, loads
-    rows = rows.withColumn("again", F.xxhash64("key", F.monotonically_increasing_id())).join(few(full), "bucket", "left")
-    key = F.when(F.col("full"), F.col("again")).otherwise(F.col("key"))
+    # At most one bucket in OVERFULL is that full, and at most 1 / HOT hashes for each bucket are hot.
+    hot = rows.join(few(full), "bucket", "left_semi").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT * fair)
+    rows = rows.withColumn("again", F.xxhash64("key", F.monotonically_increasing_id())).join(few(cut(hot.select("key", F.lit(True).alias("hot")))), "key", "left")
+    key = F.when(F.col("hot"), F.col("again")).otherwise(F.col("key"))
     rows = rows.select(F.pmod(key, F.lit(buckets)).alias("bucket"), key.alias("key"), "row")
     return rows, cut(rows.groupBy("bucket").agg(F.count("*").alias("n")))
 
