@@ -11,19 +11,21 @@ from sparklog.functions.coerce import RECORD_TYPES, egress, record_type
 RECORD = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("meta", T.StringType()), T.StructField("value", T.StringType())]))
 
 
-def record(fields: list[tuple[str, str, Column]]) -> Column:
-    """A record of (name, type, value) from columns; a null value is a missing field; complex values become JSON."""
-    parts = [F.struct(F.lit(n).alias("name"), F.lit(m).alias("meta"), v.cast("string").alias("value")) for n, m, v in fields]
-    return F.filter(F.array(*parts), lambda f: f["value"].isNotNull())
+def as_text(value: Column) -> Column:
+    """A value's text: JSON for arrays, maps and structs."""
+    held = F.to_json(F.struct(value.alias("v")))
+    # The type is known when the query is planned, so one of the two remains.
+    return F.when(F.typeof(value).rlike("^(array|map|struct)<"), F.when(value.isNotNull(), F.substring(held, F.lit(6), F.length(held) - 6))).otherwise(value.cast("string"))
 
 
-def as_text(df: DataFrame, column: str) -> Column:
-    """A column's text: JSON for arrays, maps and structs."""
-    kind = df.schema[column].dataType
-    return F.to_json(column) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else F.col(column).cast("string")
+def record(fields: list[tuple[str, str, Column]]) -> Column:
+    """A record of (name, type, value) from columns; a null value is a missing field; arrays, maps and structs become JSON."""
+    parts = [F.struct(F.lit(n).alias("name"), F.lit(m).alias("meta"), as_text(v).alias("value")) for n, m, v in fields]
+    return F.filter(F.array(*parts), lambda f: f["value"].isNotNull())
 
 
 def text_schema(names: list[str]) -> T.StructType:
+    """A column of text for each name."""
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 

@@ -462,6 +462,20 @@ def record_coercions(spark, sf_dir):
     return records.records_to_table(rows, T.StructType([T.StructField(n, k) for (n, _, _), k in zip(fields, kinds)]), keep=("c_custkey",))
 
 
+@query("""SELECT c_custkey, '{"key":' || c_custkey || ',"name":"' || c_name || '"}' AS whole, '["' || c_mktsegment || '","b"]' AS parts, '{"' || c_mktsegment || '":' || c_nationkey || '}' AS pairs, CAST(c_nationkey AS VARCHAR) AS plain,
+    CASE WHEN c_custkey % 2 = 0 THEN '{"key":' || c_custkey || '}' END AS some FROM customer""")
+def record_json(spark, sf_dir):
+    """Objects, arrays and maps of a record as JSON, under a schema of text for all its names."""
+    c = table(spark, sf_dir, "customer")
+    key = F.struct(F.col("c_custkey").alias("key"))
+    fields = [
+        ("whole", "obj", F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))), ("parts", "array(chars)", F.array("c_mktsegment", F.lit("b"))), ("pairs", "json", F.create_map("c_mktsegment", "c_nationkey")),
+        ("plain", "digit", F.col("c_nationkey")), ("some", "obj", F.when(F.col("c_custkey") % 2 == 0, key)),
+    ]
+    rows = c.select("c_custkey", records.record(fields).alias("rec"))
+    return records.records_to_table(rows, records.text_schema([n for n, _, _ in fields]), keep=("c_custkey",))
+
+
 # --- sinks ------------------------------------------------------------------
 
 PART_COLUMNS = ("p_partkey", "p_name", "p_size")
@@ -646,17 +660,49 @@ def skipped_frames(spark, sf_dir):
 # --- order, prefixes, appends, instances ------------------------------------
 
 
-@query("SELECT c_nationkey AS nation, CAST(dense_rank() OVER (ORDER BY CAST(c_nationkey AS VARCHAR)) - 1 AS INT) AS file_seq, c_custkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INT) AS line_no FROM customer")
+#: Parts of 500 keys, in files of one name in two folders.
+IN_FILES = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS folder, 'x-r' || (c_custkey // 500 + 1) || '.log' AS name, c_custkey || ',' || c_name || CASE WHEN c_custkey % 3 = 0 THEN chr(13) ELSE '' END AS line FROM customer"""
+
+
+def two_folders(spark, sf_dir):
+    d = work_dir(spark)
+    sink_files.register(spark)
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(","), "c_name", F.when(F.col("c_custkey") % 3 == 0, "\r").otherwise(""))
+    c = table(spark, sf_dir, "customer").withColumn("part", F.floor(F.col("c_custkey") / 500).cast("int"))
+    # The parts grow in number, not in size.
+    n = c.agg(F.max("part")).first()[0] + 1
+    for name, rest in (("even", 0), ("odd", 1)):
+        rows = c.where(F.col("c_custkey") % 2 == rest).repartitionById(max(n, 2), F.col("part")).sortWithinPartitions("c_custkey")
+        rows.select(line.alias("value")).write.format("file_lines").options(base=f"{local(d)}/{name}", file="x.log").mode("append").save()
+    return d
+
+
+def of_line(got: DataFrame, *more) -> DataFrame:
+    path = F.split("file_path", "/")
+    key = F.split(F.col("payload").cast("string"), ",")[0].cast("long")
+    return got.select(F.element_at(path, -2).alias("folder"), F.element_at(path, -1).alias("name"), key.alias("c_custkey"), *more)
+
+
+@query(f"WITH l AS ({IN_FILES}) SELECT folder, name, c_custkey, CAST(dense_rank() OVER (ORDER BY name, folder) - 1 AS INT) AS file_seq, CAST(row_number() OVER (PARTITION BY folder, name ORDER BY c_custkey) AS INT) AS line_no FROM l")
 def file_order(spark, sf_dir):
     """Files in the order of name and path, lines in that of the file."""
-    d = work_dir(spark)
-    table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_custkey").cast("string")).repartition("c_nationkey").sortWithinPartitions("c_nationkey", F.col("c_custkey").cast("long")).write.partitionBy("c_nationkey").text(d)
-    # One name in each folder, so that the path decides.
-    got = files.read_lines(spark, "*/*.txt", d).withColumn("nation", F.regexp_extract("file_path", "c_nationkey=([0-9]+)", 1).cast("int"))
+    got = files.read_lines(spark, "{even,odd}/x-r*.log", two_folders(spark, sf_dir))
     by = W.partitionBy("file_path").orderBy("block", "line_id")
-    rank = F.dense_rank().over(W.orderBy(F.regexp_extract("file_path", "(c_nationkey=[0-9]+)", 1))) - 1
-    seq = got.groupBy("nation", "file_path").agg(F.min("file_seq").alias("seq")).select("nation", rank.alias("file_seq"))
-    return got.withColumn("line_no", F.row_number().over(by)).drop("file_seq").join(F.broadcast(seq), "nation").select("nation", "file_seq", F.col("payload").cast("string").cast("long").alias("c_custkey"), "line_no")
+    return of_line(got.withColumn("line_no", F.row_number().over(by)), "file_seq", "line_no")
+
+
+@query(f"WITH l AS ({IN_FILES}) SELECT folder, name, c_custkey, CAST(coalesce(sum(strlen(line) + 1) OVER (PARTITION BY folder, name ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\" FROM l")
+def line_offsets(spark, sf_dir):
+    """The byte of its file at which each line begins."""
+    return of_line(files.read_lines(spark, "{even,odd}/x-r*.log", two_folders(spark, sf_dir), ordered=False, offsets=True), "offset")
+
+
+@query(f"""WITH l AS ({IN_FILES}), o AS (SELECT *, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY folder, name ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, sum(strlen(line) + 1) OVER (PARTITION BY folder, name) AS size FROM l)
+    SELECT folder, c_custkey, 'in-' || CAST(CASE WHEN start > 0 THEN (start - 1) // ((size + 2) // 3) ELSE 0 END + 1 AS BIGINT) AS src_key FROM o""")
+def line_ranges(spark, sf_dir):
+    """Lines in three ranges of each file's bytes; the key names the range."""
+    out = files.read_text_events(spark, "{even,odd}/x-r*.log", two_folders(spark, sf_dir), name="in", instances=3)
+    return of_line(out.withColumn("file_path", F.col("tags")["access_source"]), "src_key").drop("name")
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
