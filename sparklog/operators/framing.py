@@ -9,7 +9,7 @@ not whole yet: strict waits for the rest, live cuts at a newline.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,41 +71,55 @@ class Walk:
     """The messages of one connection, chunk by chunk.
 
     Chunks are gathered until the length that a frame has announced is there,
-    or else a newline, so no byte is looked at more than a few times.
+    or else a newline, so no byte is looked at more than a few times. Over
+    MOST_BYTES that wait are an error in every mode, or with ``drop`` go.
+
+    ``marks`` and ``stored`` take up a walk where another one stopped: stored
+    gives the chunks that wait, and is asked for them only if they are needed.
     """
 
-    def __init__(self, mode: str = "auto", on_overflow: str = "fail"):
-        self.mode, self.on_overflow = mode, on_overflow
+    def __init__(self, mode: str = "auto", on_overflow: str = "fail", marks: tuple[int, int, bool] | None = None, stored: Callable[[], list[bytes]] = list):
+        self.mode, self.on_overflow, self.stored = mode, on_overflow, stored
         self.parts: list[bytes] = []
-        self.size = self.need = self.scans = 0
-        self.in_line = mode.startswith("line")
+        self.scans = 0
+        self.size, self.need, self.idle = marks or (0, 0, mode.startswith("line"))
+
+    @property
+    def marks(self) -> tuple[int, int, bool]:
+        """Bytes that wait, bytes that a frame needs, and whether only a newline can end what waits."""
+        return self.size, self.need, self.idle
 
     def rest(self) -> bytes:
-        return b"".join(self.parts)
+        return b"".join([*self.stored(), *self.parts])
+
+    def _keep(self, rest: bytes) -> None:
+        self.stored, self.parts, self.size, self.need = list, [rest] if rest else [], len(rest), 0
+        prefix = None if self.mode.startswith("line") else _PREFIX.match(rest)
+        # Strict frames that are too long are lines.
+        if prefix and (self.mode.endswith("live") or _waits(rest)):
+            self.need = prefix.end() + int(prefix[1])
+        # Bytes that can't be a length any more are a line, which only a newline ends, or nothing does.
+        self.idle = self.mode.startswith("line") or (not prefix and len(rest) > 11)
+
+    def _overflow(self) -> list[bytes]:
+        size = self.size
+        self._keep(b"")
+        self.scans += 1
+        if self.on_overflow == "fail":
+            raise FrameOverflow(f"{size} bytes without a frame; the most is {MOST_BYTES}")
+        return []
 
     def feed(self, chunk: bytes) -> list[bytes]:
         self.parts.append(chunk)
         self.size += len(chunk)
-        # A length frame that is not whole waits; live, and without a length, a newline in the new bytes ends it too.
-        by_line = self.mode != "auto" and not self.mode.startswith("len")
-        if self.size < self.need and not (by_line and b"\n" in chunk):
-            return []
-        if self.in_line and b"\n" not in chunk and not (self.mode == "auto" and self.size > MOST_BYTES):
-            return []
+        # A length frame that is not whole waits; in auto_live a newline in the new bytes ends it too.
+        waits = self.size < self.need and not (self.mode == "auto_live" and b"\n" in chunk)
+        if waits or (self.idle and (self.mode.startswith("len") or b"\n" not in chunk)):
+            return self._overflow() if self.size > MOST_BYTES + 11 else []
         self.scans += 1
         out, rest = split_frames(self.rest(), self.mode, self.on_overflow)
-        self.parts, self.size, self.need = [rest] if rest else [], len(rest), 0
-        # Bytes that can't be a length any more are a line, which only a newline ends.
-        self.in_line = self.mode.startswith("line") or (self.mode.startswith("auto") and len(rest) > 11 and not _PREFIX.match(rest))
-        if not self.mode.startswith("line") and (m := _PREFIX.match(rest)):
-            n = m.end() + int(m[1])
-            if self.mode == "len_live" and n > MOST_BYTES + m.end():
-                if self.on_overflow == "fail":
-                    raise FrameOverflow(f"a frame of {int(m[1])} bytes; the most is {MOST_BYTES}")
-                self.parts, self.size = [], 0
-                return out
-            self.need = n
-        return out
+        self._keep(rest)
+        return out + self._overflow() if self.size > MOST_BYTES + 11 else out
 
 
 def line_frames(df: DataFrame, payload: str = "payload", strict: bool = False) -> DataFrame:

@@ -5,40 +5,95 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from sparklog.operators.framing import check_mode, split_frames
+from sparklog.operators.framing import Walk, check_mode
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def reframe_stream(chunks: DataFrame, conn: str = "conn", seq: str = "seq", payload: str = "bytes", mode: str = "auto", on_overflow: str = "fail") -> DataFrame:
-    """Stream of chunks -> conn, msg_no, payload. The unfinished frame of each connection is its state, across micro-batches and restarts.
 
-    Chunks of a micro-batch are put in the order of seq. A chunk that comes
-    with a smaller seq than one already taken is an error: a connection's
-    bytes have one order, and what was emitted cannot be taken back.
-    """
-    check_mode(mode)
-    kind = dict(chunks.dtypes)[conn]
-    rows = chunks.select(F.col(conn).alias("conn"), F.col(seq).cast("long").alias("seq"), F.col(payload).cast("binary").alias("bytes"))
+def use_rocksdb(spark: SparkSession) -> None:
+    """State with lists and timers needs Spark's RocksDB store; another store that was chosen is left."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "HDFSBackedStateStoreProvider" in spark.conf.get(key, "HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
+
+
+class Reframer(StatefulProcessor):
+    """State of a connection: the chunks that wait, each an element of a list, and the marks of the walk over them."""
+
+    def __init__(self, mode: str, on_overflow: str, idle_ms: int | None, tail: bool):
+        self.mode, self.on_overflow, self.idle_ms, self.tail = mode, on_overflow, idle_ms, tail
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.chunks = handle.getListState("chunks", "bytes binary")
+        self.marks = handle.getValueState("marks", "size long, need long, idle boolean, number long, last long")
+
+    def _stored(self) -> list[bytes]:
+        return [bytes(x[0]) for x in self.chunks.get()] if self.chunks.exists() else []
+
+    def _frame(self, key: tuple, numbers: list, found: list) -> pd.DataFrame:
+        return pd.DataFrame({"conn": pd.Series([key[0]] * len(found), dtype=object), "msg_no": pd.Series(numbers, dtype="Int64"), "payload": pd.Series(found, dtype=object)})
 
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        buffer, number, last = state.get if state.exists else (b"", 0, None)
-        chunk = pd.concat(list(parts)).sort_values("seq", kind="stable")
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        size, need, idle, number, last = self.marks.get() if self.marks.exists() else (0, 0, self.mode.startswith("line"), 0, None)
+        walk = Walk(self.mode, self.on_overflow, (size, need, idle), self._stored)
+        chunk = pd.concat(list(rows)).sort_values("seq", kind="stable")
         numbers, found = [], []
         for s, b in zip(chunk["seq"].tolist(), chunk["bytes"]):
             if last is not None and s < last:
                 raise ValueError(f"chunk {s} of connection {key[0]!r} came after chunk {last}")
             last = s
-            got, buffer = split_frames(bytes(buffer) + bytes(b or b""), mode, on_overflow)
-            for g in got:
+            for g in walk.feed(bytes(b or b"")):
                 numbers.append(number), found.append(g)
                 number += 1
-        state.update((bytes(buffer), number, last))
+        # What still waits is added to; it is written anew only after a frame was taken from it.
+        if walk.scans:
+            self.chunks.clear()
+        if walk.parts:
+            self.chunks.appendList([(p,) for p in walk.parts])
+        self.marks.update((*walk.marks, number, last))
+        if self.idle_ms is not None:
+            for at in list(self.handle.listTimers()):
+                self.handle.deleteTimer(at)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         if found:
-            yield pd.DataFrame({"conn": pd.Series([key[0]] * len(found), dtype=object), "msg_no": numbers, "payload": pd.Series(found, dtype=object)})
+            yield self._frame(key, numbers, found)
 
-    return rows.groupBy("conn").applyInPandasWithState(
-        step, f"conn {kind}, msg_no long, payload binary", "buffer binary, number long, last long", "append", GroupStateTimeout.NoTimeout
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rest = b"".join(self._stored())
+        self.chunks.clear()
+        self.marks.clear()
+        if rest and self.tail:
+            yield self._frame(key, [None], [rest])
+
+    def close(self) -> None:
+        pass
+
+
+def reframe_stream(
+    chunks: DataFrame, conn: str = "conn", seq: str = "seq", payload: str = "bytes", mode: str = "auto", on_overflow: str = "fail", idle_seconds: float | None = None, tail: bool = False
+) -> DataFrame:
+    """Stream of chunks -> conn, msg_no, payload. The unfinished frame of each connection is its state, across micro-batches and restarts.
+
+    Chunks of a micro-batch are put in the order of seq. A chunk that comes
+    with a smaller seq than one already taken is an error: a connection's
+    bytes have one order, and what was emitted cannot be taken back. What
+    waits is bounded as in reframe.
+
+    A connection from which nothing came for ``idle_seconds`` is forgotten;
+    with ``tail`` what it left unfinished is a row with msg_no null. If it
+    comes back it is a new one. Such a query runs until it is stopped: Spark
+    looks for what has expired for ever, with trigger(availableNow) too.
+    """
+    check_mode(mode)
+    use_rocksdb(chunks.sparkSession)
+    kind = dict(chunks.dtypes)[conn]
+    rows = chunks.select(F.col(conn).alias("conn"), F.col(seq).cast("long").alias("seq"), F.col(payload).cast("binary").alias("bytes"))
+    idle_ms = None if idle_seconds is None else int(idle_seconds * 1000)
+    return rows.groupBy("conn").transformWithStateInPandas(
+        Reframer(mode, on_overflow, idle_ms, tail), f"conn {kind}, msg_no long, payload binary", "Append", "None" if idle_ms is None else "ProcessingTime"
     )

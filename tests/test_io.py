@@ -48,11 +48,11 @@ def test_line_splits_do_not_matter(spark, rows, folder):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-        got = files.read_text_events(spark, "x.log", folder, tags=["env:test", "team:platform"], instances=40)
+        got = files.read_text_events(spark, "x.log", folder, tags=["zone:north", "rack=b7"], instances=40)
         assert files.read_lines(spark, "x.log", folder).select("block").distinct().count() > 5
         assert rows(got.select("payload")) == sorted(((x,) for x in data.splitlines()), key=repr)
         tags = got.first().tags
-        assert tags["env"] == "test" and tags["team"] == "platform" and tags["access_source"].endswith("x.log")
+        assert tags["zone"] == "north" and tags["rack"] == "b7" and tags["access_source"].endswith("x.log")
         assert got.select("event_id").distinct().count() == 20000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -159,8 +159,8 @@ def test_file_sinks(spark, rows, folder):
     assert not [x for x in os.listdir(folder) if x.startswith("none")]
     spark.createDataFrame([], "x int").repartition(1).write.format("file_arrow").options(base=folder, file="f.arrow", data_format="arrow_framed", tag="header").mode("append").save()
     assert not [x for x in os.listdir(f"{folder}/out") if x.endswith(".lock") and x != os.path.basename(foreign)]
-    assert sink_files.replica_name("sink/default.json", 2, 4) == "sink/default-r2.json"
-    assert sink_files.replica_name("sink/default.dat.lock", 2, 4) == "sink/default-r2.dat.lock"
+    assert sink_files.replica_name("d/lines.csv", 3, 5) == "d/lines-r3.csv" and sink_files.replica_name("d/lines", 1, 1) == "d/lines"
+    assert sink_files.replica_name("d/lines.csv.lock", 3, 5) == "d/lines-r3.csv.lock"
     text.write_raw(spark.createDataFrame([("a\n",), ("b",)], "payload string"), f"{folder}/raw")
     assert sorted(r.value for r in spark.read.text(f"{folder}/raw").collect()) == ["a", "b"]
     text.drop_all(df)

@@ -1,0 +1,103 @@
+"""Framing on streams: restarts, connections that fall silent, bounds, and the same messages as in batch."""
+
+import random
+import time
+
+import pytest
+
+from sparklog.operators import framing
+from sparklog.streaming.reframe import reframe_stream
+
+SCHEMA = "conn string, seq long, bytes binary"
+
+
+class Feed:
+    """A folder of chunks and a query over it that is started anew for each micro-batch."""
+
+    def __init__(self, spark, folder, **more):
+        self.spark, self.folder, self.more, self.n = spark, folder, more, 0
+
+    def put(self, *chunks):
+        self.spark.createDataFrame([(c, s, bytearray(b)) for c, s, b in chunks], SCHEMA).coalesce(1).write.parquet(f"{self.folder}/in/{self.n}")
+        self.n += 1
+        out = reframe_stream(self.spark.readStream.schema(SCHEMA).parquet(f"{self.folder}/in/*"), **self.more)
+        q = out.writeStream.format("parquet").option("path", f"{self.folder}/out").option("checkpointLocation", f"{self.folder}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        return sorted(((r.conn, r.msg_no, bytes(r.payload)) for r in self.spark.read.parquet(f"{self.folder}/out").collect()), key=repr)
+
+
+def test_same_as_batch_over_restarts(spark, tmp_path):
+    rng = random.Random(8)
+    chunks = []
+    for conn in "abc":
+        data = b"".join(rng.choice([b"%d %s" % (len(m), m), m + b"\n"]) for m in (rng.choice([b"x", b"\xc3\xa9y"]) * rng.randrange(1, 60) + b"." for _ in range(40))) + b"77 open"
+        at = 0
+        while at < len(data):
+            n = rng.randrange(1, 90)
+            chunks.append((conn, at, data[at : at + n]))
+            at += n
+    df = spark.createDataFrame([(c, s, bytearray(b)) for c, s, b in chunks], SCHEMA)
+    want = sorted(((r.conn, r.msg_no, bytes(r.payload)) for r in framing.reframe(df).collect()), key=repr)
+    feed = Feed(spark, str(tmp_path))
+    parts = [[x for x in chunks if lo <= x[1] < hi] for lo, hi in ((0, 400), (400, 700), (700, 10**9))]
+    for part in parts:
+        rng.shuffle(part)
+        got = feed.put(*part)
+    assert got == want and len(want) > 100
+
+
+def test_idle_connections_are_forgotten(spark, tmp_path):
+    """A running query: what silent connections left comes out, and a chunk of a smaller number begins a new one."""
+    (tmp_path / "in").mkdir()
+    put = lambda *chunks: spark.createDataFrame([(c, s, bytearray(b)) for c, s, b in chunks], SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    out = reframe_stream(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in"), idle_seconds=2, tail=True)
+    q = out.writeStream.format("memory").queryName("idle").option("checkpointLocation", f"{tmp_path}/state").trigger(processingTime="500 milliseconds").start()
+
+    def until(want):
+        for _ in range(240):
+            got = sorted(((r.conn, r.msg_no, bytes(r.payload)) for r in spark.table("idle").collect()), key=repr)
+            if got == want:
+                return
+            time.sleep(0.25)
+        assert got == want
+
+    try:
+        put(("gone", 5, b"one\nhalf"), ("here", 0, b"3 a"))
+        until([("gone", 0, b"one"), ("gone", None, b"half"), ("here", None, b"3 a")])
+        put(("gone", 0, b"two\n"))
+        until([("gone", 0, b"one"), ("gone", 0, b"two"), ("gone", None, b"half"), ("here", None, b"3 a")])
+    finally:
+        q.stop()
+
+
+def test_chunks_out_of_order_fail(spark, tmp_path):
+    feed = Feed(spark, str(tmp_path))
+    feed.put(("a", 5, b"x"))
+    with pytest.raises(Exception, match="came after"):
+        feed.put(("a", 4, b"y"))
+
+
+@pytest.mark.parametrize("mode", ["line", "len_live", "auto", "len"])
+def test_what_waits_is_bounded(spark, tmp_path, mode, monkeypatch):
+    flood = [("a", i, (b"99999999 " if i == 0 and mode == "len_live" else b"") + b"y" * 4_000_000) for i in range(3)]
+    with pytest.raises(Exception, match="without a frame"):
+        Feed(spark, f"{tmp_path}/fail", mode=mode).put(*flood)
+    df = spark.createDataFrame([(c, s, bytearray(b)) for c, s, b in flood], SCHEMA)
+    with pytest.raises(Exception, match="without a frame"):
+        framing.reframe(df, mode=mode).collect()
+    tell = b"2 ok" if mode.startswith("len") else b"ok\n"
+    dropped = Feed(spark, f"{tmp_path}/drop", mode=mode, on_overflow="drop").put(*flood, ("a", 9, tell))
+    assert dropped == [("a", 0, b"ok")]
+
+
+def test_chunks_that_wait_are_not_read_again():
+    """A walk that is taken up asks for what is stored only when a frame may be whole."""
+    asked = []
+    walk = framing.Walk("auto")
+    walk.feed(b"1000 ")
+    for i in range(9):
+        walk = framing.Walk("auto", marks=walk.marks, stored=lambda: asked.append(i) or [b"1000 ", b"z" * 100 * i])
+        out = walk.feed(b"z" * 100)
+    assert out == [] and asked == []
+    walk = framing.Walk("auto", marks=walk.marks, stored=lambda: [b"1000 ", b"z" * 900])
+    assert walk.feed(b"z" * 100) == [b"z" * 1000] and walk.rest() == b""
