@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sparklog.sources.files import data_format, read_whole_files, resolve
+from sparklog.sources.files import data_format, listed_files, read_whole_files, resolve
 
 WIRE = ("arrow_ipc", "arrow_framed")
 
@@ -102,6 +105,16 @@ def payload_schema(df: DataFrame, payload: str = "payload", wire: str = "arrow_i
     return from_arrow_schema(pa.ipc.read_schema(pa.py_buffer(bytes(found[0]))), prefer_timestamp_ntz=True)
 
 
+def _typed(got: pa.RecordBatch, names: list[str], exact_ns: bool, tag: str | None, label: str | None) -> pa.RecordBatch:
+    """A stream's batch as columns of the given names in Spark's types; one that it lacks is null."""
+    table = {f.name: got.column(i).cast(_spark_type(f.type), safe=not pa.types.is_timestamp(f.type)) for i, f in enumerate(got.schema)}
+    if exact_ns:
+        table |= {f"{f.name}_ns": got.column(i).cast(pa.int64()) for i, f in enumerate(got.schema) if _is_ns(f.type)}
+    columns = [pa.nulls(got.num_rows) if (c := table.get(n)) is None else c for n in names]
+    first = [pa.array([label] * got.num_rows, pa.string())] if tag else []
+    return pa.RecordBatch.from_arrays([*first, *columns], names=[*([tag] if tag else []), *names])
+
+
 def decode_arrow(df: DataFrame, schema: T.StructType | None = None, payload: str = "payload", wire: str = "arrow_ipc", segments: str = "all", on_error: str = "fail", tag: str | None = None, exact_ns: bool = False) -> DataFrame:
     """Binary payloads -> the rows of their streams.
 
@@ -126,13 +139,7 @@ def decode_arrow(df: DataFrame, schema: T.StructType | None = None, payload: str
                         continue
                     label, data = frame
                 for got in stream_batches(data, segments, on_error):
-                    table = {f.name: got.column(i).cast(_spark_type(f.type), safe=not pa.types.is_timestamp(f.type)) for i, f in enumerate(got.schema)}
-                    if exact_ns:
-                        table |= {f"{f.name}_ns": got.column(i).cast(pa.int64()) for i, f in enumerate(got.schema) if _is_ns(f.type)}
-                    columns = [table.get(n, None) for n in names]
-                    columns = [pa.nulls(got.num_rows) if c is None else c for c in columns]
-                    first = [pa.array([label] * got.num_rows, pa.string())] if tag else []
-                    yield pa.RecordBatch.from_arrays([*first, *columns], names=out.fieldNames())
+                    yield _typed(got, names, exact_ns, tag, label)
 
     return df.select(F.col(payload).cast("binary").alias("p")).mapInArrow(run, out)
 
@@ -156,8 +163,151 @@ def encode_arrow(df: DataFrame, wire: str = "arrow_ipc", tag: str = "") -> DataF
     return df.mapInArrow(run, "payload binary")
 
 
-def read_arrow(spark: SparkSession, file: str, base: str | None = None, wire: str = "arrow_ipc", schema: T.StructType | None = None, **options: str) -> DataFrame:
-    """Files of Arrow streams or frames as rows; further options are those of decode_arrow."""
+#: Bytes of record batches that one read takes.
+RANGE_BYTES = 64 << 20
+_END = b"\xff\xff\xff\xff\0\0\0\0"
+_SCHEMA, _DICTIONARY, _RECORDS = 1, 2, 3
+
+
+def _opened(file_path: str):
+    """(file system, path) of a file's address, if Arrow knows its scheme."""
+    return pa.fs.FileSystem.from_uri(re.sub("^([A-Za-z0-9+.-]+):/(?!/)", r"\1:///", file_path) if ":" in file_path else file_path)
+
+
+def _message(meta: bytes) -> tuple[int, int]:
+    """(kind, bytes of the body) of a message, from the table of its fields: kind is the second, the body's length the fourth."""
+    at = struct.unpack_from("<I", meta)[0]
+    fields = at - struct.unpack_from("<i", meta, at)[0]
+    size = struct.unpack_from("<H", meta, fields)[0]
+
+    def field(k: int, kind: str) -> int:
+        place = struct.unpack_from("<H", meta, fields + 4 + 2 * k)[0] if 4 + 2 * k < size else 0
+        return struct.unpack_from(kind, meta, at + place)[0] if place else 0
+
+    return field(1, "<B"), field(3, "<q")
+
+
+def stream_ranges(file, size: int, wire: str = "arrow_ipc", segments: str = "all", on_error: str = "fail", range_bytes: int = RANGE_BYTES) -> Iterator[tuple]:
+    """(tag, head, begin, end) for each run of about range_bytes of record batches; head is [offset, length] of the schema and the dictionaries that a run needs.
+
+    Only the messages' own headers are read, never their bodies. A message
+    that is not whole or no message is an error, or with keep_prefix the end.
+    """
+    at, tag = 0, None
+    if wire == "arrow_framed":
+        file.seek(0)
+        n = int.from_bytes(file.read(4), "big")
+        if size < 4 or 4 + n > size:
+            return
+        tag, at = file.read(n).decode("utf-8", "replace"), 4 + n
+    while at < size:
+        head: list[list[int]] = []
+        begin, end, needs, ended = None, 0, None, False
+        while at < size and not ended:
+            try:
+                file.seek(at)
+                mark, *more = struct.unpack("<Ii", (file.read(8) + b"\0" * 8)[:8])
+                lead, length = (8, more[0]) if mark == 0xFFFFFFFF else (4, mark)
+                if length == 0:
+                    at, ended = at + lead, True
+                    break
+                if not 0 < length <= size - at - lead:
+                    raise ValueError("a message that is not whole")
+                file.seek(at + lead)
+                kind, body = _message(file.read(length))
+                total = lead + length + body
+                if kind not in (_SCHEMA, _DICTIONARY, _RECORDS) or (kind == _SCHEMA) != (not head) or body < 0 or at + total > size:
+                    raise ValueError("no whole message where one is due")
+            except (ValueError, struct.error) as e:
+                if on_error == "fail":
+                    raise ValueError(f"at byte {at}: {e}") from e
+                if begin is not None:
+                    yield tag, needs, begin, end
+                return
+            if kind == _RECORDS and begin is None:
+                begin, needs = at, [list(x) for x in head]
+            if kind != _RECORDS:
+                head.append([at, total])
+            at += total
+            if kind == _RECORDS:
+                end = at
+                if end - begin >= range_bytes:
+                    yield tag, needs, begin, end
+                    begin = None
+        if begin is not None:
+            yield tag, needs, begin, end
+        if segments == "first":
+            return
+
+
+_RANGES = "file_path string, tag string, head array<array<long>>, begin long, end long"
+
+
+def _ranges(listed: DataFrame, wire: str, segments: str, on_error: str, range_bytes: int) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for path, size in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                system, name = _opened(path)
+                with system.open_input_file(name) as file:
+                    rows = list(stream_ranges(file, size, wire, segments, on_error, range_bytes))
+                columns = zip(*rows) if rows else [()] * 4
+                kinds = (pa.string(), pa.list_(pa.list_(pa.int64())), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(rows), pa.string()), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["file_path", "tag", "head", "begin", "end"])
+
+    return listed.select("file_path", "file_size").mapInArrow(run, _RANGES)
+
+
+def read_arrow(
+    spark: SparkSession, file: str, base: str | None = None, wire: str = "arrow_ipc", schema: T.StructType | None = None, segments: str = "all", on_error: str = "fail", tag: str | None = None, exact_ns: bool = False, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """Files of Arrow streams or frames as rows; the options are those of decode_arrow.
+
+    A file's messages are indexed by their headers, and runs of record batches
+    are read as tasks of their own, so a file may be of any size; a single
+    batch is held in memory. Where Arrow has no access to a file's scheme,
+    files are read whole, of up to 2 GB each.
+    """
     data_format(wire)
-    resolve(file, base)
-    return decode_arrow(read_whole_files(spark, file, base), schema, wire=wire, **options)
+    _check(wire, segments, on_error)
+    path = resolve(file, base)
+    listed = listed_files(spark, path)
+    total, files, some = listed.agg(F.sum("file_size"), F.count("*"), F.min("file_path")).first()
+    if not files:
+        raise FileNotFoundError(f"no file matches {path}")
+    try:
+        _opened(some)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, ValueError, OSError):
+        return decode_arrow(read_whole_files(spark, file, base), schema, wire=wire, segments=segments, on_error=on_error, tag=tag, exact_ns=exact_ns)
+    # Files are dealt out to be indexed, and their runs to be read.
+    ranges = _ranges(listed.repartition(min(files, 1000), "file_path"), wire, segments, on_error, range_bytes)
+    if schema is None:
+        first = ranges.first()
+        if first is None:
+            # Streams without a row have a schema still.
+            return decode_arrow(read_whole_files(spark, file, base), schema, wire=wire, segments=segments, on_error=on_error, tag=tag, exact_ns=exact_ns)
+        schema = _schema_of(first, exact_ns)
+    names = schema.fieldNames()
+    out = T.StructType([*([T.StructField(tag, T.StringType())] if tag else []), *schema.fields])
+
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                for got in stream_batches(_bytes_of(row), "first", on_error):
+                    yield _typed(got, names, exact_ns, tag, row["tag"])
+
+    return ranges.repartition(files + (total or 0) // range_bytes, "file_path", "begin").mapInArrow(run, out)
+
+
+def _bytes_of(row: dict) -> bytes:
+    """The stream of one run: its schema and dictionaries, its batches, and an end."""
+    system, name = _opened(row["file_path"])
+    with system.open_input_file(name) as file:
+        return b"".join([*(file.read_at(n, at) for at, n in row["head"]), file.read_at(row["end"] - row["begin"], row["begin"]), _END])
+
+
+def _schema_of(row, exact_ns: bool) -> T.StructType:
+    system, name = _opened(row["file_path"])
+    with system.open_input_file(name) as file:
+        at, n = row["head"][0]
+        found = pa.ipc.open_stream(pa.BufferReader(file.read_at(n, at) + _END)).schema
+    return from_arrow_schema(spark_arrow_schema(found, exact_ns), prefer_timestamp_ntz=True)
