@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparklog.operators import slices
+
 MODES = ("auto", "line", "len", "auto_live", "line_live", "len_live")
 MOST_BYTES = 10_000_000
 _PREFIX = re.compile(rb"([0-9]{1,10}) ")
@@ -193,21 +195,34 @@ def reframe(df: DataFrame, conn: str = "conn", seq: str = "seq", payload: str =
     return rows.mapInArrow(run, f"conn {kind}, msg_no long, payload binary")
 
 
+#: Rows of a key from which on it may be packed in slices.
+SLICE_ROWS = 1_000_000
 PACK_RULES = {"before": "close a batch before the event that would exceed it", "after": "close it after the event that reaches the budget"}
 
 
-def pack_batches(df: DataFrame, key: str, order: str, payload: str = "payload", max_rows: int = 128, max_bytes: int = 64 * 1024, rule: str = "before") -> DataFrame:
+def pack_batches(df: DataFrame, key: str, order: str, payload: str = "payload", max_rows: int = 128, max_bytes: int = 64 * 1024, rule: str = "before", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """df with batch_no, greedy batches of at most max_rows and about max_bytes within each key, by order.
 
     ``before`` closes a batch before the event that would exceed it; an event
     over the budget has a batch to itself. ``after`` closes it once the budget
-    is reached. Greedy packing is sequential, so keys are the parallelism;
-    partitions of whole keys are walked through batch by batch, and what is
-    kept is one count and one sum.
+    is reached. Partitions of whole keys are walked through batch by batch,
+    and what is kept is one count and one sum. A key with over slice_rows rows
+    that holds more than a task's share of all rows is packed in slices, see
+    ``slices``; order must then be a number or a time.
     """
     if rule not in PACK_RULES:
         raise ValueError(f"unknown rule {rule!r}; one of {sorted(PACK_RULES)}")
-    rows = df.withColumn("_size", F.octet_length(payload)).repartition(key).sortWithinPartitions(key, order)
+    rows = df.withColumn("_size", F.octet_length(payload))
+    if large := slices.large_keys(rows, key, order, slice_rows):
+        names = [k for k, _ in large if k is not None]
+        mine = F.coalesce(F.col(key).isin(names), F.lit(None in [k for k, _ in large]))
+        packed = slices.pack_large(rows.where(mine), key, order, "_size", large, max_rows, max_bytes, rule)
+        return _packed(rows.where(~mine), df, key, order, max_rows, max_bytes, rule).unionByName(packed.select(*df.columns, "batch_no"))
+    return _packed(rows, df, key, order, max_rows, max_bytes, rule)
+
+
+def _packed(rows: DataFrame, df: DataFrame, key: str, order: str, max_rows: int, max_bytes: int, rule: str) -> DataFrame:
+    rows = rows.repartition(key).sortWithinPartitions(key, order)
     key_at, size_at = rows.columns.index(key), rows.columns.index("_size")
 
     def run(batches: Iterator[pa.RecordBatch]):

@@ -17,6 +17,7 @@ from sparklog.operators import events as ev
 from sparklog.operators import framing, ndjson, records
 from sparklog.sinks import files as sink_files
 from sparklog.sinks import net, text
+from sparklog.sinks import published as sink_published
 from sparklog.sources import arrow, files
 from sparklog.streaming.reframe import reframe_stream
 
@@ -358,6 +359,13 @@ def pack_batches_before(spark, sf_dir):
     return framing.pack_batches(ranged(spark, sf_dir, "text"), "key", "doc_id", payload="text", max_bytes=8192).drop("text")
 
 
+@query(greedy_sql("coalesce(strlen(text), 0)", "n >= 128 OR total + r.size > 8192").replace("doc_id // 64", "doc_id * 0") + " SELECT key, doc_id, batch_no FROM g")
+def pack_one_key(spark, sf_dir):
+    """All rows under one key, which is packed in slices."""
+    one = table(spark, sf_dir, "documents").select((F.col("doc_id") * 0).alias("key"), "doc_id", "text")
+    return framing.pack_batches(one, "key", "doc_id", payload="text", max_bytes=8192, slice_rows=100).drop("text")
+
+
 @query("WITH b AS (SELECT doc_id // 64 AS key, doc_id, (row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) - 1) // 8 AS batch_no, coalesce(text, '') AS p FROM documents) SELECT key, batch_no, string_agg(CASE WHEN right(p, 1) = chr(10) THEN p ELSE p || chr(10) END, '' ORDER BY doc_id) AS payload FROM b GROUP BY key, batch_no")
 def merge_batches(spark, sf_dir):
     d = ranged(spark, sf_dir, F.coalesce("text", F.lit("")).alias("payload"))
@@ -572,9 +580,51 @@ def named_files_append(spark, sf_dir):
     return files.read_lines(spark, "part*.csv", d, ordered=False).select(F.col("payload").cast("string").alias("value"))
 
 
+@query("SELECT p_partkey || ',' || p_name || ',' || p_size AS value FROM part")
+def published_lines(spark, sf_dir):
+    """Files that a manifest names, from two jobs."""
+    d = work_dir(spark)
+    sink_published.register(spark)
+    for rest in (0, 1):
+        lines = text.format_lines(part(spark, sf_dir).where(F.col("p_partkey") % 2 == rest), "csv")
+        lines.write.format("published_lines").options(base=d, file="part.csv").mode("append").save()
+    return sink_published.read_published_lines(spark, d, "part.csv").select(F.col("payload").cast("string").alias("value"))
+
+
+@query("SELECT count(*) AS lines, CAST(sum(strlen(p_partkey || ',' || p_name || ',' || p_size) + 1) AS BIGINT) AS bytes FROM part")
+def published_counts(spark, sf_dir):
+    """What was written, by the manifests."""
+    d = work_dir(spark)
+    sink_published.register(spark)
+    text.format_lines(part(spark, sf_dir), "csv").write.format("published_lines").options(base=d, file="part.csv").mode("append").save()
+    return sink_published.published(spark, d, "part.csv").agg(F.sum("rows").alias("lines"), F.sum("bytes").alias("bytes"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def published_arrow(spark, sf_dir):
+    d = work_dir(spark)
+    sink_published.register(spark)
+    o = table(spark, sf_dir, "orders")
+    o.write.format("published_arrow").options(base=d, file="orders.arrow", data_format="arrow_framed", tag="orders").mode("append").save()
+    return sink_published.read_published_arrow(spark, d, "orders.arrow", o.schema, "arrow_framed")
+
+
 # --- streams ----------------------------------------------------------------
 
 
+@query("SELECT event_type || ' ' || event_id AS value FROM events")
+def stream_published(spark, sf_dir):
+    """A stream into files; each micro-batch is published once."""
+    d = work_dir(spark)
+    sink_published.register(spark)
+    rows = table(spark, sf_dir, "events").select(F.concat("event_type", F.lit(" "), F.col("event_id").cast("string")).alias("value"))
+    rows.write.parquet(f"{d}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{d}/in")
+    q = stream.writeStream.format("published_lines").options(base=f"{d}/out", file="events.txt", checkpointLocation=f"{d}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return sink_published.read_published_lines(spark, f"{d}/out", "events.txt").select(F.col("payload").cast("string").alias("value"))
+
+
 def drained(stream: DataFrame, d: str) -> DataFrame:
     q = stream.writeStream.format("parquet").option("path", f"{d}/out").option("checkpointLocation", f"{d}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()

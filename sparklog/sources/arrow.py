@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sparklog.sources.files import data_format, listed_files, read_whole_files, resolve
+from sparklog.sources.files import data_format, listed_files, resolve, whole_files
 
 WIRE = ("arrow_ipc", "arrow_framed")
 
@@ -258,9 +258,9 @@ def _ranges(listed: DataFrame, wire: str, segments: str, on_error: str, range_by
 
 
 def read_arrow(
-    spark: SparkSession, file: str, base: str | None = None, wire: str = "arrow_ipc", schema: T.StructType | None = None, segments: str = "all", on_error: str = "fail", tag: str | None = None, exact_ns: bool = False, range_bytes: int = RANGE_BYTES
+    spark: SparkSession, file: str | list[str], base: str | None = None, wire: str = "arrow_ipc", schema: T.StructType | None = None, segments: str = "all", on_error: str = "fail", tag: str | None = None, exact_ns: bool = False, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
-    """Files of Arrow streams or frames as rows; the options are those of decode_arrow.
+    """Files of Arrow streams or frames as rows, by a pattern or a list of paths; the options are those of decode_arrow.
 
     A file's messages are indexed by their headers, and runs of record batches
     are read as tasks of their own, so a file may be of any size; a single
@@ -269,7 +269,7 @@ def read_arrow(
     """
     data_format(wire)
     _check(wire, segments, on_error)
-    path = resolve(file, base)
+    path = file if isinstance(file, list) else resolve(file, base)
     listed = listed_files(spark, path)
     total, files, some = listed.agg(F.sum("file_size"), F.count("*"), F.min("file_path")).first()
     if not files:
@@ -277,14 +277,14 @@ def read_arrow(
     try:
         _opened(some)
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError, ValueError, OSError):
-        return decode_arrow(read_whole_files(spark, file, base), schema, wire=wire, segments=segments, on_error=on_error, tag=tag, exact_ns=exact_ns)
+        return decode_arrow(whole_files(spark, path), schema, wire=wire, segments=segments, on_error=on_error, tag=tag, exact_ns=exact_ns)
     # Files are dealt out to be indexed, and their runs to be read.
     ranges = _ranges(listed.repartition(min(files, 1000), "file_path"), wire, segments, on_error, range_bytes)
     if schema is None:
         first = ranges.first()
         if first is None:
             # Streams without a row have a schema still.
-            return decode_arrow(read_whole_files(spark, file, base), schema, wire=wire, segments=segments, on_error=on_error, tag=tag, exact_ns=exact_ns)
+            return decode_arrow(whole_files(spark, path), schema, wire=wire, segments=segments, on_error=on_error, tag=tag, exact_ns=exact_ns)
         schema = _schema_of(first, exact_ns)
     names = schema.fieldNames()
     out = T.StructType([*([T.StructField(tag, T.StringType())] if tag else []), *schema.fields])

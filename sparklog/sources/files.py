@@ -48,7 +48,7 @@ def _few(side: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(side) if rows <= BROADCAST_ROWS else side
 
 
-def listed_files(spark: SparkSession, path: str) -> DataFrame:
+def listed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file_path, file_size and file_seq, the file's place by name and then path: a row for each file that matches, from the listing alone."""
     files = spark.read.format("binaryFile").load(path).select(_path(), F.col("_metadata.file_size").alias("file_size"))
     name = F.element_at(F.split("file_path", "/"), -1)
@@ -60,7 +60,7 @@ def _without_end(line: Column) -> Column:
     return F.when(F.substring(line, -1, 1) == F.lit(b"\r"), F.encode(F.rtrim(F.decode(line, "ISO-8859-1"), F.lit("\r")), "ISO-8859-1")).otherwise(line)
 
 
-def _scan(spark: SparkSession, path: str) -> DataFrame:
+def _scan(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A row for each line: file_path, file_size, block, line_id, length (in bytes, with its newline), payload."""
     text = spark.read.option("lineSep", "\n").text(path)
     if not text.inputFiles():
@@ -138,6 +138,11 @@ def read_lines(spark: SparkSession, file: str, base: str | None = None, ordered:
     return rows.select("file_path", *(["file_seq"] if ordered else []), "block", "line_id", *(["offset"] if offsets else []), "payload")
 
 
+def lines_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of the files at paths: file_path, payload."""
+    return _scan(spark, paths).select("file_path", "payload")
+
+
 def read_text_events(
     spark: SparkSession, file: str, base: str | None = None, encode: str = "text", name: str = "file", tags: list[str] | None = None, instances: int = 1, on_error: str = "fail"
 ) -> DataFrame:
@@ -160,7 +165,10 @@ def read_text_events(
 
 def read_whole_files(spark: SparkSession, file: str, base: str | None = None, name: str = "file") -> DataFrame:
     """A row for each file that is not empty: file_path, file_seq, src_key, payload. Files are never split; one is at most 2 GB."""
-    path = resolve(file, base)
+    return whole_files(spark, resolve(file, base), name)
+
+
+def whole_files(spark: SparkSession, path: str | list[str], name: str = "file") -> DataFrame:
     listed = listed_files(spark, path).where("file_size > 0").withColumn("n", F.count("*").over(W.partitionBy()))
     listed = listed.select("file_path", "file_seq", shard_key(name, F.col("file_seq"), F.col("n")).alias("src_key"))
     files = spark.read.format("binaryFile").load(path).where("length > 0").select(_path(), F.col("content").alias("payload"))
