@@ -8,6 +8,7 @@ not whole yet: strict waits for the rest, live cuts at a newline.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterator
 
@@ -16,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparklog.operators import slices
+from sparklog.operators import long_streams, slices
 
 MODES = ("auto", "line", "len", "auto_live", "line_live", "len_live")
 MOST_BYTES = 10_000_000
+#: Rows of a key from which on it may be packed in slices.
+SLICE_ROWS = 1_000_000
 _PREFIX = re.compile(rb"([0-9]{1,10}) ")
 
 
@@ -160,16 +163,28 @@ def frames(df: DataFrame, payload: str = "payload", mode: str = "auto", on_overf
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("msg_no", T.LongType()), T.StructField(payload, T.BinaryType())]))
 
 
-def reframe(df: DataFrame, conn: str = "conn", seq: str = "seq", payload: str = "bytes", mode: str = "auto", on_overflow: str = "fail", tail: bool = False) -> DataFrame:
+def reframe(df: DataFrame, conn: str = "conn", seq: str = "seq", payload: str = "bytes", mode: str = "auto", on_overflow: str = "fail", tail: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Chunks of connections, ordered by seq -> conn, msg_no, payload; what is unfinished at a connection's end is dropped, or with ``tail`` a row with msg_no null.
 
     Partitions hold whole connections, sorted by seq, and are walked through
     batch by batch: what is kept is the unfinished frame, however long a
-    connection is. An empty frame stays a message where the mode keeps it.
+    connection is. An empty frame stays a message where the mode keeps it. A
+    connection of over slice_rows chunks, which are more than a task's share of
+    all, is framed in slices (see ``long_streams``), unless seq is no number
+    or time, the mode is ``auto_live``, whose frames depend on the chunks, or
+    what overflows is to be dropped.
     """
     check_mode(mode)
     kind = dict(df.dtypes)[conn]
     rows = df.select(F.col(conn).alias("conn"), F.col(seq).alias("seq"), F.col(payload).cast("binary").alias("bytes"))
+    if mode != "auto_live" and on_overflow == "fail" and not kind.startswith(("struct", "array", "map")) and (large := slices.large_keys(rows, "conn", "seq", slice_rows)):
+        mine = F.coalesce(F.col("conn").isin([k for k, _ in large if k is not None]), F.lit(None in [k for k, _ in large]))
+        long_ = long_streams.reframe_long(rows.where(mine), large, mode, MOST_BYTES, functools.partial(split_frames, mode=mode), tail)
+        return _reframed(rows.where(~mine), kind, mode, on_overflow, tail).unionByName(long_)
+    return _reframed(rows, kind, mode, on_overflow, tail)
+
+
+def _reframed(rows: DataFrame, kind: str, mode: str, on_overflow: str, tail: bool) -> DataFrame:
     rows = rows.repartition("conn").sortWithinPartitions("conn", "seq")
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -195,8 +210,6 @@ def reframe(df: DataFrame, conn: str = "conn", seq: str = "seq", payload: str =
     return rows.mapInArrow(run, f"conn {kind}, msg_no long, payload binary")
 
 
-#: Rows of a key from which on it may be packed in slices.
-SLICE_ROWS = 1_000_000
 PACK_RULES = {"before": "close a batch before the event that would exceed it", "after": "close it after the event that reaches the budget"}
 
 
