@@ -13,14 +13,6 @@ def payload_to_text(payload: Column) -> Column:
     return F.make_valid_utf8(payload.cast("string"))
 
 
-def payload_to_bytes(payload: Column) -> Column:
-    return payload.cast("binary")
-
-
-def strip_line_end(line: Column) -> Column:
-    return F.regexp_replace(line, r"[\r\n]+$", "")
-
-
 def _checked(value: Column, ok: Column, what: str, on_error: str, raw: Column) -> Column:
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
@@ -67,13 +59,6 @@ def parse_tags(items: Column) -> Column:
     return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]))
 
 
-def with_tags(old: Column, **new: Column | str) -> Column:
-    """old with further tags, which replace those of the same key."""
-    added = F.create_map(*(x for k, v in new.items() for x in (F.lit(k), v if isinstance(v, Column) else F.lit(v))))
-    kept = F.map_filter(F.coalesce(old, F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin(*new))
-    return F.map_concat(kept, added)
-
-
 def frame_line(payload: Column) -> Column:
     """The payload with a newline at its end."""
     return F.when(F.endswith(payload, F.lit("\n")), payload).otherwise(F.concat(payload, F.lit("\n")))

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -329,6 +329,13 @@ def reframe_chunks(spark, sf_dir):
     return framing.reframe(chunks(spark, sf_dir)).withColumn("payload", F.col("payload").cast("string"))
 
 
+@query("WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL), u AS (SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) || '|x' AS payload FROM s) SELECT CAST(0 AS BIGINT) AS conn, row_number() OVER (ORDER BY doc_id, i) - 1 AS msg_no, payload FROM u")
+def reframe_one(spark, sf_dir):
+    """All documents as one connection, framed in slices."""
+    one = chunks(spark, sf_dir, 4000).select((F.col("conn") * 0).alias("conn"), (F.col("conn") * 1_000_000 + F.col("seq")).alias("seq"), "bytes")
+    return framing.reframe(one, slice_rows=40).withColumn("payload", F.col("payload").cast("string"))
+
+
 def greedy_sql(size: str, full: str, where: str = "") -> str:
     """Batches document by document within ranges of 64 ids; full says when the one at hand is closed before a row r."""
     return f"""WITH RECURSIVE r AS (SELECT doc_id // 64 AS key, doc_id, text, row_number() OVER (PARTITION BY doc_id // 64 ORDER BY doc_id) AS i, {size} AS size FROM documents {where}),
@@ -377,6 +384,14 @@ def payload_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", payload.payload_to_text(F.col("text").cast("binary")).alias("text"))
 
 
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN coalesce(text, '') || chr(65533) || 'z' ELSE text END AS text FROM documents")
+def payload_repair(spark, sf_dir):
+    """A byte that is no UTF-8 becomes U+FFFD."""
+    broken = F.concat(F.coalesce("text", F.lit("")).cast("binary"), F.lit(b"\xffz"))
+    data = F.when(F.col("doc_id") % 2 == 0, broken).otherwise(F.col("text").cast("binary"))
+    return table(spark, sf_dir, "documents").select("doc_id", payload.payload_to_text(data).alias("text"))
+
+
 # --- typed columns ----------------------------------------------------------
 
 SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("name", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ok", T.BooleanType()), T.StructField("at", T.TimestampNTZType()), T.StructField("missing", T.StringType())])
@@ -418,6 +433,26 @@ def rescue_split(spark, sf_dir):
     return good.select(F.lit(None).cast("string").alias("error_class")).unionByName(bad.select("error_class")).groupBy("error_class").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT 'error_class: "decode", raw: "' || event_type || ' ' || event_id || '"' AS value FROM events WHERE event_id % 3 = 0""")
+def rescue_written(spark, sf_dir):
+    """Rejected lines, written as kv lines and read again; the good ones are dropped."""
+    d = work_dir(spark)
+    n = F.col("event_id")
+    line = F.when(n % 3 == 0, F.concat("event_type", F.lit(" "), n.cast("string"))).otherwise(F.concat(F.lit('{"k":'), n.cast("string"), F.lit("}")))
+    good, bad = ndjson.split_good_bad(ndjson.ndjson_to_table(table(spark, sf_dir, "events").select(line.alias("value")), SCHEMA, on_error="rescue"))
+    text.write_rejected(bad, d)
+    text.drop_all(good)
+    return files.read_lines(spark, "*.txt", d, ordered=False).select(F.col("payload").cast("string").alias("value"))
+
+
+@query("SELECT count(*) AS sent, CAST(sum(strlen(event_type || ' ' || event_id)) AS BIGINT) AS bytes FROM events")
+def egress_counts(spark, sf_dir):
+    """What an observation counts while rows pass on their way out."""
+    seen = Observation("egress")
+    text.drop_all(text.counted(table(spark, sf_dir, "events").select(F.concat("event_type", F.lit(" "), F.col("event_id").cast("string")).alias("payload")), name=seen))
+    return spark.createDataFrame([(seen.get["sent"], seen.get["bytes"])], "sent long, bytes long")
+
+
 def guarded(spark, sf_dir, column):
     return table(spark, sf_dir, "orders").select("o_orderkey", column.alias("v"))
 

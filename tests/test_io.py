@@ -227,6 +227,38 @@ def test_retry_and_failure(spark):
         net.Connection("127.0.0.1", port, attempts=2, first_wait=0.05).send(b"x")
 
 
+def test_connects_anew(monkeypatch):
+    """A server that is away three times: waits double up to a bound, and nothing is lost."""
+    with Server() as s:
+        waits, connect, away = [], socket.create_connection, [3]
+
+        def flaky(to, timeout):
+            if away[0]:
+                away[0] -= 1
+                raise ConnectionRefusedError
+            return connect(to, timeout)
+
+        monkeypatch.setattr(net.time, "sleep", waits.append)
+        monkeypatch.setattr(net.socket, "create_connection", flaky)
+        c = net.Connection("127.0.0.1", s.port)
+        c.send(b"one ")
+        assert waits == [1.0, 2.0, 4.0]
+        # The connection breaks: the next send connects anew.
+        c.socket.shutdown(socket.SHUT_RDWR)
+        c.send(b"two")
+        c.close()
+        long = net.Connection("127.0.0.1", s.port, attempts=8)
+        away[0], waits[:] = 7, []
+        long.send(b"!")
+        assert waits == [1.0, 2.0, 4.0, 8.0, 16.0, 30.0, 30.0]
+        long.close()
+        for _ in range(100):
+            if sorted(s.data) == [b"!", b"one ", b"two"]:
+                break
+            threading.Event().wait(0.1)
+    assert sorted(s.data) == [b"!", b"one ", b"two"]
+
+
 def test_syslog_out(spark):
     df = spark.createDataFrame([("one",), ("two",), ("three",)], "m string").withColumn("ts", F.lit("2024-01-02 03:04:05").cast("timestamp")).coalesce(1)
     with Server() as s:
