@@ -15,8 +15,18 @@ CELLS = 1 << 16
 SMOOTHING = 0.5
 #: Penalty for a further language, in units of log(words).
 PENALTY = 2.0
-#: The model has CELLS cells of 4 bytes for each language, on the driver and in each task. It is of the languages with the most labelled texts (of those with as many, the first in the alphabet), so that values of lang that are no languages cannot swell it.
-MOST_LANGUAGES = 200
+#: Cells of the whole model, of 4 bytes each on the driver and in each task. With more than 200 languages each has fewer cells, so all are learnt and the model's size is bounded.
+MODEL_CELLS = 200 * CELLS
+#: Fewest cells of a language. Only of more values of lang than MODEL_CELLS / LEAST_CELLS, some 200,000, are the rarest no languages.
+LEAST_CELLS = 64
+
+
+def cells_for(languages: int) -> int:
+    """Cells of each language: the largest power of two, up to CELLS, with which the model keeps to MODEL_CELLS."""
+    cells = CELLS
+    while cells > LEAST_CELLS and cells * languages > MODEL_CELLS:
+        cells //= 2
+    return cells
 
 
 @lru_cache(1)
@@ -24,7 +34,7 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def trigram_cells(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def trigram_cells(text: str | None, n_cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
     """Cells of the trigrams that end on each letter (a word is preceded by two blanks), and where each word starts among them."""
     c = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[c]
@@ -36,32 +46,35 @@ def trigram_cells(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     h = ((two * np.uint64(0x9E3779B97F4A7C15) + one) * np.uint64(0xC2B2AE3D27D4EB4F) + c) * np.uint64(0x165667B19E3779F9)
     starts = letter & (one == 32)
     at = np.cumsum(letter) - 1
-    return (h[letter] >> np.uint64(48)).astype(np.int64) % CELLS, at[starts]
+    return (h[letter] >> np.uint64(48)).astype(np.int64) % n_cells, at[starts]
 
 
 def train(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """rows(lang, text) -> languages, and log-probabilities by cell and language. See MOST_LANGUAGES."""
-    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(often) > MOST_LANGUAGES:
-        rows = rows.where(F.col("lang").isin([r["lang"] for r in often[:MOST_LANGUAGES]]))
+    """rows(lang, text) -> languages, and log-probabilities by cell and language. See MODEL_CELLS."""
+    values = rows.groupBy("lang").count()
+    languages, most = values.count(), MODEL_CELLS // LEAST_CELLS
+    if languages > most:
+        kept = values.orderBy(F.desc("count"), "lang").limit(most).select("lang")
+        rows = rows.join(F.broadcast(kept), "lang", "left_semi")
+    n_cells = cells_for(languages)
 
     def count(batches):
         of: dict[str, np.ndarray] = {}
         for b in batches:
             for lang, t in zip(b.column(0).to_pylist(), b.column(1)):
-                cells, _ = trigram_cells(t.as_py())
+                cells, _ = trigram_cells(t.as_py(), n_cells)
                 if len(cells):
-                    of.setdefault(lang, np.zeros(CELLS, np.int64))
-                    np.add.at(of[lang], cells, 1) if len(cells) < 64 else np.add(of[lang], np.bincount(cells, minlength=CELLS), out=of[lang])
+                    of.setdefault(lang, np.zeros(n_cells, np.int64))
+                    np.add.at(of[lang], cells, 1) if len(cells) < 64 else np.add(of[lang], np.bincount(cells, minlength=n_cells), out=of[lang])
         for lang, n in of.items():
             at = np.nonzero(n)[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "cell", "n"])
 
     counts = rows.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     langs = sorted(counts["lang"].unique())
-    n = np.zeros((CELLS, len(langs)))
+    n = np.zeros((n_cells, len(langs)))
     n[counts["cell"], counts["lang"].map({x: i for i, x in enumerate(langs)})] = counts["n"]
-    return langs, np.log((n + SMOOTHING) / (n.sum(0) + SMOOTHING * CELLS)).astype(np.float32)
+    return langs, np.log((n + SMOOTHING) / (n.sum(0) + SMOOTHING * n_cells)).astype(np.float32)
 
 
 def _em(likelihood: np.ndarray, share: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -79,7 +92,7 @@ def _em(likelihood: np.ndarray, share: np.ndarray, rounds: int = 30) -> tuple[np
 
 def infer(text: str | None, model: np.ndarray) -> dict[int, float]:
     """Language -> proportion, for the languages that a penalised likelihood selects; empty for a text without letters."""
-    cells, starts = trigram_cells(text)
+    cells, starts = trigram_cells(text, len(model))
     if not len(cells):
         return {}
     logs = np.add.reduceat(model[cells], starts, axis=0, dtype=np.float64)

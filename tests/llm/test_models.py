@@ -273,11 +273,23 @@ def test_language_against_brute_force(spark):
     assert same >= 0.97 * len(texts) and mixtures > 20
 
 
-def test_language_model_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
-    rows = [(i, f"wort{i} text haus", f"junk{i}") for i in range(60)] + [(100 + i, "haus und hof", "de") for i in range(9)] + [(200 + i, "house and home", "en") for i in range(9)]
-    got = langid.predict_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert {r.lang_pred for r in got.where("doc_id >= 100").collect()} == {"de", "en"} and got.select("lang_pred").distinct().count() <= 3
+def test_all_languages_are_learnt(spark):
+    """300 languages, each of letters of its own order: with fewer cells for each, all are told apart, and the model keeps to its size."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    tongues = {f"l{k:03d}": ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(40)] for k in range(300)}
+    said = lambda words: " ".join(rng.choice(words) for _ in range(60))
+    rows = [(3 * i + j, said(words), name) for i, (name, words) in enumerate(tongues.items()) for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = langid.train(df.select("lang", "text"))
+    assert len(langs) == 300 and model.shape == (langid.cells_for(300), 300) and model.size <= langid.MODEL_CELLS
+    fresh = [(-k - 1, said(words), None) for k, words in enumerate(tongues.values())]
+    got = {r.doc_id: r.lang_pred for r in langid.predict_language(df.unionByName(spark.createDataFrame(fresh, df.schema))).where("doc_id < 0").collect()}
+    names = list(tongues)
+    taught = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1}
+    want = {-k - 1: n for k, n in enumerate(names) if n in taught}
+    assert len(want) > 250 and all(got[i] == n for i, n in want.items())
+    assert langid.cells_for(200) == langid.CELLS and langid.cells_for(10**9) == langid.LEAST_CELLS
 
 
 def test_language_edges(docs, none):
