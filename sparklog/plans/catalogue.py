@@ -19,6 +19,7 @@ from sparklog.sinks import files as sink_files
 from sparklog.sinks import net, text
 from sparklog.sinks import published as sink_published
 from sparklog.sources import arrow, files
+from sparklog.streaming.records import write_records
 from sparklog.streaming.reframe import reframe_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -683,6 +684,18 @@ def stream_header_mode(spark, sf_dir):
     return drained(syslog.apply_header_mode(spark.readStream.schema(rows.schema).parquet(f"{d}/in"), "skip"), d)
 
 
+@query("SELECT c_custkey, c_custkey AS key, c_name AS name, c_acctbal AS bal FROM customer")
+def stream_records(spark, sf_dir):
+    """Records of a stream, under the schema that its first one froze."""
+    d = work_dir(spark)
+    fields = [("key", "digit", F.col("c_custkey")), ("name", "chars", F.col("c_name")), ("bal", "float", F.col("c_acctbal")), ("none", "ignore", F.lit("x"))]
+    rows = table(spark, sf_dir, "customer").select("c_custkey", records.record(fields).alias("rec"))
+    rows.write.parquet(f"{d}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{d}/in")
+    write_records(stream, f"{d}/schema", "c_custkey", lambda df, n: df.write.mode("overwrite").parquet(f"{d}/out/batch={n}"), f"{d}/state", keep=("c_custkey",)).awaitTermination()
+    return spark.read.parquet(f"{d}/out").drop("batch")
+
+
 @query("WITH s AS (SELECT doc_id AS conn, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL), u AS (SELECT conn, unnest(l) || '|x' AS payload FROM s) SELECT payload, '10.1.1.1' AS access_ip, 'Tcp' AS protocol, count(*) AS n FROM u GROUP BY payload")
 def tcp_syslog(spark, sf_dir):
     out = ev.tcp_syslog(chunks(spark, sf_dir, 4000).withColumn("ip", F.lit("10.1.1.1")), "tag")
