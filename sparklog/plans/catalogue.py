@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -816,6 +817,22 @@ def tcp_capture(spark, sf_dir):
     return out.select(F.col("payload").cast("string").alias("payload"), "ups_ip", "src_key", F.col("tags")["instance"].alias("instance"), F.col("tags")["a"].alias("a"))
 
 
+SOME_STREAM = arrow.encode_stream([pa.record_batch([pa.array([1, 2])], names=["n"])])
+
+
+@query(f"""SELECT doc_id, CASE WHEN text IS NULL THEN 'connect' WHEN doc_id % 3 = 1 THEN 'decode' ELSE 'end' END AS error_class,
+    CASE WHEN text IS NULL THEN NULL ELSE CAST({len(SOME_STREAM)} AS BIGINT) END AS position, CASE WHEN doc_id % 3 = 1 THEN text WHEN text IS NOT NULL THEN 'cut ' || (doc_id % 10) END AS raw FROM documents WHERE text IS NULL OR (doc_id % 3 > 0 AND text <> '')""")
+def arrow_failures(spark, sf_dir):
+    """Streams with text or with half a message behind them: what is wrong, where, and what stands there."""
+    half = F.concat(F.lit(b"\xff\xff\xff\xff\xff\xff\x00\x00"), F.concat(F.lit("cut "), (F.col("doc_id") % 10).cast("string")).cast("binary"))
+    n = F.col("doc_id") % 3
+    behind = F.when((n == 0) | (F.col("text") == ""), F.lit(b"")).when(n == 1, F.col("text").cast("binary")).otherwise(half)
+    data = F.when(F.col("text").isNotNull(), F.concat(F.lit(SOME_STREAM), behind))
+    got = arrow.arrow_failures(table(spark, sf_dir, "documents").select("doc_id", data.alias("payload")))
+    raw = F.when(F.col("error_class") == "end", F.substring("raw", 9, 1 << 30)).otherwise(F.col("raw"))
+    return got.select("doc_id", "error_class", "position", raw.cast("string").alias("raw"))
+
+
 # --- what goes over the network, byte by byte -------------------------------
 
 LINE = "CASE WHEN right(coalesce(text, ''), 1) = chr(10) THEN text ELSE coalesce(text, '') || chr(10) END"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import re
 import struct
 from collections.abc import Iterator
@@ -144,6 +145,45 @@ def decode_arrow(df: DataFrame, schema: T.StructType | None = None, payload: str
     return df.select(F.col(payload).cast("binary").alias("p")).mapInArrow(run, out)
 
 
+def arrow_failures(df: DataFrame, payload: str = "payload", wire: str = "arrow_ipc") -> DataFrame:
+    """The payloads that decode_arrow fails on -> the other columns, error_class, position, raw.
+
+    ``end``: the stream breaks off within a message. ``decode``: what stands
+    there is no message, or one whose columns cannot be read. ``connect``:
+    nothing came, the payload is null. position is the byte of the message at
+    fault, and raw what stands from there on. A frame too short for its header
+    is skipped, as it is when decoded. Rows that are read with keep_prefix
+    stand in the batches before position.
+    """
+    _check(wire, "all", "fail")
+    others = [c for c in df.columns if c != payload]
+    fields = [*(df.schema[c] for c in others), T.StructField("error_class", T.StringType()), T.StructField("position", T.LongType()), T.StructField("raw", T.BinaryType())]
+
+    def failure(data: bytes | None) -> tuple | None:
+        if data is None:
+            return "connect", None, None
+        at = 0
+        try:
+            for _, head, at, end in stream_ranges(io.BytesIO(data), len(data), wire, range_bytes=1):
+                for _ in stream_batches(b"".join([*(data[x : x + n] for x, n in head), data[at:end], _END]), "first"):
+                    pass
+        except StreamError as e:
+            return e.kind, e.at, data[e.at :]
+        except (pa.ArrowInvalid, OSError):
+            return "decode", at, data[at:]
+        return None
+
+    def run(batches):
+        for b in batches:
+            found = [failure(x.as_py()) for x in b.column(b.num_columns - 1)]
+            bad = [i for i, f in enumerate(found) if f]
+            columns = zip(*(found[i] for i in bad)) if bad else [()] * 3
+            kept = [c.take(pa.array(bad, pa.int64())) for c in b.columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary())))], names=[f.name for f in fields])
+
+    return df.select(*others, F.col(payload).cast("binary").alias("p")).mapInArrow(run, T.StructType(fields))
+
+
 def count_skipped_frames(df: DataFrame, payload: str = "payload") -> DataFrame:
     """frames and skipped: how many payloads there are, and how many are too short for a frame's header."""
     n = F.conv(F.hex(F.substring(F.col(payload), 1, 4)), 16, 10).cast("long")
@@ -187,6 +227,14 @@ def _message(meta: bytes) -> tuple[int, int]:
     return field(1, "<B"), field(3, "<q")
 
 
+class StreamError(ValueError):
+    """What is wrong with a stream, and at which of its bytes: ``end`` where it breaks off, else ``decode``."""
+
+    def __init__(self, at: int, kind: str, said: str):
+        super().__init__(f"at byte {at}: {said}")
+        self.at, self.kind = at, kind
+
+
 def stream_ranges(file, size: int, wire: str = "arrow_ipc", segments: str = "all", on_error: str = "fail", range_bytes: int = RANGE_BYTES) -> Iterator[tuple]:
     """(tag, head, begin, end) for each run of about range_bytes of record batches; head is [offset, length] of the schema and the dictionaries that a run needs.
 
@@ -212,15 +260,17 @@ def stream_ranges(file, size: int, wire: str = "arrow_ipc", segments: str = "all
                     at, ended = at + lead, True
                     break
                 if not 0 < length <= size - at - lead:
-                    raise ValueError("a message that is not whole")
+                    raise StreamError(at, "end" if lead == 8 and length > 0 else "decode", "a message that is not whole")
                 file.seek(at + lead)
                 kind, body = _message(file.read(length))
                 total = lead + length + body
-                if kind not in (_SCHEMA, _DICTIONARY, _RECORDS) or (kind == _SCHEMA) != (not head) or body < 0 or at + total > size:
-                    raise ValueError("no whole message where one is due")
+                if kind not in (_SCHEMA, _DICTIONARY, _RECORDS) or (kind == _SCHEMA) != (not head) or body < 0:
+                    raise StreamError(at, "decode", "no message where one is due")
+                if at + total > size:
+                    raise StreamError(at, "end", "a message whose body is not whole")
             except (ValueError, struct.error) as e:
                 if on_error == "fail":
-                    raise ValueError(f"at byte {at}: {e}") from e
+                    raise e if isinstance(e, StreamError) else StreamError(at, "decode", str(e)) from e
                 if begin is not None:
                     yield tag, needs, begin, end
                 return

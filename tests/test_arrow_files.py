@@ -93,3 +93,15 @@ def test_bodies_are_not_read():
 
     assert len(list(arrow.stream_ranges(Counted(data), len(data), range_bytes=1))) == 5
     assert Counted.taken < len(data) / 100
+
+
+def test_failures_as_rows(spark, rows):
+    """One row for each payload that fails, of each class, and none for those that do not."""
+    good = arrow.encode_stream(made(random.Random(5), 3))
+    *_, (_, _, c, end) = arrow.stream_ranges(io.BytesIO(good), len(good), range_bytes=1)
+    cases = {1: good, 2: good[: c + 9], 3: good[: end - 40], 4: good + b"text", 5: None, 6: b"", 7: good + good, 8: b"none at all"}
+    df = spark.createDataFrame([(k, None if v is None else bytearray(v)) for k, v in cases.items()], "k int, payload binary")
+    got = {r.k: (r.error_class, r.position, r.raw if r.raw is None else bytes(r.raw)) for r in arrow.arrow_failures(df).collect()}
+    assert got == {2: ("end", c, cases[2][c:]), 3: ("end", c, cases[3][c:]), 4: ("decode", len(good), b"text"), 5: ("connect", None, None), 8: ("decode", 0, b"none at all")}
+    kept = arrow.decode_arrow(df.where("k = 3"), on_error="keep_prefix", schema=None)
+    assert kept.count() == 100
