@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from sparklog.llm.common import cut, few, hot_join, saved
 from sparklog.llm.components import components
+from sparklog.llm.prefix import prefix_pairs
 from sparklog.llm.stars import star_links
 
 WORDS = 3
@@ -251,21 +252,25 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """nodes(nid, least, fp, fp2), texts(nid, id, text) -> (a, b): links between texts at SIMILARITY or more.
 
     Fingerprints that share a key are held against the most central one of
-    their bucket (see star_links); those that differ in BITS bits at most, and
-    the second ones in OTHER_BITS, are candidates.
+    their bucket; those that differ in BITS bits at most, and the second ones
+    in OTHER_BITS, are candidates. Texts of a bucket that this leaves apart are
+    joined by their rarest shingles (see star_links, prefix_pairs).
     """
     # A key comes at most once from a fingerprint, so a bucket of one holds nothing alike.
     keys = nodes.select("fp").distinct().mapInArrow(_keyed, "key long, fp long")
     full = saved(keys.select("key", F.col("fp").alias("node"), F.count("*").over(W.partitionBy("key")).alias("n")).where("n > 1"), "near-buckets")
     stand = saved(nodes.groupBy("fp").agg(F.min(F.struct("nid", "fp2")).alias("s"), F.count("*").alias("n")).select("fp", "s.*", "n"), "near-stand")
 
+    def fetched(nids: DataFrame) -> DataFrame:
+        """nids(nid) with their texts, nid and text; rows that repeat may give a text more than once."""
+        wanted = saved(nodes.select("nid", "least").join(few(nids), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
+        return texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Exact similarity of the shingle sets; only the texts of a pair are fetched, once each."""
         pairs = saved(pairs, "near-candidates")
         wanted = pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid"))).distinct()
-        wanted = saved(nodes.select("nid", "least").join(few(saved(wanted, "near-nids")), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
-        found = texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
-        sets = saved(found.mapInArrow(_sets, "nid long, grams array<long>").dropDuplicates(["nid"]), "near-sets")
+        sets = saved(fetched(saved(wanted, "near-nids")).mapInArrow(_sets, "nid long, grams array<long>").dropDuplicates(["nid"]), "near-sets")
         often = saved(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-often")
         of_b = sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")).join(few(pairs), "b")
         of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(few(often), "a"), "near-heads")
@@ -285,14 +290,26 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         found = verified(near.select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b")))
         return near.join(few(saved(found.select(F.col("a").alias("nid_a"), F.col("b").alias("nid_b")), "near-found")), ["nid_a", "nid_b"], "left_semi").select("a", "b")
 
+    def rest(apart: DataFrame) -> DataFrame:
+        """Links between texts apart(node, root), node being a nid."""
+        of = fetched(apart.select(F.col("node").alias("nid"))).dropDuplicates(["nid"]).withColumnRenamed("nid", "node")
+        return verified(prefix_pairs(saved(of.join(few(apart), "node"), "near-rest"), shingle_set))
+
+    def rest_prints(apart: DataFrame) -> DataFrame:
+        """Links between fingerprints apart(node, root)."""
+        named = saved(stand.select(F.col("fp").alias("node"), "nid").join(few(apart), "node"), "near-apart")
+        found = few(saved(rest(named.select(F.col("nid").alias("node"), "root")).toDF("nid_a", "nid_b"), "near-found"))
+        of_a = saved(named.select(F.col("node").alias("a"), F.col("nid").alias("nid_a")).join(found, "nid_a"), "near-found")
+        return named.select(F.col("node").alias("b"), F.col("nid").alias("nid_b")).join(few(of_a), "nid_b").select("a", "b")
+
     as_a, as_b = stand.select(F.col("fp").alias("x"), F.col("nid").alias("a")), stand.select(F.col("fp").alias("y"), F.col("nid").alias("b"))
-    links = saved(star_links(full, alike_prints).select(F.col("a").alias("x"), F.col("b").alias("y")), "near-links")
+    links = saved(star_links(full, alike_prints, rest_prints).select(F.col("a").alias("x"), F.col("b").alias("y")), "near-links")
     links = as_b.join(few(saved(as_a.join(few(links), "x"), "near-links")), "y").select("a", "b")
     same = stand.where("n > 1").select(F.col("fp").alias("key"), "n")
     if same.isEmpty():
         return links
     texts_of = nodes.select(F.col("fp").alias("key"), F.col("nid").alias("node"))
-    return links.unionByName(star_links(hot_join(texts_of, same.withColumn("size", F.col("n")), "key", "size", "node", "inner", narrow=True), verified))
+    return links.unionByName(star_links(hot_join(texts_of, same.withColumn("size", F.col("n")), "key", "size", "node", "inner", narrow=True), verified, rest))
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
