@@ -20,13 +20,13 @@ def alike(a, b):
     return len(x & y) / len(x | y) >= 0.8
 
 
-def test_prefix_lengths():
+def test_prefix_length():
     """By counting: sets of n <= m at 0.8 or more leave at least one common element among so many first ones."""
     for n in range(1, 60):
         for m in range(n, 76):
             need = next((o for o in range(1, n + 1) if 5 * o >= 4 * (n + m - o)), None)
             if need:
-                assert prefix.prefix_lengths(n)[1] >= n - need + 1 and prefix.prefix_lengths(m)[0] >= m - need + 1
+                assert prefix.prefix_length(n) >= n - need + 1 and prefix.prefix_length(m) >= m - need + 1
 
 
 @pytest.mark.parametrize("seed", range(2))
