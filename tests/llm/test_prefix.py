@@ -113,3 +113,33 @@ def test_documents_of_one_boilerplate(of):
     kept = {r.doc_id for r in simhash.without_near_copies(of(texts)).collect()}
     assert 0.74 < word_jaccard(texts[0], texts[1]) < 0.79 and len(pairs) > 450
     assert sum(500 + i not in kept for i in pairs) >= 0.9 * len(pairs) and set(range(500)) <= kept
+
+
+def test_bitmaps_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(7)
+    for size, changed in ((1, 1), (40, 3), (300, 60), (5000, 900)):
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, size))
+        b = np.unique(np.concatenate([a[changed:], rng.integers(-(2**63), 2**63 - 1, changed)]))
+        differ = int(np.bitwise_count((prefix._bitmap(a) ^ prefix._bitmap(b)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(a, b))
+    assert not prefix._bitmap(np.zeros(0, np.int64)).any()
+
+
+def test_bitmaps_joined_either_way(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    known = [str(i) for i in range(400)]
+    texts = []
+    for _ in range(30):
+        own = list(rng.choice(known, 60, replace=False))
+        texts += [" ".join(own), " ".join([*own[:-4], "900", "901"]), " ".join([*own[:40], *rng.choice(known, 20)])]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "node long, text string")
+    sets = [set(t.split()) for t in texts]
+    asked = [(i, j) for i in range(len(texts)) for j in range(i)]
+    pairs = spark.createDataFrame(asked, "a long, b long")
+
+    got = []
+    for most in (10_000, 0):
+        monkeypatch.setattr(prefix, "BROADCAST_SETS", most)
+        got.append({(r.a, r.b) for r in prefix._few_bits_differ(pairs, rows, words).collect()})
+    alike = {(i, j) for i, j in asked if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert len(alike) >= 30 and alike <= got[0] == got[1] and len(got[0]) < 2 * len(alike)
