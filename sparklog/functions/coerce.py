@@ -11,6 +11,8 @@ NAMED = r"(?i)^[+-]?(?:inf|infinity|nan)$"
 RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:[Zz]|[+-][0-9]{2}:[0-9]{2})$"
 #: Years outside of what a count of nanoseconds in 64 bits can reach.
 FIRST_NS, LAST_NS = "1677-09-21 00:12:44", "2262-04-11 23:47:16"
+#: Milliseconds that a count of microseconds in 64 bits can reach.
+MOST_MS = ((1 << 63) - 1) // 1000
 
 
 def to_long(v: Column) -> Column:
@@ -120,10 +122,13 @@ def out_double(v: Column, meta: Column) -> Column:
 
 
 def out_timestamp(v: Column, meta: Column) -> Column:
-    """Times; whole numbers are milliseconds since the epoch; text is RFC 3339 or ``YYYY-MM-DD HH:MM:SS``."""
+    """Times; whole numbers are milliseconds since the epoch, as many as microseconds in 64 bits reach; text is RFC 3339 or ``YYYY-MM-DD HH:MM:SS``."""
     plain = F.when(v.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?\z"), v.try_cast("timestamp_ntz"))
     ms = to_long(v)
-    whole = F.when(ms.between(-9223372036854, 9223372036854), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=F.floor(ms / 86_400_000).cast("int"), secs=F.pmod(ms, F.lit(86_400_000)).cast("decimal(18,6)") / 1000))
+    within = ms % 86_400_000
+    # A whole number of days is exact as a double; both parts have the sign of ms, so their sum stays in reach.
+    since = F.make_dt_interval(days=((ms - within) / 86_400_000).cast("int"), secs=within.cast("decimal(18,6)") / 1000)
+    whole = F.when(ms.between(-MOST_MS, MOST_MS), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since)
     return F.when(_is(meta, "digit"), whole).when(~_is(meta, "bool", "float", "hex", "obj", "array"), F.coalesce(rfc3339(v), plain))
 
 

@@ -207,3 +207,16 @@ def test_formats(spark):
     assert "\n" not in line["raw"] and line["raw"].startswith('1 a "q", b c')
     with pytest.raises(ValueError):
         text.format_lines(df, "xml")
+
+
+def test_times_of_whole_numbers_reach_as_far_as_microseconds(spark):
+    epoch, day = datetime.datetime(1970, 1, 1), 86_400_000
+    given = [n for k in (0, 106_751, 106_752, 900_000, 2_932_896, -106_753, -719_000) for n in (k * day, k * day - 1, k * day + 5)]
+    out = coerce.out_timestamp(F.col("v"), F.lit("digit"))
+    got = spark.createDataFrame([(str(n),) for n in given], "v string").select("v", out.alias("at")).collect()
+    assert {r.v: r.at for r in got} == {str(n): epoch + datetime.timedelta(milliseconds=n) for n in given}
+    most = 9_223_372_036_854_775
+    ends = [most, most + 1, -most, -most - 1, 106_751_991 * day - 1, 2**63 - 1, -(2**63)]
+    at = F.expr("unix_micros(cast(at as timestamp))").alias("us")
+    got = spark.createDataFrame([(str(n),) for n in ends], "v string").select("v", out.alias("at")).select("v", at).collect()
+    assert {r.v: r.us for r in got} == {str(n): n * 1000 if abs(n) <= most else None for n in ends}
