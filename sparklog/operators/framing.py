@@ -23,6 +23,8 @@ MODES = ("auto", "line", "len", "auto_live", "line_live", "len_live")
 MOST_BYTES = 10_000_000
 #: Rows of a key from which on it may be packed in slices.
 SLICE_ROWS = 1_000_000
+#: Bytes of a slice of such a key.
+PACK_BYTES = 1 << 26
 _PREFIX = re.compile(rb"([0-9]{1,10}) ")
 
 
@@ -177,7 +179,7 @@ def reframe(df: DataFrame, conn: str = "conn", seq: str = "seq", payload: str =
     check_mode(mode)
     kind = dict(df.dtypes)[conn]
     rows = df.select(F.col(conn).alias("conn"), F.col(seq).alias("seq"), F.col(payload).cast("binary").alias("bytes"))
-    if mode != "auto_live" and on_overflow == "fail" and not kind.startswith(("struct", "array", "map")) and (large := slices.large_keys(rows, "conn", "seq", slice_rows)):
+    if mode != "auto_live" and on_overflow == "fail" and not kind.startswith(("struct", "array", "map")) and (large := slices.large_keys(rows, "conn", "seq", F.octet_length("bytes"), slice_rows, long_streams.SLICE_BYTES)):
         mine = F.coalesce(F.col("conn").isin([k for k, _ in large if k is not None]), F.lit(None in [k for k, _ in large]))
         long_ = long_streams.reframe_long(rows.where(mine), large, mode, MOST_BYTES, functools.partial(split_frames, mode=mode), tail)
         return _reframed(rows.where(~mine), kind, mode, on_overflow, tail).unionByName(long_)
@@ -226,7 +228,8 @@ def pack_batches(df: DataFrame, key: str, order: str, payload: str = "payload",
     if rule not in PACK_RULES:
         raise ValueError(f"unknown rule {rule!r}; one of {sorted(PACK_RULES)}")
     rows = df.withColumn("_size", F.octet_length(payload))
-    if large := slices.large_keys(rows, key, order, slice_rows):
+    # Slices are much longer than a batch, so that few batches span one.
+    if large := slices.large_keys(rows, key, order, F.col("_size"), slice_rows, max(PACK_BYTES, 16 * max_bytes), 16 * max_rows):
         names = [k for k, _ in large if k is not None]
         mine = F.coalesce(F.col(key).isin(names), F.lit(None in [k for k, _ in large]))
         packed = slices.pack_large(rows.where(mine), key, order, "_size", large, max_rows, max_bytes, rule)

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -69,23 +69,47 @@ class Slice:
         return out
 
 
-def large_keys(rows: DataFrame, key: str, order: str, slice_rows: int) -> list[tuple] | None:
-    """(key, cuts of its order) of the keys with over slice_rows rows and over their share of all rows for one task; so there are at most as many as tasks. None if order has no quantiles."""
+#: Cuts are looked through in blocks of so many.
+_BLOCK = 64
+
+
+def large_keys(rows: DataFrame, key: str, order: str, size: Column, slice_rows: int, slice_bytes: int, least_rows: int = 1) -> list[tuple] | None:
+    """(key, cuts of its order) of the keys with over slice_rows rows and over their share of all rows for one task; so there are at most as many as tasks. None if order has no quantiles.
+
+    Slices hold about slice_bytes, so they grow in number and not in size, but
+    there are no more of them than lots of least_rows rows, nor fewer than tasks.
+    """
     parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if not isinstance(rows.schema[order].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
         return None
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n"), F.sum(size).alias("_bytes")).persist()
     total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if (most or 0) <= max(slice_rows, (total or 0) // parts):
-        return []
-    large = [r[0] for r in counts.where(F.col("_n") > max(slice_rows, total // parts)).select(key).collect()]
+    share = max(slice_rows, (total or 0) // parts)
+    large = counts.where(F.col("_n") > share).collect() if (most or 0) > share else []
+    counts.unpersist()
     if not large:
         return []
-    mine = rows.where(F.col(key).isin([k for k in large if k is not None]) | (F.col(key).isNull() if None in large else F.lit(False)))
-    found = mine.groupBy(key).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 100 * parts)).collect()
+    names = [r[0] for r in large]
+    n = max(parts, *(min((r[2] or 0) // slice_bytes + 1, r[1] // least_rows) for r in large))
+    mine = rows.where(F.col(key).isin([k for k in names if k is not None]) | (F.col(key).isNull() if None in names else F.lit(False)))
+    found = mine.groupBy(key).agg(F.percentile_approx(order, [i / n for i in range(1, n)], 20 * n)).collect()
     return [(r[0], sorted(set(r[1] or []))) for r in found]
 
 
+def with_slice(rows: DataFrame, key: str, order: str, cuts: list[tuple]) -> DataFrame:
+    """Rows as ``r`` of the keys that cuts names -> with ``at``, the number of cuts of its key below each row's order."""
+    fields = T.StructType([T.StructField("key", rows.schema[key].dataType), T.StructField("blocks", T.ArrayType(T.ArrayType(rows.schema[order].dataType)))])
+    blocks = [(k, [c[i : i + _BLOCK] for i in range(0, len(c), _BLOCK)]) for k, c in cuts]
+    named = F.broadcast(rows.sparkSession.createDataFrame(blocks, fields).alias("c"))
+    x = F.col(f"r.{order}")
+    below = lambda cut: cut < x
+    both = rows.alias("r").join(named, F.col(f"r.{key}").eqNullSafe(F.col("c.key")))
+    # A block whose first cut is below is whole below unless it is the last such one.
+    both = both.withColumn("_block", F.size(F.filter("c.blocks", lambda b: b[0] < x)))
+    at = (F.col("_block") - 1) * _BLOCK + F.size(F.filter(F.get("c.blocks", F.col("_block") - 1), below))
+    return both.withColumn("at", F.when(x.isNull() | (F.col("_block") == 0), F.lit(0)).otherwise(at).cast("int"))
+
+
 def _walked(rows: DataFrame, key: str, run: Callable[[list, pa.RecordBatch], Iterator], out: T.StructType | str) -> DataFrame:
     """Rows of whole slices, sorted -> what run makes of each slice, which is held at once: its rows as one batch."""
 
@@ -190,13 +214,8 @@ def _followed(steps: pd.DataFrame) -> pd.DataFrame:
 
 def pack_large(rows: DataFrame, key: str, order: str, size: str, cuts: list[tuple], max_rows: int, max_bytes: int, rule: str) -> DataFrame:
     """The rows of the keys that cuts names -> rows with batch_no; each key is walked in slices of its order, all at once."""
-    spark = rows.sparkSession
-    fields = T.StructType([T.StructField("key", rows.schema[key].dataType), T.StructField("cuts", T.ArrayType(rows.schema[order].dataType))])
-    named = F.broadcast(spark.createDataFrame(cuts, fields).alias("c"))
     held = F.struct(*(F.col(f"r.{c}") for c in rows.columns if c != size)).alias("row")
-    at = F.size(F.filter("c.cuts", lambda x: x < F.col(f"r.{order}")))
-    at = F.when(F.col(f"r.{order}").isNull(), F.lit(0)).otherwise(at)
-    mine = rows.alias("r").join(named, F.col(f"r.{key}").eqNullSafe(F.col("c.key"))).select(F.col(f"r.{key}").alias("key"), at.alias("at"), F.col(f"r.{order}").alias("order"), F.coalesce(F.col(f"r.{size}"), F.lit(0)).cast("long").alias("size"), held)
+    mine = with_slice(rows, key, order, cuts).select(F.col(f"r.{key}").alias("key"), "at", F.col(f"r.{order}").alias("order"), F.coalesce(F.col(f"r.{size}"), F.lit(0)).cast("long").alias("size"), held)
     # Cuts between which no row lies leave no gap in the numbers.
     seen = mine.groupBy("key", "at").agg(F.count("*").alias("n")).withColumn("slice", F.row_number().over(W.partitionBy("key").orderBy("at")) - 1).select("key", "at", "slice").persist()
     sliced = mine.alias("m").join(F.broadcast(seen).alias("s"), _same("m", "s", ["key", "at"])).select("m.key", "s.slice", "m.order", "m.size", "m.row")

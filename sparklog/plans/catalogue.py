@@ -322,8 +322,9 @@ def len_frames(spark, sf_dir):
 
 def chunks(spark, sf_dir, size=37):
     b = blobs(spark, sf_dir).withColumn("bytes", F.col("bytes").cast("binary"))
-    cuts = F.sequence(F.lit(0), F.floor(F.octet_length("bytes") / size).cast("int"))
-    return b.select("conn", F.posexplode(cuts).alias("seq", "i"), "bytes").select("conn", F.col("seq").cast("long").alias("seq"), F.substring("bytes", F.col("i") * size + 1, F.lit(size)).alias("bytes"))
+    # All chunks of a connection at once, so that its bytes are not copied for each of them.
+    cut = lambda data: F.transform(F.sequence(F.lit(0), F.floor(F.octet_length(data) / size).cast("int")), lambda i: F.substring(data, i * size + 1, F.lit(size)))
+    return b.select("conn", F.posexplode(F.transform(F.array("bytes"), cut)[0]).alias("seq", "bytes")).select("conn", F.col("seq").cast("long").alias("seq"), "bytes")
 
 
 @query(FRAMED_SQL)

@@ -1,9 +1,11 @@
 """Greedy batches of one large key in slices against a plain loop."""
 
+import bisect
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sparklog.operators import framing, slices
 
@@ -48,3 +50,13 @@ def test_one_key_in_slices(spark, max_rows, max_bytes, rule):
         mine = sorted((o, len(p)) for k, o, p in rows if k == key)
         assert [got[key, o] for o, _ in mine] == greedy([n for _, n in mine], max_rows, max_bytes, rule)
     assert len(got) == len(rows)
+
+
+def test_slices_grow_in_number_not_in_size(spark):
+    """Cuts follow from the bytes of a key, and each row's slice from the cuts, however many there are."""
+    df = spark.range(6000).select(F.lit("k").alias("key"), (F.col("id") * 7 % 6000).alias("order"), F.lit(100).alias("size"))
+    few, many = (slices.large_keys(df, "key", "order", F.col("size"), 1000, size) for size in (1 << 30, 3000))
+    assert len(few[0][1]) == 7 and 150 <= len(many[0][1]) <= 200
+    assert len(slices.large_keys(df, "key", "order", F.col("size"), 1000, 3000, 100)[0][1]) <= 60
+    got = slices.with_slice(df, "key", "order", many).select("r.order", "at").collect()
+    assert all(r.at == bisect.bisect_left(many[0][1], r.order) for r in got) and len(got) == 6000
