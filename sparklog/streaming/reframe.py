@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sparklog.operators.framing import Walk, check_mode
 
+FRAME = Row("conn", "msg_no", "payload")
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -33,25 +33,25 @@ class Reframer(StatefulProcessor):
         self.marks = handle.getValueState("marks", "size long, need long, idle boolean, number long, last long")
 
     def _stored(self) -> list[bytes]:
-        return [bytes(x[0]) for x in self.chunks.get()] if self.chunks.exists() else []
-
-    def _frame(self, key: tuple, numbers: list, found: list) -> pd.DataFrame:
-        return pd.DataFrame({"conn": pd.Series([key[0]] * len(found), dtype=object), "msg_no": pd.Series(numbers, dtype="Int64"), "payload": pd.Series(found, dtype=object)})
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        size, need, idle, number, last = self.marks.get() if self.marks.exists() else (0, 0, self.mode.startswith("line"), 0, None)
-        walk = Walk(self.mode, self.on_overflow, (size, need, idle), self._stored)
-        chunk = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        numbers, found = [], []
-        for s, b in zip(chunk["seq"].tolist(), chunk["bytes"]):
+        return [bytes(x[0]) for x in self.chunks.get()]
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # Each call of the store is a message to Spark, and most connections are short: none is made that can be spared.
+        size, need, idle, number, last = self.marks.get() or (0, 0, self.mode.startswith("line"), 0, None)
+        walk = Walk(self.mode, self.on_overflow, (size, need, idle), self._stored if size else list)
+        chunks = [(r[1], bytes(r[2] or b"")) for r in rows]
+        if any(x[0] > y[0] for x, y in zip(chunks, chunks[1:])):
+            chunks.sort(key=lambda x: x[0])
+        found = []
+        for s, b in chunks:
             if last is not None and s < last:
                 raise ValueError(f"chunk {s} of connection {key[0]!r} came after chunk {last}")
             last = s
-            for g in walk.feed(bytes(b or b"")):
-                numbers.append(number), found.append(g)
+            for g in walk.feed(b):
+                found.append(FRAME(key[0], number, g))
                 number += 1
         # What still waits is added to; it is written anew only after a frame was taken from it.
-        if walk.scans:
+        if walk.scans and size:
             self.chunks.clear()
         if walk.parts:
             self.chunks.appendList([(p,) for p in walk.parts])
@@ -60,15 +60,14 @@ class Reframer(StatefulProcessor):
             for at in list(self.handle.listTimers()):
                 self.handle.deleteTimer(at)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        if found:
-            yield self._frame(key, numbers, found)
+        yield from found
 
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
         rest = b"".join(self._stored())
         self.chunks.clear()
         self.marks.clear()
         if rest and self.tail:
-            yield self._frame(key, [None], [rest])
+            yield FRAME(key[0], None, rest)
 
     def close(self) -> None:
         pass
@@ -94,6 +93,6 @@ def reframe_stream(
     kind = dict(chunks.dtypes)[conn]
     rows = chunks.select(F.col(conn).alias("conn"), F.col(seq).cast("long").alias("seq"), F.col(payload).cast("binary").alias("bytes"))
     idle_ms = None if idle_seconds is None else int(idle_seconds * 1000)
-    return rows.groupBy("conn").transformWithStateInPandas(
+    return rows.groupBy("conn").transformWithState(
         Reframer(mode, on_overflow, idle_ms, tail), f"conn {kind}, msg_no long, payload binary", "Append", "None" if idle_ms is None else "ProcessingTime"
     )

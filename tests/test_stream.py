@@ -6,7 +6,7 @@ import time
 import pytest
 
 from sparklog.operators import framing
-from sparklog.streaming.reframe import reframe_stream
+from sparklog.streaming.reframe import Reframer, reframe_stream
 
 SCHEMA = "conn string, seq long, bytes binary"
 
@@ -101,3 +101,21 @@ def test_chunks_that_wait_are_not_read_again():
     assert out == [] and asked == []
     walk = framing.Walk("auto", marks=walk.marks, stored=lambda: [b"1000 ", b"z" * 900])
     assert walk.feed(b"z" * 100) == [b"z" * 1000] and walk.rest() == b""
+
+
+def test_a_whole_connection_takes_two_calls_of_the_store():
+    """A new connection whose frames are all whole: its marks are asked for and set, nothing else."""
+    calls = []
+
+    class State:
+        def __getattr__(self, name):
+            return lambda *a: calls.append(name) or (iter([]) if name == "get" and a else None)
+
+    class Handle:
+        getListState = getValueState = lambda self, *a: State()
+
+    r = Reframer("auto", "fail", None, False)
+    r.init(Handle())
+    got = list(r.handleInputRows(("c",), iter([("c", 1, b"b\n3 xyz"), ("c", 0, b"a")]), None))
+    assert [(x.conn, x.msg_no, x.payload) for x in got] == [("c", 0, b"ab"), ("c", 1, b"xyz")]
+    assert calls == ["get", "update"]
