@@ -149,22 +149,39 @@ def frames(df: DataFrame, payload: str = "payload", mode: str = "auto", on_overf
     rows = df.withColumn(payload, F.col(payload).cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            take, number, found = [], [], []
-            for i, x in enumerate(b.column(at)):
-                got = split_frames(x.as_py() or b"", mode, on_overflow)[0]
-                take += [i] * len(got)
-                number += range(len(got))
-                found += got
-            index = pa.array(take, pa.int64())
-            columns = [c.take(index) for j, c in enumerate(b.columns) if j != at]
-            names = [n for n in b.schema.names if n != payload]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(number, pa.int64()), pa.array(found, pa.binary())], names=[*names, "msg_no", payload])
+        return _split_batches(batches, at, mode, on_overflow)
 
     fields = [f for f in rows.schema.fields if f.name != payload]
     return rows.mapInArrow(run, T.StructType([*fields, T.StructField("msg_no", T.LongType()), T.StructField(payload, T.BinaryType())]))
 
 
+#: Bytes of messages that leave a Python worker at once, so that those of a whole batch do not pile up in it.
+PART_BYTES = 1 << 22
+
+
+def _split_batches(batches: Iterator[pa.RecordBatch], at: int, mode: str, on_overflow: str) -> Iterator[pa.RecordBatch]:
+    """Batches with whole streams in column ``at`` -> the other columns, msg_no and the messages, some PART_BYTES at once."""
+    for b in batches:
+        names = b.schema.names
+        others, names = [c for j, c in enumerate(b.columns) if j != at], [*(n for j, n in enumerate(names) if j != at), "msg_no", names[at]]
+        take, number, found, held = [], [], [], 0
+
+        def part() -> pa.RecordBatch:
+            index = pa.array(take, pa.int64())
+            return pa.RecordBatch.from_arrays([*(c.take(index) for c in others), pa.array(number, pa.int64()), pa.array(found, pa.binary())], names=names)
+
+        for i, x in enumerate(b.column(at)):
+            # Many short messages weigh by their number.
+            for k, m in enumerate(split_frames(x.as_py() or b"", mode, on_overflow)[0]):
+                take.append(i), number.append(k), found.append(m)
+                held += len(m) + 64
+                if held >= PART_BYTES:
+                    yield part()
+                    take, number, found, held = [], [], [], 0
+        if found:
+            yield part()
+
+
 def reframe(df: DataFrame, conn: str = "conn", seq: str = "seq", payload: str = "bytes", mode: str = "auto", on_overflow: str = "fail", tail: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Chunks of connections, ordered by seq -> conn, msg_no, payload; what is unfinished at a connection's end is dropped, or with ``tail`` a row with msg_no null.
 
