@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from sparklog.llm.buckets import bucket_links
 from sparklog.llm.common import cut, few, hot_join, saved
 from sparklog.llm.components import components
-from sparklog.llm.prefix import prefix_pairs
-from sparklog.llm.stars import star_links
+from sparklog.llm.prefix import bitmaps
 
 WORDS = 3
 SEED = 42
@@ -25,12 +25,10 @@ SMALL_BUCKET = 48
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 
-#: Near copies: shingles of so many words at this Jaccard similarity. Fingerprints of such texts differ in 8 bits as the median and hardly ever in more than BITS.
+#: Near copies: shingles of so many words at this Jaccard similarity. Their two fingerprints, the second of which no key has chosen, differ in 19 of 128 bits on average at 0.8, and in BITS at most: four standard deviations more.
 COPY_WORDS = 5
 SIMILARITY = 0.8
-BITS = 14
-#: The second fingerprints, which no key has chosen, may differ in so many.
-OTHER_BITS = 18
+BITS = 36
 #: Each of ORDERS orders of the 64 bits gives keys: WHOLE bits as they are, and for the 23 after them the indices of the NEARBY nearest codewords (of the six at most that lie within 4 bits).
 #: Of fingerprints that differ in 8 bits 0.99 share a key, in 10 bits 0.9, in 12 bits 0.6. Two bits more of WHOLE for each fourfold number of documents keep chance meetings as rare.
 ORDERS, WHOLE, NEARBY = 96, 10, 2
@@ -242,74 +240,77 @@ def _prints(batches):
 def _keyed(batches):
     for b in batches:
         fp = b.column(0).to_numpy(zero_copy_only=False)
+        fp2 = b.column(1).to_numpy(zero_copy_only=False)
         for at in range(0, len(fp), 4096):
-            part = fp[at : at + 4096]
-            row, key = order_keys(part)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], names=["key", "fp"])
+            row, key = order_keys(fp[at : at + 4096])
+            yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(x[at : at + 4096][row]) for x in (fp, fp2))], names=["key", "node", "sketch"])
+
+
+def _differ_little(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """By both fingerprints."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) + np.bitwise_count((x ^ y).view(np.uint64)) <= BITS
+
+
+def _others_differ_little(_, x: np.ndarray, __, y: np.ndarray) -> np.ndarray:
+    """By the second fingerprints, where the first ones are equal."""
+    return np.bitwise_count((x ^ y).view(np.uint64)) <= BITS
 
 
 def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """nodes(nid, least, fp, fp2), texts(nid, id, text) -> (a, b): links between texts at SIMILARITY or more.
 
-    Fingerprints that share a key are held against the most central one of
-    their bucket; those that differ in BITS bits at most, and the second ones
-    in OTHER_BITS, are candidates. Texts of a bucket that this leaves apart are
-    joined by their rarest shingles (see star_links, prefix_pairs).
+    Texts whose fingerprints share a key are candidates if these and the second
+    ones differ in BITS bits at most; so are those whose first ones are equal
+    (see bucket_links). One text stands for all that share a fingerprint.
     """
-    # A key comes at most once from a fingerprint, so a bucket of one holds nothing alike.
-    keys = nodes.select("fp").distinct().mapInArrow(_keyed, "key long, fp long")
-    full = saved(keys.select("key", F.col("fp").alias("node"), F.count("*").over(W.partitionBy("key")).alias("n")).where("n > 1"), "near-buckets")
     stand = saved(nodes.groupBy("fp").agg(F.min(F.struct("nid", "fp2")).alias("s"), F.count("*").alias("n")).select("fp", "s.*", "n"), "near-stand")
+    # A key comes at most once from a fingerprint, so a bucket of one holds nothing alike.
+    keys = stand.select("fp", "fp2").mapInArrow(_keyed, "key long, node long, sketch long")
+    members = keys.select("*", F.count("*").over(W.partitionBy("key")).alias("n")).where("n > 1")
 
     def fetched(nids: DataFrame) -> DataFrame:
-        """nids(nid) with their texts, nid and text; rows that repeat may give a text more than once."""
+        """nids(nid), distinct, with their texts, nid and text, once each."""
         wanted = saved(nodes.select("nid", "least").join(few(nids), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
-        return texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
+        found = texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
+        # Rows that repeat may give a text more than once.
+        return saved(found, "near-texts").dropDuplicates(["nid"])
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Exact similarity of the shingle sets; only the texts of a pair are fetched, once each."""
         pairs = saved(pairs, "near-candidates")
-        wanted = pairs.select(F.col("a").alias("nid")).unionByName(pairs.select(F.col("b").alias("nid"))).distinct()
-        sets = saved(fetched(saved(wanted, "near-nids")).mapInArrow(_sets, "nid long, grams array<long>").dropDuplicates(["nid"]), "near-sets")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
+        sets = saved(fetched(saved(wanted, "near-nids")).mapInArrow(_sets, "nid long, grams array<long>"), "near-sets")
         often = saved(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-often")
         of_b = sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")).join(few(pairs), "b")
         of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(few(often), "a"), "near-heads")
         both = hot_join(of_b, of_a, "a", "n", "b", "inner").withColumn("both", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("both") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
-    def of_prints(pairs: DataFrame) -> DataFrame:
-        """(a, b, nid_a, nid_b) of pairs of fingerprints that may be of near copies."""
-        near = saved(pairs.where(f"bit_count(a ^ b) <= {BITS}"), "near-met")
-        one = stand.select(F.col("fp").alias("a"), F.col("nid").alias("nid_a"), F.col("fp2").alias("x"))
-        other = stand.select(F.col("fp").alias("b"), F.col("nid").alias("nid_b"), F.col("fp2").alias("y"))
-        near = other.join(few(saved(one.join(few(near), "a"), "near-met")), "b").where(f"bit_count(x ^ y) <= {OTHER_BITS}")
-        return saved(near.select("a", "b", "nid_a", "nid_b"), "near-met")
+    def sets_of(nids: DataFrame) -> DataFrame:
+        """nids(node) with their bitmaps."""
+        return bitmaps(fetched(saved(nids.select(F.col("node").alias("nid")), "near-nids")).withColumnRenamed("nid", "node"), shingle_set)
+
+    def named(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) of fingerprints with the texts that stand for them, nid_a and nid_b."""
+        of_a, of_b = (stand.select(F.col("fp").alias(k), F.col("nid").alias(f"nid_{k}")) for k in "ab")
+        return saved(of_b.join(few(saved(of_a.join(few(pairs), "a"), "near-met")), "b"), "near-met")
 
     def alike_prints(pairs: DataFrame) -> DataFrame:
-        near = of_prints(pairs)
+        near = named(pairs)
         found = verified(near.select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b")))
-        return near.join(few(saved(found.select(F.col("a").alias("nid_a"), F.col("b").alias("nid_b")), "near-found")), ["nid_a", "nid_b"], "left_semi").select("a", "b")
-
-    def rest(apart: DataFrame) -> DataFrame:
-        """Links between texts apart(node, root), node being a nid."""
-        of = fetched(apart.select(F.col("node").alias("nid"))).dropDuplicates(["nid"]).withColumnRenamed("nid", "node")
-        return verified(prefix_pairs(saved(of.join(few(apart), "node"), "near-rest"), shingle_set))
-
-    def rest_prints(apart: DataFrame) -> DataFrame:
-        """Links between fingerprints apart(node, root)."""
-        named = saved(stand.select(F.col("fp").alias("node"), "nid").join(few(apart), "node"), "near-apart")
-        found = few(saved(rest(named.select(F.col("nid").alias("node"), "root")).toDF("nid_a", "nid_b"), "near-found"))
-        of_a = saved(named.select(F.col("node").alias("a"), F.col("nid").alias("nid_a")).join(found, "nid_a"), "near-found")
-        return named.select(F.col("node").alias("b"), F.col("nid").alias("nid_b")).join(few(of_a), "nid_b").select("a", "b")
-
-    as_a, as_b = stand.select(F.col("fp").alias("x"), F.col("nid").alias("a")), stand.select(F.col("fp").alias("y"), F.col("nid").alias("b"))
-    links = saved(star_links(full, alike_prints, rest_prints).select(F.col("a").alias("x"), F.col("b").alias("y")), "near-links")
-    links = as_b.join(few(saved(as_a.join(few(links), "x"), "near-links")), "y").select("a", "b")
-    same = stand.where("n > 1").select(F.col("fp").alias("key"), "n")
+        return near.join(few(saved(found.toDF("nid_a", "nid_b"), "near-found")), ["nid_a", "nid_b"], "left_semi").select("a", "b")
+
+    def sets_of_prints(prints: DataFrame) -> DataFrame:
+        of = saved(stand.select(F.col("fp"), F.col("nid").alias("node")).join(prints.select(F.col("node").alias("fp")), "fp"), "near-apart")
+        return saved(sets_of(of), "near-bits").join(of, "node").drop("node").withColumnRenamed("fp", "node")
+
+    links = named(saved(bucket_links(members, _differ_little, alike_prints, sets_of_prints), "near-links")).select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
+    same = stand.where("n > 1").select("fp", "n")
     if same.isEmpty():
         return links
-    texts_of = nodes.select(F.col("fp").alias("key"), F.col("nid").alias("node"))
-    return links.unionByName(star_links(hot_join(texts_of, same.withColumn("size", F.col("n")), "key", "size", "node", "inner", narrow=True), verified, rest))
+    texts_of = hot_join(nodes.select("fp", "nid", "fp2"), same.withColumn("size", F.col("n")), "fp", "size", "nid", "inner", narrow=True)
+    texts_of = texts_of.select(F.col("fp").alias("key"), F.col("nid").alias("node"), F.col("fp2").alias("sketch"), F.count("*").over(W.partitionBy("fp")).alias("n"))
+    return links.unionByName(bucket_links(texts_of, _others_differ_little, verified, sets_of))
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
