@@ -25,12 +25,12 @@ SMALL_BUCKET = 48
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 
-#: Near copies: shingles of so many words at this Jaccard similarity. Their two fingerprints, the second of which no key has chosen, differ in 19 of 128 bits on average at 0.8, and in BITS at most: four standard deviations more.
+#: Near copies: shingles of so many words at this Jaccard similarity. Their two fingerprints differ in 19 of 128 bits on average at 0.8, and in BITS at most: four standard deviations more.
 COPY_WORDS = 5
 SIMILARITY = 0.8
 BITS = 36
 #: Each of ORDERS orders of the 64 bits gives keys: WHOLE bits as they are, and for the 23 after them the indices of the NEARBY nearest codewords (of the six at most that lie within 4 bits).
-#: Of fingerprints that differ in 8 bits 0.99 share a key, in 10 bits 0.9, in 12 bits 0.6. Two bits more of WHOLE for each fourfold number of documents keep chance meetings as rare.
+#: Of fingerprints that differ in 8 bits 0.99 share a key of 96 orders, in 10 bits 0.9, in 12 bits 0.6. Two bits more of WHOLE for each fourfold number of documents keep chance meetings as rare.
 ORDERS, WHOLE, NEARBY = 96, 10, 2
 _ORDER = np.stack([np.random.default_rng(k).permutation(64)[: WHOLE + 23] for k in range(ORDERS)])
 
@@ -72,7 +72,7 @@ def text_fingerprint(text: str | None, chunk: int = 1 << 16, n_words: int = WORD
 
 
 def two_fingerprints(text: str | None, n_words: int = COPY_WORDS) -> tuple[int, int]:
-    """text_fingerprint, and a second one of other bits of the same shingles, which keys do not use."""
+    """text_fingerprint, and a second one of other bits of the same shingles."""
     ones, n = np.zeros((2, 64), np.int64), 0
     for h in _shingle_hashes(text, n_words, 1 << 14):
         other = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
@@ -201,12 +201,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 # --- near copies: fingerprints find candidates, shingle sets decide ------------
 
 
-def order_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position in fp, key) of every key of every order."""
+def order_keys(fp: np.ndarray, orders: range = range(ORDERS)) -> tuple[np.ndarray, np.ndarray]:
+    """(position in fp, key) of every key of these orders."""
     bits = np.unpackbits(fp.astype(">i8").view(np.uint8).reshape(-1, 8), axis=1)
     where, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for k, order in enumerate(_ORDER):
-        word = bits[:, order].astype(np.int64) @ (np.int64(1) << np.arange(WHOLE + 23, dtype=np.int64))
+    for k in orders:
+        word = bits[:, _ORDER[k]].astype(np.int64) @ (np.int64(1) << np.arange(WHOLE + 23, dtype=np.int64))
         index, count = codeword_indices(word >> WHOLE)
         row, col = np.nonzero(np.arange(NEARBY)[None, :] < count[:, None])
         where.append(row)
@@ -242,7 +242,9 @@ def _keyed(batches):
         fp = b.column(0).to_numpy(zero_copy_only=False)
         fp2 = b.column(1).to_numpy(zero_copy_only=False)
         for at in range(0, len(fp), 4096):
-            row, key = order_keys(fp[at : at + 4096])
+            # Half of the orders are of the second fingerprint: texts whose first ones happen to differ much share keys there.
+            found = (order_keys(fp[at : at + 4096], range(ORDERS // 2)), order_keys(fp2[at : at + 4096], range(ORDERS // 2, ORDERS)))
+            row, key = map(np.concatenate, zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(x[at : at + 4096][row]) for x in (fp, fp2))], names=["key", "node", "sketch"])
 
 

@@ -64,3 +64,28 @@ def test_sparse_buckets_make_no_rows_of_chance(spark):
     batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.array(np.arange(n)), pa.array(sketch), pa.array(np.full(n, n))], names=["key", "node", "sketch", "n"])
     out = [tuple(r.values()) for b in buckets._met(near)([batch.slice(0, 700), batch.slice(700)]) for r in b.to_pylist()]
     assert out == [(None, 0, 1, None, None)]
+
+
+def test_keys_of_both_fingerprints(spark):
+    """Of texts at about 0.8 to 0.84, fewer than 0.85 share a key of the first fingerprint's orders alone; of both, more."""
+    import pyarrow as pa
+
+    from sparklog.llm import simhash
+    from tests.llm.test_dedup import word_jaccard
+    from tests.llm.test_prefix import letters
+
+    rng, pairs = random.Random(33), []
+    while len(pairs) < 150:
+        one = [letters(rng, 5) for _ in range(300)]
+        other = list(one)
+        for _ in range(rng.randrange(5, 9)):
+            other[rng.randrange(300)] = letters(rng, 5)
+        if 0.8 <= word_jaccard(" ".join(one), " ".join(other)) < 0.84:
+            pairs.append((" ".join(one), " ".join(other)))
+    prints = np.array([[simhash._signed(x) for x in simhash.two_fingerprints(t)] for p in pairs for t in p], np.int64)
+    of = {}
+    for b in simhash._keyed([pa.RecordBatch.from_arrays([pa.array(c) for c in prints.T.copy()], names=["fp", "fp2"])]):
+        for key, node in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            of.setdefault(node, set()).add(key)
+    fp = prints[:, 0].tolist()
+    assert sum(bool(of[fp[i]] & of[fp[i + 1]]) for i in range(0, len(fp), 2)) >= 0.85 * len(pairs)
