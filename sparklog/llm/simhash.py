@@ -275,13 +275,18 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         wanted = saved(nodes.select("nid", "least").join(few(nids), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
         found = texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
         # Rows that repeat may give a text more than once.
-        return saved(found, "near-texts").dropDuplicates(["nid"])
+        return saved(saved(found, "near-texts").dropDuplicates(["nid"]), "near-texts")
+
+    kept = {}
+
+    def fetch(nids: DataFrame) -> None:
+        """The texts of all candidates nids(nid), distinct, and their sets, for what follows."""
+        kept["texts"] = fetched(saved(nids, "near-nids"))
+        kept["sets"] = saved(kept["texts"].mapInArrow(_sets, "nid long, grams array<long>"), "near-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Exact similarity of the shingle sets; only the texts of a pair are fetched, once each."""
-        pairs = saved(pairs, "near-candidates")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
-        sets = saved(fetched(saved(wanted, "near-nids")).mapInArrow(_sets, "nid long, grams array<long>"), "near-sets")
+        """Exact similarity of the shingle sets."""
+        pairs, sets = saved(pairs, "near-candidates"), kept["sets"]
         often = saved(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-often")
         of_b = sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")).join(few(pairs), "b")
         of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(few(often), "a"), "near-heads")
@@ -290,7 +295,7 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     def sets_of(nids: DataFrame) -> DataFrame:
         """nids(node) with their bitmaps."""
-        return bitmaps(fetched(saved(nids.select(F.col("node").alias("nid")), "near-nids")).withColumnRenamed("nid", "node"), shingle_set)
+        return bitmaps(kept["texts"].withColumnRenamed("nid", "node").join(few(nids), "node", "left_semi"), shingle_set)
 
     def named(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of fingerprints with the texts that stand for them, nid_a and nid_b."""
@@ -302,17 +307,20 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         found = verified(near.select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b")))
         return near.join(few(saved(found.toDF("nid_a", "nid_b"), "near-found")), ["nid_a", "nid_b"], "left_semi").select("a", "b")
 
+    def fetch_prints(prints: DataFrame) -> None:
+        fetch(stand.select("fp", "nid").join(few(saved(prints, "near-prints")), F.col("fp") == F.col("node"), "left_semi").select("nid"))
+
     def sets_of_prints(prints: DataFrame) -> DataFrame:
         of = saved(stand.select(F.col("fp"), F.col("nid").alias("node")).join(prints.select(F.col("node").alias("fp")), "fp"), "near-apart")
         return saved(sets_of(of), "near-bits").join(of, "node").drop("node").withColumnRenamed("fp", "node")
 
-    links = named(saved(bucket_links(members, _differ_little, alike_prints, sets_of_prints), "near-links")).select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
+    links = named(saved(bucket_links(members, _differ_little, alike_prints, sets_of_prints, fetch_prints), "near-links")).select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
     same = stand.where("n > 1").select("fp", "n")
     if same.isEmpty():
         return links
     texts_of = hot_join(nodes.select("fp", "nid", "fp2"), same.withColumn("size", F.col("n")), "fp", "size", "nid", "inner", narrow=True)
     texts_of = texts_of.select(F.col("fp").alias("key"), F.col("nid").alias("node"), F.col("fp2").alias("sketch"), F.count("*").over(W.partitionBy("fp")).alias("n"))
-    return links.unionByName(bucket_links(texts_of, _others_differ_little, verified, sets_of))
+    return links.unionByName(bucket_links(texts_of, _others_differ_little, verified, sets_of, lambda nodes: fetch(nodes.select(F.col("node").alias("nid")))))
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

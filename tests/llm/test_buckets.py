@@ -89,3 +89,26 @@ def test_keys_of_both_fingerprints(spark):
             of.setdefault(node, set()).add(key)
     fp = prints[:, 0].tolist()
     assert sum(bool(of[fp[i]] & of[fp[i + 1]]) for i in range(0, len(fp), 2)) >= 0.85 * len(pairs)
+
+
+def test_candidates_of_near_copies_are_about_as_many_as_the_copies(spark):
+    """150 near copies that meet in many small buckets, of ever other members: almost each two of them share one, but few are verified."""
+    rng = random.Random(34)
+    texts = [" ".join(map(str, [*range(100), *range(1000 + 9 * i, 1009 + 9 * i)])) for i in range(150)]
+    key = []
+    for k in range(60):
+        order = rng.sample(range(150), 150)
+        key += [(100 * k + at // 5, i) for at, i in enumerate(order)]
+    members = spark.createDataFrame([(k, i, 0) for k, i in key], "key long, node long, sketch long").withColumn("n", F.count("*").over(W.partitionBy("key")))
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    asked, fetched = [], []
+
+    def verify(pairs):
+        got = [tuple(r) for r in pairs.select("a", "b").collect()]
+        asked.extend(got)
+        return spark.createDataFrame([(a, b) for a, b in got if alike(texts[a], texts[b])], "a long, b long")
+
+    fetch = lambda nodes: fetched.extend(r.node for r in nodes.collect())
+    links = [tuple(r) for r in buckets.bucket_links(members, always, verify, lambda nodes: prefix.bitmaps(rows.join(nodes, "node"), words), fetch).collect()]
+    assert set(unite(range(150), links).values()) == {0}
+    assert len(asked) < 2 * len(texts) and sorted(fetched) == list(range(150))
