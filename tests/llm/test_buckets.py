@@ -112,3 +112,22 @@ def test_candidates_of_near_copies_are_about_as_many_as_the_copies(spark):
     links = [tuple(r) for r in buckets.bucket_links(members, always, verify, lambda nodes: prefix.bitmaps(rows.join(nodes, "node"), words), fetch).collect()]
     assert set(unite(range(150), links).values()) == {0}
     assert len(asked) < 2 * len(texts) and sorted(fetched) == list(range(150))
+
+
+def test_similarity_of_lines_by_hashes_is_that_of_their_shingles():
+    """Pairs around 0.8 get the same decision as by sets of shingles, and those further away the same number."""
+    from sparklog.llm import line_dedup
+    from tests.llm.test_prefix import letters
+
+    rng, near = random.Random(35), 0
+    for _ in range(1500):
+        x = letters(rng, rng.randrange(5, 160)) + rng.choice(["", "é", "語", "aaaaaaaaaaaa"])
+        y = list(x)
+        for _ in range(rng.randrange(0, 2 + len(x) // 30)):
+            y[rng.randrange(len(y))] = rng.choice("qé語")
+        y = "".join(y)
+        one, other = ({s[i : i + 5] for i in range(len(s) - 4)} for s in (x, y))
+        want = len(one & other) / len(one | other)
+        near += 0.75 < want < 0.85
+        assert line_dedup._similarity(x, line_dedup._grams(x), y) == want
+    assert near > 50
