@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sparklog.llm.buckets import bucket_links
-from sparklog.llm.common import cut, few, hot_join, saved
+from sparklog.llm.common import cut, few, hot_join, saved, side_of
 from sparklog.llm.components import components
 from sparklog.llm.prefix import bitmaps
 
@@ -272,8 +272,9 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     def fetched(nids: DataFrame) -> DataFrame:
         """nids(nid), distinct, with their texts, nid and text, once each."""
-        wanted = saved(nodes.select("nid", "least").join(few(nids), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
-        found = texts.join(few(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
+        side = side_of(nids)
+        wanted = saved(nodes.select("nid", "least").join(side(nids), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
+        found = texts.join(side(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
         # Rows that repeat may give a text more than once.
         return saved(saved(found, "near-texts").dropDuplicates(["nid"]), "near-texts")
 
@@ -287,9 +288,10 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     def verified(pairs: DataFrame) -> DataFrame:
         """Exact similarity of the shingle sets."""
         pairs, sets = saved(pairs, "near-candidates"), kept["sets"]
+        side = side_of(pairs)
         often = saved(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-often")
-        of_b = sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")).join(few(pairs), "b")
-        of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(few(often), "a"), "near-heads")
+        of_b = sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")).join(side(pairs), "b")
+        of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(side(often), "a"), "near-heads")
         both = hot_join(of_b, of_a, "a", "n", "b", "inner").withColumn("both", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("both") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
@@ -300,7 +302,8 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     def named(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of fingerprints with the texts that stand for them, nid_a and nid_b."""
         of_a, of_b = (stand.select(F.col("fp").alias(k), F.col("nid").alias(f"nid_{k}")) for k in "ab")
-        return saved(of_b.join(few(saved(of_a.join(few(pairs), "a"), "near-met")), "b"), "near-met")
+        side = side_of(pairs)
+        return saved(of_b.join(side(saved(of_a.join(side(pairs), "a"), "near-met")), "b"), "near-met")
 
     def alike_prints(pairs: DataFrame) -> DataFrame:
         near = named(pairs)
@@ -347,7 +350,7 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = saved(prints.groupBy("nid", "id").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count("*").alias("times")), "near-ids")
     nodes = saved(rows.groupBy("nid").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.count("*").alias("n")), "near-nodes")
     roots = components(copy_links(nodes, texts)).withColumnRenamed("node", "nid")
-    named = saved(nodes.join(few(roots), "nid", "left").withColumn("root", F.coalesce("root", "nid")), "near-roots")
+    named = saved(nodes.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid")), "near-roots")
     stays = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "nid")).alias("stays"), F.count("*").alias("members"))
     named = saved(hot_join(named, saved(stays, "near-first"), "root", "members", "nid", "inner", narrow=True).select("nid", "n", "stays"), "near-stays")
     # Of a group's rows, those of the text and id that stay; the others go, as do further rows that repeat both.

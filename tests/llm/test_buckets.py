@@ -131,3 +131,41 @@ def test_similarity_of_lines_by_hashes_is_that_of_their_shingles():
         near += 0.75 < want < 0.85
         assert line_dedup._similarity(x, line_dedup._grams(x), y) == want
     assert near > 50
+
+
+def jobs_of(spark, name, work):
+    """How many Spark jobs work() starts, and what it gives."""
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    try:
+        out = work()
+        context._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        return len(context.statusTracker().getJobIdsForGroup(name)), out
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("part", [125_000, 40])
+def test_jobs_of_components(spark, monkeypatch, part):
+    """A chain, a star and random links, in one part and in many: right roots, and where they fit in one part no rounds, whose jobs fill the driver."""
+    from sparklog.llm import components
+
+    monkeypatch.setattr(components, "PART_LINKS", part)
+    rng = random.Random(36)
+    links = [(i, i + 1) for i in rng.sample(range(500, 900), 400)] + [(-7, i) for i in range(1000, 1100)] + [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(5, None)]
+    rows = spark.createDataFrame(links, "a long, b long").repartition(7).localCheckpoint()
+    jobs, found = jobs_of(spark, f"components-{part}", lambda: components.components(rows))
+    got = {r.node: r.root for r in found.collect()}
+    want = unite({x for p in links for x in p if x is not None}, [p for p in links if None not in p])
+    assert got == {x: r for x, r in want.items() if x != r}
+    assert part == 40 or jobs <= 8
+
+
+def test_a_saved_table_is_read_without_a_job(spark):
+    """The schema is known, nested and empty ones too, so files are not opened for it."""
+    from sparklog.llm.common import saved
+
+    rows = spark.range(10).selectExpr("id", "struct(id AS x, array(id) AS y) AS s", "cast(null AS binary) AS b")
+    for name, df in (("all", rows), ("none", rows.where("id < 0"))):
+        jobs, out = jobs_of(spark, f"saved-{name}", lambda df=df: saved(df, "test-saved"))
+        assert jobs <= 1 and sorted(map(str, out.collect())) == sorted(map(str, df.collect())) and out.dtypes == df.dtypes
