@@ -272,7 +272,7 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     def fetched(nids: DataFrame) -> DataFrame:
         """nids(nid), distinct, with their texts, nid and text, once each."""
-        side = side_of(nids)
+        side = side_of(nids.count())
         wanted = saved(nodes.select("nid", "least").join(side(nids), "nid"), "near-wanted").select(F.col("nid").alias("w_nid"), "least")
         found = texts.join(side(wanted), (F.col("nid") == F.col("w_nid")) & F.col("id").eqNullSafe(F.col("least"))).select("nid", "text")
         # Rows that repeat may give a text more than once.
@@ -285,30 +285,31 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         kept["texts"] = fetched(saved(nids, "near-nids"))
         kept["sets"] = saved(kept["texts"].mapInArrow(_sets, "nid long, grams array<long>"), "near-sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Exact similarity of the shingle sets."""
-        pairs, sets = saved(pairs, "near-candidates"), kept["sets"]
-        side = side_of(pairs)
-        often = saved(pairs.groupBy("a").agg(F.count("*").alias("n")), "near-often")
+    def verified(pairs: DataFrame, n: int | None = None) -> DataFrame:
+        """Exact similarity of the shingle sets, for n pairs, saved."""
+        sets, n = kept["sets"], pairs.count() if n is None else n
+        side = side_of(n)
+        often = pairs.groupBy("a").agg(F.count("*").alias("n"))
         of_b = sets.select(F.col("nid").alias("b"), F.col("grams").alias("y")).join(side(pairs), "b")
         of_a = saved(sets.select(F.col("nid").alias("a"), F.col("grams").alias("x")).join(side(often), "a"), "near-heads")
-        both = hot_join(of_b, of_a, "a", "n", "b", "inner").withColumn("both", F.size(F.array_intersect("x", "y")))
+        both = hot_join(of_b, of_a, "a", "n", "b", "inner", total=n).withColumn("both", F.size(F.array_intersect("x", "y")))
         return both.where(F.col("both") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
     def sets_of(nids: DataFrame) -> DataFrame:
         """nids(node) with their bitmaps."""
         return bitmaps(kept["texts"].withColumnRenamed("nid", "node").join(few(nids), "node", "left_semi"), shingle_set)
 
-    def named(pairs: DataFrame) -> DataFrame:
+    def named(pairs: DataFrame, side) -> DataFrame:
         """Pairs (a, b) of fingerprints with the texts that stand for them, nid_a and nid_b."""
         of_a, of_b = (stand.select(F.col("fp").alias(k), F.col("nid").alias(f"nid_{k}")) for k in "ab")
-        side = side_of(pairs)
-        return saved(of_b.join(side(saved(of_a.join(side(pairs), "a"), "near-met")), "b"), "near-met")
+        return saved(of_b.join(side(of_a.join(side(pairs), "a")), "b"), "near-met")
 
     def alike_prints(pairs: DataFrame) -> DataFrame:
-        near = named(pairs)
-        found = verified(near.select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b")))
-        return near.join(few(saved(found.toDF("nid_a", "nid_b"), "near-found")), ["nid_a", "nid_b"], "left_semi").select("a", "b")
+        n = pairs.count()
+        side = side_of(n)
+        near = named(pairs, side)
+        found = verified(near.select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b")), n)
+        return near.join(side(saved(found.toDF("nid_a", "nid_b"), "near-found")), ["nid_a", "nid_b"], "left_semi").select("a", "b")
 
     def fetch_prints(prints: DataFrame) -> None:
         fetch(stand.select("fp", "nid").join(few(saved(prints, "near-prints")), F.col("fp") == F.col("node"), "left_semi").select("nid"))
@@ -317,7 +318,8 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         of = saved(stand.select(F.col("fp"), F.col("nid").alias("node")).join(prints.select(F.col("node").alias("fp")), "fp"), "near-apart")
         return saved(sets_of(of), "near-bits").join(of, "node").drop("node").withColumnRenamed("fp", "node")
 
-    links = named(saved(bucket_links(members, _differ_little, alike_prints, sets_of_prints, fetch_prints), "near-links")).select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
+    links = saved(bucket_links(members, _differ_little, alike_prints, sets_of_prints, fetch_prints), "near-links")
+    links = named(links, side_of(links.count())).select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
     same = stand.where("n > 1").select("fp", "n")
     if same.isEmpty():
         return links
