@@ -7,12 +7,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sparklog.llm.buckets import bucket_links
+from sparklog.llm.buckets import Sets, bucket_links
 from sparklog.llm.common import cut, few, hot_join, saved, side_of
 from sparklog.llm.components import components
 from sparklog.llm.prefix import bitmaps
@@ -258,6 +259,17 @@ def _others_differ_little(_, x: np.ndarray, __, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((x ^ y).view(np.uint64)) <= BITS
 
 
+def alike_sets(sets: pa.Array):
+    """For these sets of shingles' hashes: (one, others) -> which of the others are alike to it."""
+    held = Sets(sets.flatten().to_numpy(), pc.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64))
+
+    def alike(one: int, others: np.ndarray) -> np.ndarray:
+        both = held.common(one, others)
+        return both >= SIMILARITY * (held.size[one] + held.size[others] - both)
+
+    return alike
+
+
 def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """nodes(nid, least, fp, fp2), texts(nid, id, text) -> (a, b): links between texts at SIMILARITY or more.
 
@@ -297,7 +309,8 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     def sets_of(nids: DataFrame) -> DataFrame:
         """nids(node) with their bitmaps."""
-        return bitmaps(kept["texts"].withColumnRenamed("nid", "node").join(few(nids), "node", "left_semi"), shingle_set)
+        sets = kept["sets"].toDF("node", "text").join(few(nids), "node", "left_semi")
+        return bitmaps(sets, lambda grams: np.array(grams, np.int64), held=True)
 
     def named(pairs: DataFrame, side) -> DataFrame:
         """Pairs (a, b) of fingerprints with the texts that stand for them, nid_a and nid_b."""
@@ -318,14 +331,14 @@ def copy_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         of = saved(stand.select(F.col("fp"), F.col("nid").alias("node")).join(prints.select(F.col("node").alias("fp")), "fp"), "near-apart")
         return saved(sets_of(of), "near-bits").join(of, "node").drop("node").withColumnRenamed("fp", "node")
 
-    links = saved(bucket_links(members, _differ_little, alike_prints, sets_of_prints, fetch_prints), "near-links")
+    links = saved(bucket_links(members, _differ_little, alike_prints, sets_of_prints, fetch_prints, alike_sets), "near-links")
     links = named(links, side_of(links.count())).select(F.col("nid_a").alias("a"), F.col("nid_b").alias("b"))
     same = stand.where("n > 1").select("fp", "n")
     if same.isEmpty():
         return links
     texts_of = hot_join(nodes.select("fp", "nid", "fp2"), same.withColumn("size", F.col("n")), "fp", "size", "nid", "inner", narrow=True)
     texts_of = texts_of.select(F.col("fp").alias("key"), F.col("nid").alias("node"), F.col("fp2").alias("sketch"), F.count("*").over(W.partitionBy("fp")).alias("n"))
-    return links.unionByName(bucket_links(texts_of, _others_differ_little, verified, sets_of, lambda nodes: fetch(nodes.select(F.col("node").alias("nid")))))
+    return links.unionByName(bucket_links(texts_of, _others_differ_little, verified, sets_of, lambda nodes: fetch(nodes.select(F.col("node").alias("nid"))), alike_sets))
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -169,3 +169,63 @@ def test_a_saved_table_is_read_without_a_job(spark):
     for name, df in (("all", rows), ("none", rows.where("id < 0"))):
         jobs, out = jobs_of(spark, f"saved-{name}", lambda df=df: saved(df, "test-saved"))
         assert jobs <= 1 and sorted(map(str, out.collect())) == sorted(map(str, df.collect())) and out.dtypes == df.dtypes
+
+
+@pytest.mark.parametrize("block, elements", [(1024, 1 << 20), (7, 1 << 20), (1024, 1 << 12)])
+def test_families_are_verified_where_they_are_compared(spark, monkeypatch, block, elements):
+    """12 variants of one template at about 0.77, 20 near copies of each: groups are those of all pairs, and few pairs leave the tasks."""
+    from sparklog.llm import line_dedup
+    from tests.llm.test_prefix import jaccard, letters
+
+    monkeypatch.setattr(buckets, "BLOCK", block)
+    monkeypatch.setattr(buckets, "ELEMENTS", elements, raising=False)
+    kept = line_dedup.saved
+    rows = []
+
+    def counted(df, name):
+        out = kept(df, name)
+        if name == "line-near":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "saved", counted)
+    rng = random.Random(37)
+    fixed = [letters(rng, 62) for _ in range(4)]
+    texts = []
+    for _ in range(12):
+        line = "".join(f + s for f, s in zip(fixed, [letters(rng, 7) for _ in range(3)] + [""]))
+        texts += [line + letters(rng, 2) for _ in range(20)]
+    texts = sorted(set(texts))
+    group = {r.doc_id: r.group_id for r in line_dedup.line_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = unite(range(len(texts)), [(i, j) for j in range(len(texts)) for i in range(j) if jaccard(texts[i], texts[j]) >= 0.8])
+    assert group == want and 5 < len(set(want.values())) < 60
+    assert sum(rows) < 2 * len(texts)
+
+
+def test_which_of_many_are_alike():
+    """Of lines and of sets: one held against many gives what pairs give one by one."""
+    import pyarrow as pa
+
+    from sparklog.llm import line_dedup, simhash
+    from tests.llm.test_prefix import letters
+
+    rng = random.Random(38)
+    base = letters(rng, 90)
+    lines = ["aaaaa", "aaaaaaaa", "aaaaab"]
+    for _ in range(120):
+        y = list(base[: rng.randrange(60, 91)])
+        for _ in range(rng.randrange(4)):
+            y[rng.randrange(len(y))] = rng.choice("qé語")
+        lines.append("".join(y))
+    grams = [line_dedup._grams(x) for x in lines]
+    sets = [[1, 2, 3, 4], [1, 2, 3, 4, 5], [-9, 7], [7], *(g.tolist() for g in grams)]
+    of_lines, of_sets = line_dedup.alike_lines(pa.array(lines)), simhash.alike_sets(pa.array([[0], *sets], pa.list_(pa.int64())).slice(1))
+    everything = np.arange(len(lines)), np.arange(len(sets))
+    linked = 0
+    for i, x in enumerate(lines):
+        want = [line_dedup._similarity(x, grams[i], y) >= 0.8 for y in lines]
+        linked += sum(want) - 1
+        assert of_lines(i, everything[0]).tolist() == want
+    assert 500 < linked < len(lines) ** 2 - 500
+    for i, x in enumerate(sets):
+        assert of_sets(i, everything[1]).tolist() == [len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y)) for y in sets]
